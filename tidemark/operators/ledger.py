@@ -15,6 +15,7 @@ from tidemark.schemas import MAX_BALANCE_MINOR, MAX_OPENING_MINOR, MAX_TRANSFER_
 KEY_PATTERN = r"\A[A-Za-z0-9._:-]+\z"
 KEY_LENGTH = 128
 NAME_LENGTH = 100
+UUID_CANONICAL = r"\A[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}\z"
 UUID_PATTERN = (
     r"\A(?:urn:uuid:)?(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
     r"|\{[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\})\z"
@@ -32,42 +33,51 @@ PAGE_LIMIT, PAGE_OFFSET = 100, 10_000
 # ---- request validation ------------------------------------------------------------------
 
 
-class _Body:
-    """Fields of a JSON body read as VARIANT, which still tells 100 from "100", 1.0 and true."""
+def _parsed(requests: DataFrame, fields: list[str]) -> DataFrame:
+    """Read each body once as VARIANT, which still tells 100 from "100", 1.0 and true.
 
-    def __init__(self, body: str = "body"):
-        self.body = F.col(body)
-        self.value = F.try_parse_json(self.body)
+    Adds per field its kind (NULL when absent, VOID for a JSON null) and its text or integer
+    value, plus whether the body is an object and whether it has other fields. Every step is a
+    projection of its own, so the body is parsed once however often its parts are used.
+    """
+    doc = F.col("_doc")
+    part = {f: F.variant_get(doc, f"$.{f}", "variant") for f in fields}
+    known = reduce(lambda n, f: n + _given(f).cast("int"), fields, F.lit(0))
+    return (
+        requests.withColumn("_doc", F.try_parse_json("body"))
+        .withColumn("_shape", F.schema_of_variant(doc))
+        .withColumn("_is_object", F.coalesce(F.col("_shape").startswith("OBJECT"), F.lit(False)))
+        .withColumns({f"_{f}_kind": F.schema_of_variant(part[f]) for f in fields})
+        .withColumns(
+            {
+                f"_{f}": F.when(
+                    F.col(f"_{f}_kind").isin("STRING", "BIGINT"),
+                    F.try_variant_get(doc, f"$.{f}", "string"),
+                )
+                for f in fields
+            }
+        )
+        .withColumn(
+            "_has_unknown",
+            F.col("_is_object") & (F.size(F.json_object_keys("body")) > known),
+        )
+    )
 
-    def kind(self, field: str) -> Column:
-        """NULL when the field is absent, VOID when it is a JSON null."""
-        return F.schema_of_variant(F.variant_get(self.value, f"$.{field}", "variant"))
 
-    def is_text(self, field: str) -> Column:
-        return F.coalesce(self.kind(field) == "STRING", F.lit(False))
+def _text(field: str) -> Column:
+    return F.when(F.col(f"_{field}_kind") == "STRING", F.col(f"_{field}"))
 
-    def text(self, field: str) -> Column:
-        return F.when(self.is_text(field), F.try_variant_get(self.value, f"$.{field}", "string"))
 
-    def is_integer(self, field: str) -> Column:
-        return F.coalesce(self.kind(field) == "BIGINT", F.lit(False))
+def _integer(field: str) -> Column:
+    return F.when(F.col(f"_{field}_kind") == "BIGINT", F.col(f"_{field}")).cast("bigint")
 
-    def integer(self, field: str) -> Column:
-        return F.when(
-            self.is_integer(field), F.try_variant_get(self.value, f"$.{field}", "bigint")
-        )
 
-    def has(self, field: str) -> Column:
-        return self.kind(field).isNotNull()
+def _given(field: str) -> Column:
+    return F.col(f"_{field}_kind").isNotNull()
 
-    def is_object(self) -> Column:
-        return F.coalesce(
-            F.startswith(F.schema_of_variant(self.value), F.lit("OBJECT")), F.lit(False)
-        )
 
-    def has_unknown(self, allowed: list[str]) -> Column:
-        known = F.array(*[F.lit(f) for f in allowed])
-        return F.size(F.array_except(F.json_object_keys(self.body), known)) > 0
+def _without_parts(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("_")])
 
 
 def _first_reason(rules: list[tuple[str, Column]]) -> Column:
@@ -77,14 +87,16 @@ def _first_reason(rules: list[tuple[str, Column]]) -> Column:
 
 def _canonical_uuid(text: Column) -> Column:
     """Lower-case hyphenated form of any accepted spelling, NULL for anything else."""
-    digits = F.lower(F.regexp_replace(text, r"\Aurn:uuid:|[{}-]", ""))
-    parts = [F.substring(digits, start, n) for start, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.when(F.rlike(text, F.lit(UUID_PATTERN)), F.concat_ws("-", *parts))
+    digits = F.regexp_replace(text, r"\Aurn:uuid:|[{}-]", "")
+    hyphenated = F.regexp_replace(digits, "(.{8})(.{4})(.{4})(.{4})(.{12})", "$1-$2-$3-$4-$5")
+    return F.when(F.rlike(text, F.lit(UUID_CANONICAL)), text).when(
+        F.rlike(text, F.lit(UUID_PATTERN)), F.lower(hyphenated)
+    )
 
 
-def _bad_currency(body: _Body) -> Column:
+def _bad_currency() -> Column:
     """Absent means GBP; anything else must be exactly that text."""
-    return body.has("currency") & ~F.coalesce(body.text("currency") == "GBP", F.lit(False))
+    return _given("currency") & ~F.coalesce(_text("currency") == "GBP", F.lit(False))
 
 
 def _not_between(value: Column, low: int, high: int) -> Column:
@@ -93,74 +105,57 @@ def _not_between(value: Column, low: int, high: int) -> Column:
 
 def validated_transfers(requests: DataFrame) -> DataFrame:
     """Parse transfer requests; ``reason`` is NULL for the valid ones, else the first rule broken."""
-    body = _Body()
-    source = _canonical_uuid(body.text("source_account_id"))
-    destination = _canonical_uuid(body.text("destination_account_id"))
     key = F.col("idempotency_key")
-    parsed = requests.withColumns(
-        {
-            "source_account_id": source,
-            "destination_account_id": destination,
-            "amount_minor": body.integer("amount_minor"),
-            "_key_ok": F.coalesce(
-                F.length(key).between(1, KEY_LENGTH) & F.rlike(key, F.lit(KEY_PATTERN)),
-                F.lit(False),
-            ),
-            "_object": body.is_object(),
-            "_unknown": body.has_unknown(TRANSFER_FIELDS),
-            "_currency_bad": _bad_currency(body),
-        }
-    )
+    good_key = F.length(key).between(1, KEY_LENGTH) & F.rlike(key, F.lit(KEY_PATTERN))
+    source, destination = F.col("source_account_id"), F.col("destination_account_id")
     reason = _first_reason(
         [
-            ("idempotency_key", ~F.col("_key_ok")),
-            ("malformed_body", ~F.col("_object")),
-            ("unknown_field", F.col("_unknown")),
-            ("source_account_id", F.col("source_account_id").isNull()),
-            ("destination_account_id", F.col("destination_account_id").isNull()),
+            ("idempotency_key", ~F.coalesce(good_key, F.lit(False))),
+            ("malformed_body", ~F.col("_is_object")),
+            ("unknown_field", F.col("_has_unknown")),
+            ("source_account_id", source.isNull()),
+            ("destination_account_id", destination.isNull()),
             ("amount_minor", _not_between(F.col("amount_minor"), 1, MAX_TRANSFER_MINOR)),
-            ("currency", F.col("_currency_bad")),
-            ("same_account", F.col("source_account_id") == F.col("destination_account_id")),
+            ("currency", _bad_currency()),
+            ("same_account", source == destination),
         ]
     )
-    return (
-        parsed.withColumn("reason", reason)
-        .withColumn("currency", F.when(F.col("reason").isNull(), F.lit("GBP")))
-        .drop("_key_ok", "_object", "_unknown", "_currency_bad")
+    typed = _parsed(requests, TRANSFER_FIELDS).withColumns(
+        {
+            "source_account_id": _canonical_uuid(_text("source_account_id")),
+            "destination_account_id": _canonical_uuid(_text("destination_account_id")),
+            "amount_minor": _integer("amount_minor"),
+        }
     )
+    return _with_currency(_without_parts(typed.withColumn("reason", reason)))
 
 
 def validated_accounts(requests: DataFrame) -> DataFrame:
     """Parse account requests; names are trimmed, balance defaults to 0 and currency to GBP."""
-    body = _Body()
-    name = F.regexp_replace(body.text("owner_name"), r"(?U)\A\s+|\s+\z", "")
-    balance = F.when(body.has("opening_balance_minor"), body.integer("opening_balance_minor"))
-    parsed = requests.withColumns(
-        {
-            "owner_name": name,
-            "opening_balance_minor": balance.otherwise(F.lit(0).cast("bigint")),
-            "_object": body.is_object(),
-            "_unknown": body.has_unknown(ACCOUNT_FIELDS),
-            "_currency_bad": _bad_currency(body),
-        }
-    )
+    name, opening = F.col("owner_name"), F.col("opening_balance_minor")
     reason = _first_reason(
         [
-            ("malformed_body", ~F.col("_object")),
-            ("unknown_field", F.col("_unknown")),
-            ("owner_name", _not_between(F.length("owner_name"), 1, NAME_LENGTH)),
-            ("currency", F.col("_currency_bad")),
-            (
-                "opening_balance_minor",
-                _not_between(F.col("opening_balance_minor"), 0, MAX_OPENING_MINOR),
-            ),
+            ("malformed_body", ~F.col("_is_object")),
+            ("unknown_field", F.col("_has_unknown")),
+            ("owner_name", _not_between(F.length(name), 1, NAME_LENGTH)),
+            ("currency", _bad_currency()),
+            ("opening_balance_minor", _not_between(opening, 0, MAX_OPENING_MINOR)),
         ]
     )
-    return (
-        parsed.withColumn("reason", reason)
-        .withColumn("currency", F.when(F.col("reason").isNull(), F.lit("GBP")))
-        .drop("_object", "_unknown", "_currency_bad")
+    zero = F.lit(0).cast("bigint")
+    typed = _parsed(requests, ACCOUNT_FIELDS).withColumns(
+        {
+            "owner_name": F.regexp_replace(_text("owner_name"), r"(?U)\A\s+|\s+\z", ""),
+            "opening_balance_minor": F.when(
+                _given("opening_balance_minor"), _integer("opening_balance_minor")
+            ).otherwise(zero),
+        }
     )
+    return _with_currency(_without_parts(typed.withColumn("reason", reason)))
+
+
+def _with_currency(validated: DataFrame) -> DataFrame:
+    return validated.withColumn("currency", F.when(F.col("reason").isNull(), F.lit("GBP")))
 
 
 def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -13,16 +13,20 @@ ORDER = ("created_at", "transfer_id")
 
 
 def running_balances(
-    accounts: DataFrame, posted: DataFrame, hot_rows: int = HOT_ROWS
+    accounts: DataFrame,
+    posted: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Opening balance plus all postings up to and including each one, in (time, id) order.
 
     Accounts below ``hot_rows`` postings take a plain window. The postings of hot accounts are
     range-partitioned by (account, time, id) into slices of about ``hot_rows`` rows; each slice
     is summed on its own and starts from the total of the slices before it. One action decides
-    whether any account is hot.
+    whether any account is hot; it counts the rows of ``counted``, which must have at least as
+    many rows per account as ``posted`` and defaults to it.
     """
-    hot = hot_keys(posted, "account_id", hot_rows)
+    hot = hot_keys(posted if counted is None else counted, "account_id", hot_rows)
     hot_total = hot.agg(F.sum("n")).first()[0]
     opening = accounts.select("account_id", "opening_balance_minor")
     if hot_total is None:

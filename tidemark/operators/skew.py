@@ -41,8 +41,10 @@ def spread_lookup(
     the key ends up in up to ``salts`` tasks; other keys use salt 0. Grouping the result by
     ``key`` afterwards aggregates before it shuffles, because the join is clustered by
     (key, salt) and not by key alone. A repeated lookup row may find no fact row in some salt,
-    so aggregate with functions that ignore NULL fact columns.
+    so aggregate with functions that ignore NULL fact columns. Lookup rows without a key are
+    dropped; saying so up front lets both uses of ``lookup`` share one computation.
     """
+    lookup = lookup.where(F.col(key).isNotNull())
     is_hot = F.col(weight) >= hot_rows
     marks = F.broadcast(lookup.where(is_hot).select(key, F.lit(True).alias("_hot")))
     salt = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")

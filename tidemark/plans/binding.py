@@ -149,21 +149,16 @@ class Bank:
 
         Orders are narrowed to account holders before they meet the far larger lineitem.
         """
-        holders = (
-            self.source("customer")
-            .where("c_acctbal >= 0")
-            .select("c_custkey", self._currency.alias("base_currency"))
-        )
+        holders = self.source("customer").where("c_acctbal >= 0").select("c_custkey")
         kind = F.substring("o_orderpriority", 1, 1)
         bought = (
             self.source("orders")
-            .join(holders, F.col("o_custkey") == F.col("c_custkey"))
+            .join(holders, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
             .select(
                 "o_orderkey",
                 (F.col("o_custkey") + ACCOUNT_OFFSET).alias("account_id"),
                 _typed(kind).alias("transaction_type"),
                 (F.col("o_custkey") % 40 + 1).alias("_quantity_cap"),
-                "base_currency",
             )
         )
         returned, open_line = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
@@ -183,7 +178,6 @@ class Bank:
                 "transaction_type",
                 status.alias("status"),
                 amount.alias("amount_gbp"),
-                "base_currency",
                 "l_partkey",
                 "l_suppkey",
                 "l_linenumber",
@@ -220,7 +214,11 @@ class Bank:
             for base in ("GBP", "EUR")
         }
         target = F.when(F.col("base_currency") == "GBP", others["GBP"]).otherwise(others["EUR"])
-        return self._movements.select(
+        currencies_held = self.source("customer").select(
+            (F.col("c_custkey") + ACCOUNT_OFFSET).alias("account_id"),
+            self._currency.alias("base_currency"),
+        )
+        return self._movements.join(currencies_held, "account_id").select(
             "transaction_id",
             "account_id",
             "transaction_type",

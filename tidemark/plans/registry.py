@@ -245,6 +245,16 @@ def _publish_roundtrip(b: Bank) -> DataFrame:
     return sinks.published(b.spark, folder)["accounts"]
 
 
+def _running(g: Ledger) -> DataFrame:
+    """Requests bound the postings from above and are counted without deriving the journal."""
+    requested = g.valid_requests.withColumns(
+        {"transfer_id": F.col("request_id"), "created_at": F.col("ts")}
+    )
+    return running.running_balances(
+        g.accounts, g.postings, counted=ledger.postings(requested).select("account_id")
+    )
+
+
 def _ledger_queries() -> dict[str, Callable[[Ledger], DataFrame]]:
     def sweep(g: Ledger) -> DataFrame:
         parts = {
@@ -281,9 +291,9 @@ def _ledger_queries() -> dict[str, Callable[[Ledger], DataFrame]]:
         "ledger_postings": lambda g: g.postings,
         "ledger_balances": lambda g: ledger.balances(g.accounts, g.postings),
         "ledger_conservation": lambda g: ledger.conservation(g.accounts, g.postings),
-        "ledger_running": lambda g: running.running_balances(g.accounts, g.postings),
+        "ledger_running": lambda g: _running(g),
         "ledger_overdrafts": lambda g: running.overdraft_summary(
-            running.running_balances(g.accounts, g.postings)
+            _running(g)
         ),
         "ledger_quota_accounts": lambda g: ledger.account_quota(
             g.accounts.select("account_id", "session_id", "created_at")
