@@ -31,23 +31,31 @@ def _micros(column: str):
     return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, {column})")
 
 
-def passed_requests(times: np.ndarray, start: int, width: int, limit: int) -> np.ndarray:
-    """Which of the sorted ``times`` pass. Works window by window, not request by request."""
+def pass_requests(
+    times: np.ndarray, start: int, used: int, width: int, limit: int
+) -> tuple[np.ndarray, int, int]:
+    """Which of the sorted ``times`` pass, given the open window's start and requests passed.
+
+    Also returns the window left open and the requests passed in it. Works window by window, so
+    its cost follows the number of windows rather than requests.
+    """
     passed = np.zeros(len(times), dtype=bool)
-    # Requests of the window open since session creation.
     lower, upper = 0, int(np.searchsorted(times, start + width, side="left"))
     while True:
-        passed[lower : min(upper, lower + limit)] = True
+        taken = min(upper - lower, max(limit - used, 0))
+        passed[lower : lower + taken] = True
+        used += taken
         if upper >= len(times):
-            return passed
-        lower, upper = upper, int(np.searchsorted(times, times[upper] + width, side="left"))
+            return passed, start, used
+        start, used, lower = int(times[upper]), 0, upper
+        upper = int(np.searchsorted(times, start + width, side="left"))
 
 
 def _fold(limit: int, width: int):
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["at", "request_id"], ignore_index=True)
         start = int(pdf["opened"].iloc[0])
-        pdf["passed"] = passed_requests(pdf["at"].to_numpy(), start, width, limit)
+        pdf["passed"] = pass_requests(pdf["at"].to_numpy(), start, 0, width, limit)[0]
         return pdf[["session_id", "request_id", "passed"]]
 
     return fold

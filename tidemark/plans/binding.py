@@ -51,12 +51,17 @@ def _pick(values: tuple[str, ...], index: Column) -> Column:
 
 
 class Bank:
-    """Analytics tables over one folder of parquet files; nothing is read until used."""
+    """Analytics tables over one folder of parquet files; nothing is read until used.
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    ``lineitem`` may be replaced, for example by a stream of the same rows.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, lineitem: DataFrame | None = None):
+        self.spark, self.folder, self.lineitem = spark, folder, lineitem
 
     def source(self, name: str) -> DataFrame:
+        if name == "lineitem" and self.lineitem is not None:
+            return self.lineitem
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
@@ -280,17 +285,21 @@ def _typed(digit: Column) -> Column:
 
 
 class Ledger:
-    """Requests, accounts, sessions and transfers derived from the event stream."""
+    """Requests, accounts, sessions and transfers derived from the event stream.
+
+    With ``events`` given as a stream, the request properties are streams too.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, events: DataFrame | None = None):
         self.spark, self.folder = spark, folder
+        self.events = (
+            spark.read.parquet(f"{folder}/events.parquet") if events is None else events
+        )
 
     @cached_property
     def _events(self) -> DataFrame:
         k = F.get_json_object("props", "$.k").cast("bigint")
-        return self.spark.read.parquet(f"{self.folder}/events.parquet").select(
-            "event_id", "ts", "user_id", "event_type", k.alias("k")
-        )
+        return self.events.select("event_id", "ts", "user_id", "event_type", k.alias("k"))
 
     @staticmethod
     def _account(user: Column) -> Column:
@@ -447,6 +456,7 @@ class Ledger:
             F.col("event_id").alias("request_id"),
             F.col("user_id").cast("string").alias("session_id"),
             "ts",
+            (F.col("event_type") == "signup").alias("opens_session"),
         )
 
     @cached_property

@@ -1067,6 +1067,37 @@ LEDGER_QUERIES = {
     ),
 }
 
+# Streams publish a window or session once the watermark (30 minutes behind the latest event) is
+# past it; what is still open then is not part of their output.
+LEDGER_QUERIES |= {
+    "stream_unique_requests": "SELECT DISTINCT sha256(session_id || ':' || idempotency_key) "
+    "AS scoped_key FROM valid",
+    "stream_rate_limit": LEDGER_QUERIES["ledger_rate_limit"],
+    "stream_session_expiry": "SELECT session_id, expires_at AS expired_at FROM user_sessions "
+    "WHERE expires_at <= (SELECT MAX(ts) - INTERVAL 30 MINUTES FROM evt)",
+    "stream_request_counts": "SELECT date_trunc('minute', ts) AS window_start, "
+    "COUNT(*) AS requests, COUNT(*) FILTER (event_type = 'signup') AS new_sessions FROM evt "
+    "GROUP BY 1 HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE "
+    "<= (SELECT MAX(ts) - INTERVAL 30 MINUTES FROM evt)",
+}
+TENANT_QUERIES |= {
+    "stream_daily_economics": """
+      SELECT day, transaction_type,
+             COUNT(*) FILTER (ok) AS completed_transactions,
+             CAST(SUM(amount_gbp) FILTER (ok) AS DOUBLE) AS transaction_volume_gbp,
+             CAST(SUM(revenue) FILTER (ok) AS DOUBLE) AS revenue_gbp,
+             CAST(SUM(processing_cost_gbp) FILTER (ok) AS DOUBLE) AS processing_cost_gbp,
+             CAST(SUM(margin) FILTER (ok) AS DOUBLE) AS contribution_margin_gbp,
+             round(CAST(SUM(margin) FILTER (ok) AS DOUBLE) / NULLIF(COUNT(*) FILTER (ok), 0), 4)
+               AS avg_margin_per_transaction_gbp
+      FROM (SELECT *, CAST(date_trunc('day', transaction_ts) AS TIMESTAMP) AS day FROM money)
+      WHERE day + INTERVAL 1 DAY <= (SELECT MAX(l_shipdate) - INTERVAL 30 MINUTES FROM lineitem)
+      GROUP BY 1, 2""",
+    "stream_first_funding": "SELECT account_id, transaction_ts, transaction_id, "
+    "CAST(amount_gbp AS DOUBLE) AS amount_gbp FROM fundings",
+    "stream_cohort_activity": "SELECT account_id, w1 AS events FROM windows WHERE w1 > 0",
+}
+
 # Extra tables only some ledger queries need; the chain of window starts is recursive.
 _EXTRA = {
     "ledger_rate_limit": """,
@@ -1085,9 +1116,12 @@ owned AS (
 }
 
 
+_EXTRA["stream_rate_limit"] = _EXTRA["ledger_rate_limit"]
+
+
 def oracle_sql() -> dict[str, str]:
     found = {name: f"WITH {TENANT} {sql}" for name, sql in TENANT_QUERIES.items()}
     for name, sql in LEDGER_QUERIES.items():
-        recursive = "RECURSIVE " if name == "ledger_rate_limit" else ""
+        recursive = "RECURSIVE " if "chain(" in _EXTRA.get(name, "") else ""
         found[name] = f"WITH {recursive}{LEDGER}{_EXTRA.get(name, '')} {sql}"
     return found

@@ -28,6 +28,7 @@ from tidemark.plans.binding import RULE, SEGMENTS, Bank, Ledger
 from tidemark.schemas import TABLES
 from tidemark.session import run_dir
 from tidemark.sources import sinks, tables
+from tidemark.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -322,10 +323,85 @@ def _ledger_queries() -> dict[str, Callable[[Ledger], DataFrame]]:
     }
 
 
+def _stream_queries() -> dict[str, Query]:
+    """Each runs over everything available in the source files and returns what it wrote."""
+
+    def requests(spark: SparkSession, folder: str) -> Ledger:
+        return Ledger(spark, folder, jobs.file_stream(spark, f"{folder}/events.parquet"))
+
+    def lines(spark: SparkSession, folder: str) -> Bank:
+        stream = jobs.file_stream(spark, f"{folder}/lineitem.parquet")
+        return Bank(spark, folder, jobs.event_time(stream, "l_shipdate"))
+
+    def plain_time(df: DataFrame, *columns: str) -> DataFrame:
+        return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+    def unique(spark: SparkSession, folder: str) -> DataFrame:
+        kept = jobs.unique_requests(requests(spark, folder).valid_requests)
+        return jobs.run_available(kept.select("scoped_key"), "unique")
+
+    def limited(spark: SparkSession, folder: str) -> DataFrame:
+        sessions = Ledger(spark, folder).user_sessions
+        return jobs.run_available(
+            jobs.rate_limited(requests(spark, folder).user_requests, sessions, 3, DAY_SECONDS),
+            "limited",
+        )
+
+    def expired(spark: SparkSession, folder: str) -> DataFrame:
+        ended = jobs.expired_sessions(requests(spark, folder).user_requests)
+        return plain_time(jobs.run_available(ended, "expired"), "expired_at")
+
+    def counts(spark: SparkSession, folder: str) -> DataFrame:
+        counted = jobs.request_counts(requests(spark, folder).user_requests)
+        return plain_time(jobs.run_available(counted, "counts"), "window_start")
+
+    def daily(spark: SparkSession, folder: str) -> DataFrame:
+        days = jobs.daily_economics(lines(spark, folder).transactions)
+        return plain_time(jobs.run_available(days, "daily"), "day")
+
+    def fundings(spark: SparkSession, folder: str) -> DataFrame:
+        firsts = jobs.first_fundings(lines(spark, folder).transactions)
+        return plain_time(jobs.run_available(firsts, "fundings"), "transaction_ts")
+
+    def cohort(spark: SparkSession, folder: str) -> DataFrame:
+        """Both sides are derived tables, written once and then streamed."""
+        bank, base = Bank(spark, folder), run_dir(spark, "cohort")
+        staged = {
+            "fundings": economics.first_fundings(bank.transactions),
+            "transactions": bank.transactions,
+        }
+        streams = {}
+        for name, df in staged.items():
+            df.write.parquet(f"{base}/{name}")
+            streams[name] = jobs.event_time(
+                jobs.file_stream(spark, f"{base}/{name}"), "transaction_ts"
+            )
+        window = RULE.windows[0]
+        joined = jobs.activity_after_funding(
+            streams["fundings"], streams["transactions"], window.first, window.end
+        )
+        found = jobs.run_available(joined, "activity")
+        return found.groupBy("account_id").agg(F.count("*").alias("events"))
+
+    return {
+        "stream_unique_requests": unique,
+        "stream_rate_limit": limited,
+        "stream_session_expiry": expired,
+        "stream_request_counts": counts,
+        "stream_daily_economics": daily,
+        "stream_first_funding": fundings,
+        "stream_cohort_activity": cohort,
+    }
+
+
 def named_queries() -> dict[str, Query]:
     def over(source, build) -> Query:
         return lambda spark, folder: comparable(build(source(spark, folder)))
 
     found = {name: over(Bank, build) for name, build in _bank_queries().items()}
     found |= {name: over(Ledger, build) for name, build in _ledger_queries().items()}
+    found |= {
+        name: lambda spark, folder, run=run: comparable(run(spark, folder))
+        for name, run in _stream_queries().items()
+    }
     return found

@@ -1,0 +1,90 @@
+"""Per-key state machines for transformWithState.
+
+A call sees one key's rows of one micro-batch, so its memory is bounded by the size of a
+micro-batch, which the source options limit.
+"""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from tidemark.operators.ratelimit import pass_requests
+
+# Ship the processors inside the job: workers need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class RateLimiter(StatefulProcessor):
+    """Fixed-window limiter: state is the open window's start and the requests passed in it."""
+
+    def __init__(self, limit: int, width_micros: int):
+        self.limit, self.width = limit, width_micros
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.window = handle.getValueState("window", "started bigint, used int")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows)).sort_values(["at", "request_id"], ignore_index=True)
+        known = self.window.get() if self.window.exists() else None
+        started, used = known if known else (int(pdf["opened"].iloc[0]), 0)
+        passed, started, used = pass_requests(
+            pdf["at"].to_numpy(), started, used, self.width, self.limit
+        )
+        self.window.update((started, used))
+        yield pd.DataFrame(
+            {"session_id": key[0], "request_id": pdf["request_id"], "passed": passed}
+        )
+
+    def close(self) -> None:
+        pass
+
+
+class SessionExpiry(StatefulProcessor):
+    """Emits a session once, when event time passes its creation plus the lifetime."""
+
+    def __init__(self, lifetime_micros: int):
+        self.lifetime = lifetime_micros
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.expires = handle.getValueState("expires", "at bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = min(int(pdf["at"].min()) for pdf in rows)
+        if not self.expires.exists():
+            self.expires.update((first + self.lifetime,))
+            # Timers count milliseconds; round up so that none fires early.
+            self.handle.registerTimer(-(-(first + self.lifetime) // 1000))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        (at,) = self.expires.get()
+        # The timer is gone but the state stays: an expired session is never opened again.
+        yield pd.DataFrame({"session_id": [key[0]], "expired_micros": [at]})
+
+    def close(self) -> None:
+        pass
+
+
+class FirstPerKey(StatefulProcessor):
+    """Emits the earliest row of the first micro-batch in which a key appears."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "done boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        best = None
+        for pdf in rows:
+            row = pdf.sort_values(["transaction_ts", "transaction_id"]).head(1)
+            best = row if best is None else pd.concat([best, row])
+        if not self.seen.exists():
+            self.seen.update((True,))
+            yield best.sort_values(["transaction_ts", "transaction_id"]).head(1)
+
+    def close(self) -> None:
+        pass
