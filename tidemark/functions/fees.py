@@ -45,12 +45,18 @@ def _rate(value: str) -> Column:
     return F.lit(value).cast("decimal(5,4)")
 
 
-def _by_type(pick) -> Column:
-    """One CASE over transaction_type; unknown types are priced like a cash-in."""
-    kind = F.col("transaction_type")
-    others = ((name, tariff) for name, tariff in TARIFFS.items() if name != "cash_in")
-    chain = reduce(lambda case, item: case.when(kind == item[0], pick(item[1])), others, F)
-    return chain.otherwise(pick(TARIFFS["cash_in"]))
+def _by_type(value_of, otherwise: Column) -> Column:
+    """One CASE over transaction_type with a branch only where a tariff differs from the rest.
+
+    ``value_of`` gives None for tariffs that have nothing to compute, so most rows cost no
+    decimal arithmetic. Types outside the schedule get ``otherwise``.
+    """
+    values = {name: value_of(tariff) for name, tariff in TARIFFS.items()}
+    branches = [(name, value) for name, value in values.items() if value is not None]
+    case = reduce(
+        lambda c, branch: c.when(F.col("transaction_type") == branch[0], branch[1]), branches, F
+    )
+    return case.otherwise(otherwise)
 
 
 def fee_columns(amount: Column | None = None) -> dict[str, Column]:
@@ -58,25 +64,31 @@ def fee_columns(amount: Column | None = None) -> dict[str, Column]:
     amount = F.col("amount_gbp") if amount is None else amount
     nothing = _money("0.00")
 
-    def fee(t: Tariff) -> Column:
-        return F.when(amount > _money(t.fee_above), _money(t.fee)).otherwise(nothing)
+    def share(rate: str) -> Column | None:
+        return F.round(amount * _rate(rate), 2).cast(SMALL_MONEY) if float(rate) else None
 
-    def share(rate: str) -> Column:
-        return F.round(amount * _rate(rate), 2).cast(SMALL_MONEY)
+    def fee(t: Tariff) -> Column | None:
+        if not float(t.fee):
+            return None
+        return F.when(amount > _money(t.fee_above), _money(t.fee)).otherwise(nothing)
 
     def cost(t: Tariff) -> Column:
+        if not float(t.cost_rate):
+            return _money(t.cost)
         return F.round(_money(t.cost) + amount * _rate(t.cost_rate), 2).cast(SMALL_MONEY)
 
-    def if_completed(value: Column, otherwise: Column) -> Column:
-        return F.when(completed(), value).otherwise(otherwise).cast(SMALL_MONEY)
+    def if_completed(value_of, untyped: Column, otherwise: Column) -> Column:
+        return F.when(completed(), _by_type(value_of, untyped)).otherwise(otherwise)
 
     return {
-        "fee_revenue_gbp": if_completed(_by_type(fee), nothing),
+        "fee_revenue_gbp": if_completed(fee, nothing, nothing),
         "interchange_revenue_gbp": if_completed(
-            _by_type(lambda t: share(t.interchange_rate)), nothing
+            lambda t: share(t.interchange_rate), nothing, nothing
+        ),
+        "fx_spread_revenue_gbp": if_completed(lambda t: share(t.spread_rate), nothing, nothing),
+        "processing_cost_gbp": if_completed(
+            cost, _money(TARIFFS["cash_in"].cost), _money(UNCOMPLETED_COST)
         ),
-        "fx_spread_revenue_gbp": if_completed(_by_type(lambda t: share(t.spread_rate)), nothing),
-        "processing_cost_gbp": if_completed(_by_type(cost), _money(UNCOMPLETED_COST)),
     }
 
 
