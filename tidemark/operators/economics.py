@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -89,8 +90,8 @@ def with_incentive(
 ) -> DataFrame:
     """Charge the activation bonus to the first funding of every customer in ``variant``.
 
-    At most one transaction per account carries the bonus. It is matched by transaction_id,
-    which is unique and so spreads evenly however busy an account is.
+    Only completed cash-ins can carry it, so only they are shuffled, by transaction_id, which is
+    unique and spreads evenly however busy an account is. The rest pass straight through.
     """
     treated = assignments.where(F.col("variant") == variant).select("customer_id").distinct()
     bonus = (
@@ -99,12 +100,16 @@ def with_incentive(
         .join(treated, "customer_id", "left_semi")
         .select("transaction_id", F.lit(ACTIVATION_BONUS).cast(SMALL_MONEY).alias("_bonus"))
     )
-    cost = F.coalesce("_bonus", F.lit("0.00").cast(SMALL_MONEY))
-    return (
-        transactions.join(bonus, "transaction_id", "left")
-        .withColumn("incentive_cost_gbp", cost)
+    nothing = F.lit("0.00").cast(SMALL_MONEY)
+    can_carry = F.coalesce(is_funding(), F.lit(False))
+    fundings = (
+        transactions.where(can_carry)
+        .join(bonus, "transaction_id", "left")
+        .withColumn("incentive_cost_gbp", F.coalesce("_bonus", nothing))
         .drop("_bonus")
     )
+    rest = transactions.where(~can_carry).withColumn("incentive_cost_gbp", nothing)
+    return rest.unionByName(fundings)
 
 
 def card_details(wide: DataFrame) -> DataFrame:
@@ -136,6 +141,36 @@ def fx_details(wide: DataFrame) -> DataFrame:
     )
 
 
+def subtype_coverage(transactions: DataFrame, details: dict[str, DataFrame]) -> DataFrame:
+    """Per type that has a detail table: transactions without a detail row and the reverse.
+
+    Both sides are stacked and compared by one aggregate over the transaction id.
+    """
+    kinds = transactions.where(F.col(TYPE).isin(*details)).select(
+        "transaction_id", TYPE, F.lit(1).alias("_moves"), F.lit(0).alias("_details")
+    )
+    sides = [
+        rows.select(
+            "transaction_id",
+            F.lit(kind).alias(TYPE),
+            F.lit(0).alias("_moves"),
+            F.lit(1).alias("_details"),
+        )
+        for kind, rows in details.items()
+    ]
+    per_id = (
+        reduce(DataFrame.unionByName, sides, kinds)
+        .groupBy(TYPE, "transaction_id")
+        .agg(F.sum("_moves").alias("_moves"), F.sum("_details").alias("_details"))
+    )
+    return per_id.groupBy(TYPE).agg(
+        F.sum("_moves").alias("transactions"),
+        F.sum("_details").alias("detail_rows"),
+        F.count_if(F.col("_details") == 0).alias("without_detail"),
+        F.count_if(F.col("_moves") == 0).alias("without_transaction"),
+    )
+
+
 def tenure(accounts: DataFrame, as_of: datetime) -> DataFrame:
     """Whole days from opening to ``as_of``, at least one."""
     end = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")

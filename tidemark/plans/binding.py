@@ -56,6 +56,9 @@ class Bank:
     ``lineitem`` may be replaced, for example by a stream of the same rows.
     """
 
+    rule = RULE
+    domains = {"acquisition_channel": SEGMENTS}
+
     def __init__(self, spark: SparkSession, folder: str, lineitem: DataFrame | None = None):
         self.spark, self.folder, self.lineitem = spark, folder, lineitem
 
@@ -251,16 +254,22 @@ class Bank:
         return economics.fx_details(self.detailed_transactions)
 
     @cached_property
-    def lifecycle_events(self) -> DataFrame:
-        return events.lifecycle_events(self.customers, self.kyc_cases, self.accounts)
+    def details(self) -> dict[str, DataFrame]:
+        return {
+            "card_payment": self.card_transactions,
+            "bank_transfer": self.transfers,
+            "fx_exchange": self.fx_transactions,
+        }
 
     @cached_property
-    def transaction_events(self) -> DataFrame:
-        return events.transaction_events(self.accounts, self.transactions)
+    def lifecycle_events(self) -> DataFrame:
+        return events.lifecycle_events(self.customers, self.kyc_cases, self.accounts)
 
     @cached_property
     def product_events(self) -> DataFrame:
-        return self.lifecycle_events.unionByName(self.transaction_events)
+        return self.lifecycle_events.unionByName(
+            events.transaction_events(self.accounts, self.transactions)
+        )
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -450,6 +459,12 @@ class Ledger:
             F.when(user % 10 != 0, user.cast("string")).alias("session_id"),
         )
 
+    @cached_property
+    def owned_accounts(self) -> DataFrame:
+        """The full account rows, each in its user's own session."""
+        owners = self.user_accounts.select("account_id", "session_id")
+        return self.accounts.drop("session_id").join(owners, "account_id")
+
     @cached_property
     def user_requests(self) -> DataFrame:
         return self._events.select(

@@ -293,8 +293,10 @@ ledger_accounts AS (
          created_at, CAST(user_id // 50 AS VARCHAR) AS session_id
   FROM users),
 user_sessions AS (
-  SELECT CAST(user_id AS VARCHAR) AS session_id, created_at,
-         created_at + INTERVAL 30 MINUTES AS expires_at FROM users),
+  SELECT CAST(user_id AS VARCHAR) AS session_id, sha256(CAST(user_id AS VARCHAR)) AS token_hash,
+         created_at, created_at + INTERVAL 30 MINUTES AS expires_at, created_at AS window_start,
+         0 AS request_count FROM users),
+ledger_sessions AS (SELECT * FROM user_sessions),
 user_accounts AS (
   SELECT '00000000-0000-4000-8000-' || lpad(CAST(user_id AS VARCHAR), 12, '0') AS account_id,
          CASE WHEN user_id % 10 <> 0 THEN CAST(user_id AS VARCHAR) END AS session_id
@@ -515,6 +517,7 @@ _NOT_NULL = {
     "quoted_rate spread_bps",
 }
 _LEDGER_NOT_NULL = {
+    "ledger_sessions": "session_id token_hash created_at expires_at window_start request_count",
     "ledger_accounts": "account_id owner_name currency opening_balance_minor balance_minor "
     "created_at",
     "ledger_transfers": "transfer_id idempotency_key source_account_id destination_account_id "
@@ -763,6 +766,18 @@ TENANT_QUERIES = {
     "tx_incentive": "SELECT transaction_id, account_id, transaction_ts, "
     "CAST(incentive_cost_gbp AS DOUBLE) AS incentive_cost_gbp FROM incentives "
     "WHERE incentive_cost_gbp > 0",
+    "tx_subtypes": """
+      SELECT transaction_type, CAST(COUNT(m) AS BIGINT) AS transactions,
+             CAST(COUNT(d) AS BIGINT) AS detail_rows, COUNT(*) FILTER (d IS NULL) AS without_detail,
+             COUNT(*) FILTER (m IS NULL) AS without_transaction
+      FROM (SELECT transaction_id, transaction_type, transaction_id AS m FROM transactions
+            WHERE transaction_type IN ('card_payment', 'bank_transfer', 'fx_exchange'))
+      FULL JOIN (SELECT transaction_id, 'card_payment' AS transaction_type, transaction_id AS d
+                 FROM card_transactions
+                 UNION ALL SELECT transaction_id, 'bank_transfer', transaction_id FROM transfers
+                 UNION ALL SELECT transaction_id, 'fx_exchange', transaction_id
+                 FROM fx_transactions) USING (transaction_id, transaction_type)
+      GROUP BY 1""",
     "tx_cards": "SELECT * FROM card_transactions",
     "tx_transfers": "SELECT * FROM transfers",
     "fx_quote": "SELECT * FROM fx_transactions",
@@ -850,7 +865,7 @@ TENANT_QUERIES = {
     "printf('%.1f%%', CAST(funded_customers AS DOUBLE) / total_signups * 100) AS signup_to_funding, "
     "format('{:,}', kyc_approved) AS kyc_approved, "
     "format('{:,}', transacting_customers) AS transacting_customers, "
-    "'£' || format('{:,}', CAST(round(total_contribution_margin_gbp) AS BIGINT)) "
+    "'£' || format('{:,}', CAST(round_even(total_contribution_margin_gbp, 0) AS BIGINT)) "
     "AS contribution_margin FROM kpis",
     "dash_channels": _CHANNEL_TABLE,
     "dash_channels_by_conversion": f"SELECT {_label('acquisition_channel')} AS channel, "
@@ -1030,6 +1045,8 @@ LEDGER_QUERIES = {
     ),
     "dq_ledger": _union(
         [
+            _unique("ledger_sessions", "session_id"),
+            _unique("ledger_sessions", "token_hash"),
             _unique("ledger_accounts", "account_id"),
             _unique("ledger_transfers", "transfer_id"),
             _unique("ledger_transfers", "idempotency_key"),
@@ -1059,6 +1076,12 @@ LEDGER_QUERIES = {
                 "ledger_transfers",
                 "length(idempotency_key) NOT BETWEEN 1 AND 128",
             ),
+            _check(
+                "foreign_key:session_id",
+                "ledger_accounts",
+                "SELECT COUNT(*) AS n FROM user_accounts a WHERE a.session_id IS NOT NULL "
+                "AND a.session_id NOT IN (SELECT session_id FROM user_sessions)",
+            ),
             _orphans("ledger_transfers", "source_account_id", "ledger_accounts", "account_id"),
             _orphans(
                 "ledger_transfers", "destination_account_id", "ledger_accounts", "account_id"

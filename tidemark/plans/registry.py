@@ -24,7 +24,7 @@ from tidemark.operators import (
     running,
     segments,
 )
-from tidemark.plans.binding import RULE, SEGMENTS, Bank, Ledger
+from tidemark.plans.binding import Bank, Ledger
 from tidemark.schemas import TABLES
 from tidemark.session import run_dir
 from tidemark.sources import sinks, tables
@@ -58,17 +58,19 @@ def views(bank: Bank) -> dict[str, Callable[[], DataFrame]]:
         "channel_performance": lambda: channels.channel_performance(
             b.customers, b.accounts, b.product_events, b.transactions, b.marketing_spend
         ),
-        "retention_cohorts": lambda: retention.monthly_cohorts(b.transactions, RULE),
+        "retention_cohorts": lambda: retention.monthly_cohorts(b.transactions, b.rule),
         "experiment_performance": lambda: experiment.experiment_performance(
             b.experiment_assignments, b.product_events, b.accounts, b.transactions_with_incentive
         ),
         "fx_customer_segments": lambda: segments.fx_customer_segments(b.transactions),
-        "fx_retention": lambda: retention.fx_retention(b.transactions, RULE),
+        "fx_retention": lambda: retention.fx_retention(b.transactions, b.rule),
         "transaction_economics": lambda: economics.transaction_economics(b.transactions),
     }
 
 
-def _bank_queries() -> dict[str, Callable[[Bank], DataFrame]]:
+def bank_queries() -> dict[str, Callable[[Bank], DataFrame]]:
+    """Every analytics query over a bank: derived (Bank) or stored (StoredBank) tables."""
+
     def arms(b: Bank, by=()) -> DataFrame:
         people = b.experiment_assignments.join(
             b.customers.select("customer_id", "acquisition_channel"), "customer_id"
@@ -108,7 +110,7 @@ def _bank_queries() -> dict[str, Callable[[Bank], DataFrame]]:
             b.customers, b.product_events, b.marketing_spend
         ),
         "q08_d30_by_channel": lambda b: retention.d30_by_channel(
-            b.customers, b.accounts, b.transactions, RULE
+            b.customers, b.accounts, b.transactions, b.rule
         ),
         "q09_avg_volume": lambda b: channels.average_volume(
             b.customers, b.accounts, b.transactions
@@ -120,7 +122,7 @@ def _bank_queries() -> dict[str, Callable[[Bank], DataFrame]]:
         "q12_margin_by_type": lambda b: economics.margin_by_type(b.transactions),
         "q13_unit_margin": lambda b: economics.unit_margin(b.transactions),
         "q14_fx_vs_non": lambda b: segments.fx_against_rest(b.transactions),
-        "q15_fx_retention": lambda b: retention.fx_retention(b.transactions, RULE).orderBy(
+        "q15_fx_retention": lambda b: retention.fx_retention(b.transactions, b.rule).orderBy(
             F.desc("d30_retention_pct"), "customer_segment"
         ),
         "q16_fx_share": lambda b: segments.fx_share_by_channel(
@@ -170,7 +172,8 @@ def _bank_queries() -> dict[str, Callable[[Bank], DataFrame]]:
         "tx_cards": lambda b: b.card_transactions,
         "tx_transfers": lambda b: b.transfers,
         "fx_quote": lambda b: b.fx_transactions,
-        "acct_tenure": lambda b: economics.tenure(b.accounts, RULE.as_of),
+        "tx_subtypes": lambda b: economics.subtype_coverage(b.transactions, b.details),
+        "acct_tenure": lambda b: economics.tenure(b.accounts, b.rule.as_of),
         "val_row_counts": lambda b: quality.row_counts(
             {
                 name: b.tables()[name]
@@ -192,9 +195,7 @@ def _bank_queries() -> dict[str, Callable[[Bank], DataFrame]]:
         ),
         "dq_unique": lambda b: quality.check_unique(b.tables()),
         "dq_not_null": lambda b: quality.check_not_null(b.tables()),
-        "dq_domain": lambda b: quality.check_domains(
-            b.tables(), {"acquisition_channel": SEGMENTS}
-        ),
+        "dq_domain": lambda b: quality.check_domains(b.tables(), b.domains),
         "dq_range": lambda b: quality.check_ranges(b.tables()),
         "dq_fk": lambda b: quality.check_foreign_keys(b.tables()),
         "dq_contract": lambda b: quality.check_contracts(
@@ -225,11 +226,13 @@ def _bank_queries() -> dict[str, Callable[[Bank], DataFrame]]:
         "dash_economics_by_margin": lambda b: dashboard.economics_by_margin(
             views(b)["transaction_economics"]()
         ),
-        "src_csv": _csv_roundtrip,
-        "sink_publish": _publish_roundtrip,
     }
 
 
+def _storage_queries() -> dict[str, Callable[[Bank], DataFrame]]:
+    return {"src_csv": _csv_roundtrip, "sink_publish": _publish_roundtrip}
+
+
 def _csv_roundtrip(b: Bank) -> DataFrame:
     """Write the customers as CSV into the shared folder and read them back typed."""
     folder = run_dir(b.spark, "csv")
@@ -269,12 +272,10 @@ def _ledger_queries() -> dict[str, Callable[[Ledger], DataFrame]]:
         )
 
     def ledger_tables(g: Ledger) -> dict[str, DataFrame]:
-        names = TABLES["ledger_transfers"].columns
         return {
-            "ledger_accounts": g.accounts.drop("session_id").withColumn(
-                "session_id", F.lit(None).cast("string")
-            ),
-            "ledger_transfers": g.transfers.select(*names),
+            "ledger_sessions": g.user_sessions,
+            "ledger_accounts": g.owned_accounts,
+            "ledger_transfers": g.transfers.select(*TABLES["ledger_transfers"].columns),
         }
 
     def ring_page(g: Ledger) -> DataFrame:
@@ -376,7 +377,7 @@ def _stream_queries() -> dict[str, Query]:
             streams[name] = jobs.event_time(
                 jobs.file_stream(spark, f"{base}/{name}"), "transaction_ts"
             )
-        window = RULE.windows[0]
+        window = bank.rule.windows[0]
         joined = jobs.activity_after_funding(
             streams["fundings"], streams["transactions"], window.first, window.end
         )
@@ -398,7 +399,8 @@ def named_queries() -> dict[str, Query]:
     def over(source, build) -> Query:
         return lambda spark, folder: comparable(build(source(spark, folder)))
 
-    found = {name: over(Bank, build) for name, build in _bank_queries().items()}
+    found = {name: over(Bank, build) for name, build in bank_queries().items()}
+    found |= {name: over(Bank, build) for name, build in _storage_queries().items()}
     found |= {name: over(Ledger, build) for name, build in _ledger_queries().items()}
     found |= {
         name: lambda spark, folder, run=run: comparable(run(spark, folder))
