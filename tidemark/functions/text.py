@@ -11,6 +11,12 @@ WINDOW_LABELS = {"d30_retention_pct": "D30", "d60_retention_pct": "D60"}
 FX_LABEL, NON_FX_LABEL = "FX user", "Non-FX user"
 
 
+def zero_padded(number: Column, width: int) -> Column:
+    """Digits with leading zeros; longer numbers stay whole."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+
 def title_label(code: Column) -> Column:
     return F.initcap(F.replace(code, F.lit("_"), F.lit(" ")))
 

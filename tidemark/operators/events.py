@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import MONEY, is_activity
+from tidemark.functions.text import zero_padded
 from tidemark.operators.accounts import account_facts
 from tidemark.operators.economics import first_fundings
 
@@ -33,7 +34,7 @@ def _session_of(prefix: str) -> Column:
 
 def lifecycle_events(customers, kyc_cases, accounts) -> DataFrame:
     """Signup, verification and account opening; needs no shuffle."""
-    session = F.format_string("s%07d", F.col("customer_id"))
+    session = F.concat(F.lit("s"), zero_padded(F.col("customer_id"), 7))
     outcome = F.when(F.col("status") == "approved", "kyc_approved").otherwise("kyc_rejected")
     started = kyc_cases.where(F.col("started_ts").isNotNull())
     finished = kyc_cases.where(F.col("completed_ts").isNotNull())

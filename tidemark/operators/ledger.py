@@ -187,17 +187,21 @@ def journal(requests: DataFrame, accounts: DataFrame) -> DataFrame:
         return df.join(found, side).where(same).drop("_owner")
 
     allowed = own(own(requests, "source_account_id"), "destination_account_id")
-    columns = [
-        "request_id",
+    attempts = allowed.select(
         "session_id",
+        "idempotency_key",
+        "request_id",
         "source_account_id",
         "destination_account_id",
         "amount_minor",
         "currency",
         F.col("ts").alias("created_at"),
-    ]
-    keyed = allowed.select(scoped_key().alias("idempotency_key"), *columns)
-    return first_per_key(keyed, ["idempotency_key"], ["created_at", "request_id"])
+    )
+    # Group by the short raw key; only the booked rows are hashed.
+    booked = first_per_key(
+        attempts, ["session_id", "idempotency_key"], ["created_at", "request_id"]
+    )
+    return booked.withColumn("idempotency_key", scoped_key())
 
 
 def classified_requests(requests: DataFrame, committed: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.fees import RATES_TO_GBP
 from tidemark.functions.money import MONEY
+from tidemark.functions.text import zero_padded
 from tidemark.operators import economics, events, ledger
 from tidemark.operators.retention import RetentionRule, Window
 from tidemark.sources.tables import transfer_series
@@ -313,7 +314,7 @@ class Ledger:
     @staticmethod
     def _account(user: Column) -> Column:
         """A UUID-shaped account id per user."""
-        return F.format_string("00000000-0000-4000-8000-%012d", user.cast("bigint"))
+        return F.concat(F.lit("00000000-0000-4000-8000-"), zero_padded(user, 12))
 
     @staticmethod
     def _session(user: Column) -> Column:
@@ -490,9 +491,7 @@ class Ledger:
 
     @cached_property
     def transfers(self) -> DataFrame:
-        return self.journal.withColumn(
-            "transfer_id", F.format_string("%012d", F.col("request_id"))
-        )
+        return self.journal.withColumn("transfer_id", zero_padded(F.col("request_id"), 12))
 
     @cached_property
     def postings(self) -> DataFrame:
