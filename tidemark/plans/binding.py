@@ -308,8 +308,14 @@ class Ledger:
 
     @cached_property
     def _events(self) -> DataFrame:
+        """Events with ``k`` out of their JSON.
+
+        Filters on columns made from ``k`` would be pushed below the parsing and repeat it once
+        per mention. They cannot pass a generator, so exploding a single value parses it once.
+        """
         k = F.get_json_object("props", "$.k").cast("bigint")
-        return self.events.select("event_id", "ts", "user_id", "event_type", k.alias("k"))
+        parsed = F.explode(F.array(k)).alias("k")
+        return self.events.select("event_id", "ts", "user_id", "event_type", parsed)
 
     @staticmethod
     def _account(user: Column) -> Column:
