@@ -51,14 +51,27 @@ def pass_requests(
         upper = int(np.searchsorted(times, start + width, side="left"))
 
 
-def _fold(limit: int, width: int):
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["at", "request_id"], ignore_index=True)
-        start = int(pdf["opened"].iloc[0])
-        pdf["passed"] = pass_requests(pdf["at"].to_numpy(), start, 0, width, limit)[0]
-        return pdf[["session_id", "request_id", "passed"]]
-
-    return fold
+def _sweep(limit: int, width: int):
+    """Walk rows sorted by (session, time, id), carrying the open window from batch to batch."""
+
+    def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        session, started, used = None, 0, 0
+        for pdf in batches:
+            ids, times = pdf["session_id"].to_numpy(), pdf["at"].to_numpy()
+            opened = pdf["opened"].to_numpy()
+            passed = np.empty(len(pdf), dtype=bool)
+            edges = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1), len(pdf)]
+            for low, high in zip(edges[:-1], edges[1:]):
+                if low == high:
+                    continue
+                if ids[low] != session:
+                    session, started, used = ids[low], int(opened[low]), 0
+                passed[low:high], started, used = pass_requests(
+                    times[low:high], started, used, width, limit
+                )
+            yield pdf[["session_id", "request_id"]].assign(passed=passed)
+
+    return sweep
 
 
 def rate_limited(
@@ -70,10 +83,11 @@ def rate_limited(
 ) -> DataFrame:
     """(session_id, request_id, passed) for every request of a known session.
 
-    Sessions with fewer than ``hot_rows`` requests are folded one group per session, so no
-    group exceeds that size. Larger ones go window by window: each round finds the next window
-    start of every busy session with one pre-combined MIN. A session lives for a bounded time,
-    so it has few windows (30 under the default rules) however many requests it sends.
+    Sessions with fewer than ``hot_rows`` requests are sorted into partitions and walked batch by
+    batch, so memory does not depend on the size of a session. Larger ones go window by window:
+    each round finds the next window start of every busy session with one pre-combined MIN. A
+    session lives for a bounded time, so it has few windows (30 under the default rules) however
+    many requests it sends.
     """
     width = window_seconds * 1_000_000
     opened = sessions.select("session_id", _micros("window_start").alias("opened"))
@@ -81,16 +95,17 @@ def rate_limited(
     hot = hot_keys(timed, "session_id", hot_rows)
     schema = timed.select("session_id", "request_id").schema.add("passed", "boolean")
     if hot.isEmpty():
-        return _folded(timed.join(opened, "session_id"), limit, width, schema)
+        return _walked(timed.join(opened, "session_id"), limit, width, schema)
     marks = F.broadcast(hot.select("session_id"))
     few = timed.join(marks, "session_id", "left_anti").join(opened, "session_id")
     many = timed.join(marks, "session_id", "left_semi")
     starts = opened.join(marks, "session_id", "left_semi")
-    return _folded(few, limit, width, schema).unionByName(_by_rounds(many, starts, limit, width))
+    return _walked(few, limit, width, schema).unionByName(_by_rounds(many, starts, limit, width))
 
 
-def _folded(timed: DataFrame, limit: int, width: int, schema) -> DataFrame:
-    return timed.groupBy("session_id").applyInPandas(_fold(limit, width), schema)
+def _walked(timed: DataFrame, limit: int, width: int, schema) -> DataFrame:
+    ordered = timed.repartition("session_id").sortWithinPartitions("session_id", "at", "request_id")
+    return ordered.mapInPandas(_sweep(limit, width), schema)
 
 
 def _window_chain(timed: DataFrame, starts: DataFrame, width: int) -> Iterator[DataFrame]:
