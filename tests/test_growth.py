@@ -1,8 +1,11 @@
 """Funnel, channel and segment rules on hand-made edge cases."""
 
+from decimal import Decimal
+
 import pytest
 
 from tests.conftest import at, one, rows
+from tidemark.functions.money import per
 from tidemark.operators import channels, economics, funnel, segments
 from tidemark.operators.accounts import account_facts
 
@@ -209,3 +212,13 @@ def test_tenure_is_whole_days_and_at_least_one(make):
     )
     found = rows(economics.tenure(holders, at("2026-08-31 23:59:59")))
     assert found == [(0, 1), (1, 2), (2, 1)]
+
+
+@pytest.mark.parametrize(
+    "total, count, places, expected",
+    [("16.33", 8, 4, 2.0413), ("17.33", 8, 4, 2.1663), ("-16.33", 8, 4, -2.0413), ("5.35", 2, 2, 2.68)]
+    + [("1.00", 0, 2, None), (None, 3, 2, None)],
+)
+def test_ratios_round_half_away_from_zero(spark, total, count, places, expected):
+    df = spark.createDataFrame([(total and Decimal(total), count)], "t decimal(14,2), n bigint")
+    assert df.select(per(df.t, df.n, places)).first()[0] == expected

@@ -23,7 +23,7 @@ def stored(spark, folder):
     return bank
 
 
-SAMPLE = [n for n in bank_queries() if n.startswith(("q0", "v_", "exp_", "tx_"))]
+SAMPLE = [n for n in bank_queries() if n.startswith(("v_", "exp_", "tx_"))]
 
 
 @pytest.mark.parametrize("name", SAMPLE)

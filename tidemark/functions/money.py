@@ -42,13 +42,19 @@ def margin() -> Column:
     return revenue() - F.col("processing_cost_gbp")
 
 
-def pct(part: Column, whole: Column, places: int = 2) -> Column:
-    """100 * part / whole, NULL where there is nothing to divide by."""
-    return F.round(F.try_divide(F.lit(100.0) * part, whole), places)
+def per(total: Column, count: Column, places: int = 2) -> Column:
+    """total / count as a rounded double, NULL where there is nothing to divide by.
 
+    Divides as DECIMAL: a quotient such as 2.04125 is no exact double, and rounding one would
+    send ties either way. The quotient keeps at least 15 decimals, far more than any tie needs.
+    """
+    exact = F.try_divide(total.cast("decimal(24,2)"), count.cast("decimal(20,0)"))
+    return F.round(exact, places).cast("double")
 
-def per(total: Column, count: Column, places: int = 2) -> Column:
-    return F.round(F.try_divide(total.cast("double"), count), places)
+
+def pct(part: Column, whole: Column, places: int = 2) -> Column:
+    """100 * part / whole for counts."""
+    return per(part.cast("decimal(22,0)") * 100, whole, places)
 
 
 def mean(value: Column, places: int = 2) -> Column:

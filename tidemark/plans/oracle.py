@@ -6,6 +6,8 @@ are used freely here because the oracle only ever sees small tables.
 
 from __future__ import annotations
 
+import re
+
 TENANT = """
 people AS (
   SELECT c.*, COALESCE(o.first_order, TIMESTAMP '1995-01-01') AS signup_ts
@@ -201,16 +203,16 @@ kpis AS (
          (SELECT CAST(SUM(margin) AS DOUBLE) FROM money WHERE ok) AS total_contribution_margin_gbp),
 channel_performance AS (
   SELECT v.acquisition_channel, v.signups, v.funded_customers,
-         round(CAST(100 AS DOUBLE) * funded_customers / signups, 2) AS signup_to_funding_pct,
+         [[pct funded_customers | signups | 2]] AS signup_to_funding_pct,
          CAST(spend AS DOUBLE) AS acquisition_spend_gbp,
-         round(CAST(spend AS DOUBLE) / signups, 2) AS cac_gbp,
-         round(CAST(spend AS DOUBLE) / NULLIF(funded_customers, 0), 2)
+         [[money spend | signups | 2]] AS cac_gbp,
+         [[money spend | funded_customers | 2]]
            AS cost_per_funded_customer_gbp,
          avg_transaction_volume_gbp, avg_contribution_margin_gbp
   FROM conversion v JOIN spend USING (acquisition_channel)
   JOIN (SELECT acquisition_channel,
-               round(CAST(SUM(volume) AS DOUBLE) / COUNT(volume), 2) AS avg_transaction_volume_gbp,
-               round(CAST(SUM(margin) AS DOUBLE) / COUNT(margin), 2) AS avg_contribution_margin_gbp
+               [[money SUM(volume) | COUNT(volume) | 2]] AS avg_transaction_volume_gbp,
+               [[money SUM(margin) | COUNT(margin) | 2]] AS avg_contribution_margin_gbp
         FROM holders GROUP BY 1) USING (acquisition_channel)),
 participants AS (
   SELECT e.*, c.acquisition_channel, f.customer_id IS NOT NULL AS activated, x.margin,
@@ -223,13 +225,11 @@ participants AS (
     USING (customer_id)),
 experiment_performance AS (
   SELECT variant, COUNT(*) AS assigned_customers, COUNT(*) FILTER (activated) AS activated_customers,
-         round(CAST(100 AS DOUBLE) * COUNT(*) FILTER (activated) / COUNT(*), 2)
+         [[pct COUNT(*) FILTER (activated) | COUNT(*) | 2]]
            AS activation_rate_pct,
          CAST(SUM(incentive) AS DOUBLE) AS total_incentive_cost_gbp,
-         round(CAST(SUM(margin) FILTER (activated) AS DOUBLE)
-               / NULLIF(COUNT(margin) FILTER (activated), 0), 2) AS avg_margin_before_incentive_gbp,
-         round(CAST(SUM(margin - incentive) FILTER (activated) AS DOUBLE)
-               / NULLIF(COUNT(margin) FILTER (activated), 0), 2) AS avg_margin_after_incentive_gbp
+         [[money SUM(margin) FILTER (activated) | COUNT(margin) FILTER (activated) | 2]] AS avg_margin_before_incentive_gbp,
+         [[money SUM(margin - incentive) FILTER (activated) | COUNT(margin) FILTER (activated) | 2]] AS avg_margin_after_incentive_gbp
   FROM participants GROUP BY 1),
 arms AS (
   SELECT experiment_name, acquisition_channel, variant, COUNT(*) AS assigned,
@@ -239,21 +239,21 @@ arms AS (
 fx_customer_segments AS (
   SELECT CASE WHEN used_fx THEN 'FX user' ELSE 'Non-FX user' END AS customer_segment,
          COUNT(*) AS customers,
-         round(CAST(SUM(done) AS DOUBLE) / COUNT(done), 2) AS avg_completed_transactions,
-         round(CAST(SUM(volume) AS DOUBLE) / COUNT(volume), 2) AS avg_transaction_volume_gbp,
-         round(CAST(SUM(margin) AS DOUBLE) / COUNT(margin), 2) AS avg_contribution_margin_gbp
+         [[count SUM(done) | COUNT(done) | 2]] AS avg_completed_transactions,
+         [[money SUM(volume) | COUNT(volume) | 2]] AS avg_transaction_volume_gbp,
+         [[money SUM(margin) | COUNT(margin) | 2]] AS avg_contribution_margin_gbp
   FROM holders WHERE funded_ts IS NOT NULL GROUP BY 1),
 fx_retention AS (
   SELECT CASE WHEN used_fx THEN 'FX user' ELSE 'Non-FX user' END AS customer_segment,
          COUNT(*) AS eligible_customers, COUNT(*) FILTER (w1 >= 2) AS retained_d30,
-         round(CAST(100 AS DOUBLE) * COUNT(*) FILTER (w1 >= 2) / COUNT(*), 2) AS d30_retention_pct
+         [[pct COUNT(*) FILTER (w1 >= 2) | COUNT(*) | 2]] AS d30_retention_pct
   FROM windows WHERE funded_ts <= TIMESTAMP '2001-11-05' - INTERVAL 360 DAYS GROUP BY 1),
 retention_cohorts AS (
   SELECT CAST(date_trunc('month', funded_ts) AS DATE) AS funding_cohort,
          COUNT(*) AS funded_customers, COUNT(*) FILTER (w1 >= 2) AS retained_d30,
-         round(CAST(100 AS DOUBLE) * COUNT(*) FILTER (w1 >= 2) / COUNT(*), 2) AS d30_retention_pct,
+         [[pct COUNT(*) FILTER (w1 >= 2) | COUNT(*) | 2]] AS d30_retention_pct,
          COUNT(*) FILTER (w2 >= 2) AS retained_d60,
-         round(CAST(100 AS DOUBLE) * COUNT(*) FILTER (w2 >= 2) / COUNT(*), 2) AS d60_retention_pct
+         [[pct COUNT(*) FILTER (w2 >= 2) | COUNT(*) | 2]] AS d60_retention_pct
   FROM windows
   WHERE funded_ts < date_trunc('month', TIMESTAMP '2001-11-05' - INTERVAL 540 DAYS) GROUP BY 1),
 transaction_economics AS (
@@ -262,7 +262,7 @@ transaction_economics AS (
          CAST(SUM(revenue) FILTER (ok) AS DOUBLE) AS revenue_gbp,
          CAST(SUM(processing_cost_gbp) FILTER (ok) AS DOUBLE) AS processing_cost_gbp,
          CAST(SUM(margin) FILTER (ok) AS DOUBLE) AS contribution_margin_gbp,
-         round(CAST(SUM(margin) FILTER (ok) AS DOUBLE) / NULLIF(COUNT(*) FILTER (ok), 0), 4)
+         [[money SUM(margin) FILTER (ok) | COUNT(*) FILTER (ok) | 4]]
            AS avg_margin_per_transaction_gbp
   FROM money GROUP BY 1)
 """
@@ -376,12 +376,36 @@ account_bodies AS (
 """
 
 
+def _quotients(sql: str) -> str:
+    """Expand [[kind numerator | denominator | places]] into an exactly rounded quotient.
+
+    Whole-number arithmetic, halves away from zero: rounding a double quotient would send ties
+    either way. Money is turned into pennies through its text, counts are taken as they are.
+    """
+
+    def expand(match: re.Match) -> str:
+        kind, top, bottom, places = (part.strip() for part in match.groups())
+        if kind == "money":
+            units, scale = f"CAST(replace(CAST({top} AS VARCHAR), '.', '') AS HUGEINT)", 2
+        else:
+            units, scale = f"CAST({top} AS HUGEINT)" + (" * 100" if kind == "pct" else ""), 0
+        n = f"NULLIF(CAST({bottom} AS HUGEINT), 0)"
+        step = 10 ** (int(places) - scale)
+        return (
+            f"(CASE WHEN {units} < 0 THEN -1 ELSE 1 END "
+            f"* CAST((2 * abs({units}) * {step} + {n}) // (2 * {n}) AS DOUBLE) "
+            f"/ CAST({10 ** int(places)} AS DOUBLE))"
+        )
+
+    return re.sub(r"\[\[(\w+) (.+?) \| (.+?) \| (\d)\]\]", expand, sql, flags=re.DOTALL)
+
+
 def _pct(part: str, whole: str, name: str) -> str:
-    return f"round(CAST(100 AS DOUBLE) * {part} / NULLIF({whole}, 0), 2) AS {name}"
+    return f"[[pct {part} | {whole} | 2]] AS {name}"
 
 
-def _mean(value: str, name: str, source: str = "") -> str:
-    return f"round(CAST(SUM({value}) AS DOUBLE) / NULLIF(COUNT({value}), 0), 2) AS {name}"
+def _mean(value: str, name: str, kind: str = "money") -> str:
+    return f"[[{kind} SUM({value}) | COUNT({value}) | 2]] AS {name}"
 
 
 _ERFC = (
@@ -680,11 +704,11 @@ TENANT_QUERIES = {
     + _pct("funded_customers", "signups", "signup_to_funding_pct")
     + " FROM conversion",
     "q06_cac": "SELECT acquisition_channel, signups AS customers_acquired, "
-    "CAST(spend AS DOUBLE) AS total_spend_gbp, round(CAST(spend AS DOUBLE) / signups, 2) AS cac_gbp "
+    "CAST(spend AS DOUBLE) AS total_spend_gbp, [[money spend | signups | 2]] AS cac_gbp "
     "FROM conversion JOIN spend USING (acquisition_channel)",
     "q07_cost_per_funded": "SELECT acquisition_channel, funded_customers, "
     "CAST(spend AS DOUBLE) AS total_spend_gbp, "
-    "round(CAST(spend AS DOUBLE) / NULLIF(funded_customers, 0), 2) AS cost_per_funded_customer_gbp "
+    "[[money spend | funded_customers | 2]] AS cost_per_funded_customer_gbp "
     "FROM conversion JOIN spend USING (acquisition_channel)",
     "q08_d30_by_channel": "SELECT acquisition_channel, COUNT(*) AS eligible_customers, "
     "COUNT(*) FILTER (w1 >= 2) AS retained_d30, "
@@ -694,7 +718,7 @@ TENANT_QUERIES = {
     + _mean("volume", "avg_transaction_volume_gbp")
     + " FROM holders WHERE done > 0 GROUP BY 1",
     "q10_avg_frequency": "SELECT acquisition_channel, COUNT(*) AS funded_customers, "
-    + _mean("done", "avg_completed_transactions")
+    + _mean("done", "avg_completed_transactions", "count")
     + " FROM holders WHERE done > 0 GROUP BY 1",
     "q11_revenue_by_type": "SELECT transaction_type, completed_transactions, "
     "revenue_gbp AS total_revenue_gbp FROM transaction_economics",
@@ -706,7 +730,7 @@ TENANT_QUERIES = {
     "AS customer_segment, COUNT(*) AS customers, "
     + ", ".join(
         (
-            _mean("done", "avg_completed_transactions"),
+            _mean("done", "avg_completed_transactions", "count"),
             _mean("volume", "avg_transaction_volume_gbp"),
             _mean("margin", "avg_contribution_margin_gbp"),
         )
@@ -1111,7 +1135,7 @@ TENANT_QUERIES |= {
              CAST(SUM(revenue) FILTER (ok) AS DOUBLE) AS revenue_gbp,
              CAST(SUM(processing_cost_gbp) FILTER (ok) AS DOUBLE) AS processing_cost_gbp,
              CAST(SUM(margin) FILTER (ok) AS DOUBLE) AS contribution_margin_gbp,
-             round(CAST(SUM(margin) FILTER (ok) AS DOUBLE) / NULLIF(COUNT(*) FILTER (ok), 0), 4)
+             [[money SUM(margin) FILTER (ok) | COUNT(*) FILTER (ok) | 4]]
                AS avg_margin_per_transaction_gbp
       FROM (SELECT *, CAST(date_trunc('day', transaction_ts) AS TIMESTAMP) AS day FROM money)
       WHERE day + INTERVAL 1 DAY <= (SELECT MAX(l_shipdate) - INTERVAL 30 MINUTES FROM lineitem)
@@ -1147,4 +1171,4 @@ def oracle_sql() -> dict[str, str]:
     for name, sql in LEDGER_QUERIES.items():
         recursive = "RECURSIVE " if "chain(" in _EXTRA.get(name, "") else ""
         found[name] = f"WITH {recursive}{LEDGER}{_EXTRA.get(name, '')} {sql}"
-    return found
+    return {name: _quotients(sql) for name, sql in found.items()}
