@@ -16,6 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.clock import plain_micros
 from tidemark.operators.skew import HOT_ROWS, hot_keys, mark_first
 from tidemark.session import shared_dir
 
@@ -24,11 +25,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LIMIT = 60
 WINDOW_SECONDS = 60
-_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
-
-
-def _micros(column: str):
-    return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, {column})")
 
 
 def pass_requests(
@@ -90,8 +86,8 @@ def rate_limited(
     many requests it sends.
     """
     width = window_seconds * 1_000_000
-    opened = sessions.select("session_id", _micros("window_start").alias("opened"))
-    timed = requests.select("session_id", "request_id", _micros("ts").alias("at"))
+    opened = sessions.select("session_id", plain_micros("window_start").alias("opened"))
+    timed = requests.select("session_id", "request_id", plain_micros("ts").alias("at"))
     hot = hot_keys(timed, "session_id", hot_rows)
     schema = timed.select("session_id", "request_id").schema.add("passed", "boolean")
     if hot.isEmpty():

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.clock import as_plain
 from tidemark.functions.fees import fee_columns
 from tidemark.operators import (
     channels,
@@ -335,7 +336,7 @@ def _stream_queries() -> dict[str, Query]:
         return Bank(spark, folder, jobs.event_time(stream, "l_shipdate"))
 
     def plain_time(df: DataFrame, *columns: str) -> DataFrame:
-        return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+        return df.withColumns({c: as_plain(c) for c in columns})
 
     def unique(spark: SparkSession, folder: str) -> DataFrame:
         kept = jobs.unique_requests(requests(spark, folder).valid_requests)

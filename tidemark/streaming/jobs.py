@@ -10,7 +10,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
+from tidemark.functions.clock import as_instant, plain_micros
 from tidemark.functions.money import is_activity, is_funding
 from tidemark.operators.economics import economics_measures
 from tidemark.operators.ledger import scoped_key
@@ -37,7 +39,10 @@ def file_stream(spark: SparkSession, path: str, max_files: int = 64) -> DataFram
 
 
 def event_time(stream: DataFrame, column: str, delay: str = DELAY) -> DataFrame:
-    return stream.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
+    """Give the stream a watermark on ``column``, read as UTC where it has no zone."""
+    plain = isinstance(stream.schema[column].dataType, TimestampNTZType)
+    instant = as_instant(column) if plain else F.col(column)
+    return stream.withColumn(column, instant).withWatermark(column, delay)
 
 
 @contextmanager
@@ -87,9 +92,7 @@ def rate_limited(
     requests: DataFrame, sessions: DataFrame, limit: int, window_seconds: int, delay: str = DELAY
 ) -> DataFrame:
     """Pass or reject each request; ``sessions`` is a table of when each session began."""
-    opened = sessions.select(
-        "session_id", F.unix_micros(F.col("window_start").cast("timestamp")).alias("opened")
-    )
+    opened = sessions.select("session_id", plain_micros("window_start").alias("opened"))
     timed = (
         event_time(requests, "ts", delay)
         .withColumn("at", F.unix_micros("ts"))
@@ -164,7 +167,8 @@ def activity_after_funding(
     """Activity in [first_day, end_day) after the account's funding, as a stream-stream join.
 
     Both inputs carry watermarks, so a funding is kept for ``end_day`` days and an activity until
-    no funding can still match it. That is long-lived state: run it with availableNow.
+    no funding can still match it. That is long-lived state: run it with availableNow. Days added
+    to an instant follow the session's time zone, so use a UTC session for 24-hour days.
     """
     left = fundings.select(
         F.col("account_id").alias("funded_account"),
