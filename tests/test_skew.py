@@ -34,9 +34,15 @@ def test_retention(bank, hot_rows):
     )
 
 
-def test_retention_shares_the_account_summary(bank):
+    assert rows(retention.fx_retention(bank.transactions, RULE, hot_rows)) == rows(
+        retention.fx_retention(bank.transactions, RULE)
+    )
+
+
+@pytest.mark.parametrize("report", [retention.monthly_cohorts, retention.fx_retention])
+def test_retention_shares_the_account_summary(bank, report):
     """Hot-key detection must reuse the anchor's shuffle instead of scanning again."""
-    df = retention.monthly_cohorts(bank.transactions, RULE, hot_rows=25)
+    df = report(bank.transactions, RULE, hot_rows=25)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "ReusedExchange [account_id" in plan

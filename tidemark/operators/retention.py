@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -60,22 +60,27 @@ def activity_in_windows(
     weight: str,
     windows: Sequence[Window],
     carry: Sequence[str] = (),
+    summaries: Mapping[str, tuple[str, Column]] | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Events per window for every anchor, zero where there are none.
 
     ``weight`` names the anchor column that counts the entity's rows; it steers the salting of
-    busy entities and does not change the result.
+    busy entities and does not change the result. ``carry`` keeps columns of the anchor;
+    ``summaries`` adds (activity column needed, aggregate) over the whole activity of the entity.
     """
+    summaries = summaries or {}
+    needed = [activity_ts, row_id, *[column for column, _ in summaries.values()]]
     at, since = F.col(activity_ts), F.col(anchor_ts)
     inside = [
         F.count_if((at >= since + _days(w.first)) & (at < since + _days(w.end))).alias(w.name)
         for w in windows
     ]
     kept = [F.max(c).alias(c) for c in carry]
+    kept += [value.alias(name) for name, (_, value) in summaries.items()]
     joined = spread_lookup(
         anchors.select(key, anchor_ts, weight, *carry),
-        activity.select(key, activity_ts, row_id),
+        activity.select(key, *dict.fromkeys(needed)),
         key,
         weight,
         row_id,
@@ -102,7 +107,9 @@ def funded_anchors(transactions: DataFrame) -> DataFrame:
     return account_facts(transactions).where(F.col("first_funding_ts").isNotNull())
 
 
-def _account_activity(anchors, transactions, windows, carry, hot_rows) -> DataFrame:
+def _account_activity(
+    anchors, transactions, windows, hot_rows, carry=(), summaries=None
+) -> DataFrame:
     return activity_in_windows(
         anchors,
         transactions.where(is_activity()),
@@ -113,6 +120,7 @@ def _account_activity(anchors, transactions, windows, carry, hot_rows) -> DataFr
         weight="transactions",
         windows=windows,
         carry=carry,
+        summaries=summaries,
         hot_rows=hot_rows,
     )
 
@@ -124,7 +132,7 @@ def d30_by_channel(
     anchors = funded_anchors(transactions).where(
         F.col("first_funding_ts") <= rule.matured_by(first)
     )
-    counts = _account_activity(anchors, transactions, [first], (), hot_rows)
+    counts = _account_activity(anchors, transactions, [first], hot_rows)
     owners = accounts.select("account_id", "customer_id").join(
         customers.select("customer_id", "acquisition_channel"), "customer_id"
     )
@@ -141,15 +149,29 @@ def d30_by_channel(
 def fx_retention(
     transactions, rule: RetentionRule = RetentionRule(), hot_rows=HOT_ROWS
 ) -> DataFrame:
-    """First window by currency-exchange use; use counts over the whole life of the account."""
+    """First window by currency-exchange use; use counts over the whole life of the account.
+
+    A completed exchange is activity, so use is read off the same joined rows and the anchors
+    stay the same as for the other retention reports.
+    """
     first = rule.windows[0]
-    anchors = (
-        funded_anchors(transactions)
-        .where(F.col("first_funding_ts") <= rule.matured_by(first))
-        .withColumn("customer_segment", segment_label(F.col("used_fx")))
+    anchors = funded_anchors(transactions).where(
+        F.col("first_funding_ts") <= rule.matured_by(first)
+    )
+    exchanged = F.coalesce(
+        F.bool_or(F.col("transaction_type") == "fx_exchange"), F.lit(False)
+    )
+    counts = _account_activity(
+        anchors,
+        transactions,
+        [first],
+        hot_rows,
+        summaries={"used_fx": ("transaction_type", exchanged)},
+    )
+    segmented = counts.withColumn("customer_segment", segment_label(F.col("used_fx")))
+    return retained(
+        segmented, "customer_segment", [first], rule.min_events, "eligible_customers"
     )
-    counts = _account_activity(anchors, transactions, [first], ["customer_segment"], hot_rows)
-    return retained(counts, "customer_segment", [first], rule.min_events, "eligible_customers")
 
 
 def monthly_cohorts(
@@ -162,7 +184,7 @@ def monthly_cohorts(
         .withColumn("funding_cohort", F.trunc("first_funding_ts", "MM"))
     )
     counts = _account_activity(
-        anchors, transactions, rule.windows, ["funding_cohort"], hot_rows
+        anchors, transactions, rule.windows, hot_rows, carry=["funding_cohort"]
     )
     return retained(
         counts, "funding_cohort", rule.windows, rule.min_events, "funded_customers"
