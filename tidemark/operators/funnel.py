@@ -19,29 +19,32 @@ def reached_steps(
 ) -> DataFrame:
     """One row per entity: its ``by`` columns and one boolean per step it reached.
 
-    ``steps`` map a name to any DataFrame with the key, repeats allowed. All inputs are stacked
-    as (key, bit) and combined with BIT_OR, so repeats collapse before a single shuffle and no
-    join or DISTINCT is needed. Keys unknown to ``entities`` are dropped, entities without any
-    step are kept.
+    ``steps`` map a name to any DataFrame with the key, repeats allowed. They are stacked as
+    (key, bit) and combined with BIT_OR, so repeats collapse before the shuffle and no DISTINCT
+    is needed; the buffer is a number, which keeps the aggregate hash-based. Without ``by`` the
+    entities are one more bit of the same stack, otherwise they are joined one to one. Keys
+    unknown to ``entities`` are dropped, entities without any step are kept.
     """
+
+    def bit(i: int) -> Column:
+        return F.lit(1 << i).cast("long")
+
     names = list(steps)
-    base = entities.select(key, F.lit(1).cast("long").alias("_bits"), *by)
-    blanks = [F.lit(None).cast(entities.schema[c].dataType).alias(c) for c in by]
-    parts = [base] + [
-        steps[name].select(key, F.lit(2 << i).cast("long").alias("_bits"), *blanks)
-        for i, name in enumerate(names)
-    ]
+    parts = [steps[name].select(key, bit(i + 1).alias("_bits")) for i, name in enumerate(names)]
+    if not by:
+        parts.append(entities.select(key, bit(0).alias("_bits")))
     merged = (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy(key)
-        .agg(F.bit_or("_bits").alias("_bits"), *[F.max(c).alias(c) for c in by])
-        .where(F.col("_bits").bitwiseAND(1) == 1)
+        reduce(DataFrame.unionByName, parts).groupBy(key).agg(F.bit_or("_bits").alias("_bits"))
     )
+    if by:
+        reached = entities.select(key, *by).join(merged, key, "left")
+        reached = reached.withColumn("_bits", F.coalesce("_bits", F.lit(0).cast("long")))
+    else:
+        reached = merged.where(F.col("_bits").bitwiseAND(bit(0)) != 0)
     flags = [
-        (F.col("_bits").bitwiseAND(F.lit(2 << i).cast("long")) != 0).alias(name)
-        for i, name in enumerate(names)
+        (F.col("_bits").bitwiseAND(bit(i + 1)) != 0).alias(name) for i, name in enumerate(names)
     ]
-    return merged.select(key, *by, *flags)
+    return reached.select(key, *by, *flags)
 
 
 def step_counts(
