@@ -1,6 +1,6 @@
 """Load stored tables, check them, publish the extracts and show the experiment readout.
 
-    spark-submit tidemark/__main__.py --tables FOLDER --extracts FOLDER [--format csv|parquet]
+    python -m tidemark --tables FOLDER --extracts FOLDER [--format csv|parquet]
 """
 
 from __future__ import annotations
