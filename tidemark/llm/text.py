@@ -46,11 +46,11 @@ class _Powers:
         if len(self.up) < n:
             size = max(n, BLOCK_BYTES)
             inverse = pow(_BASE, -1, 1 << 64)
+            steps = np.empty((2, size + 1), np.uint64)
+            steps[0], steps[1] = _BASE, inverse
+            steps[:, 0] = 1
             with np.errstate(over="ignore"):
-                self.up, self.down = (
-                    np.cumprod(np.concatenate([[1], np.full(size, b, np.uint64)]).astype(np.uint64))
-                    for b in (_BASE, inverse)
-                )
+                self.up, self.down = np.cumprod(steps, axis=1, dtype=np.uint64)
         return self.up, self.down
 
 
