@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, fingerprints, packing
+from tidemark.llm import bpe, chat, fingerprints, packing, topk
 from tidemark.llm.spark import table
 
 
@@ -24,6 +24,26 @@ def packing_query(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def topk_query(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search_every(table(spark, folder, "embeddings", "vec_id", "embedding"))
+
+
+TOPK_SQL = """
+WITH sound AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM sound q JOIN sound c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def bpe_query(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = table(spark, folder, "documents", "doc_id", "text")
@@ -79,10 +99,11 @@ def named_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_weighted_sampling": fingerprint_query,
         "op6_best_fit_packing": packing_query,
+        "op8_sorted_list_topk": topk_query,
         "op9_bpe_automaton": bpe_query,
         "op10_chat_formatting": chat_query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_chat_formatting": CHAT_SQL}
+    return {"op8_sorted_list_topk": TOPK_SQL, "op10_chat_formatting": CHAT_SQL}
