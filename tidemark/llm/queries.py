@@ -8,10 +8,36 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, fingerprints, packing, topk
+from tidemark.llm import bpe, chat, fingerprints, packing, topk, warc
 from tidemark.llm.spark import table
 
 
+def warc_query(spark: SparkSession, folder: str) -> DataFrame:
+    path = warc.archive(table(spark, folder, "pages", "page_id", "url", "html"))
+    return warc.read_archive(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+WARC_SQL = """
+WITH hashed AS (
+  SELECT page_id, strlen(COALESCE(html, '')) AS payload_bytes,
+    CAST(CAST(unhex(sha1(COALESCE(html, ''))) AS BIT) AS VARCHAR) AS bits FROM pages
+), told AS (
+  SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32), lambda i:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+        16 * CAST(substr(bits, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT)
+        + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT)
+        + CAST(substr(bits, 5 * i + 5, 1) AS INT) AS INT), 1)), 'string_agg', '') AS payload_digest
+  FROM hashed
+), firsts AS (
+  SELECT *, MAX(page_id) OVER (PARTITION BY payload_digest) AS first FROM told
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM firsts
+"""
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -97,6 +123,7 @@ FROM shown GROUP BY conv_id
 
 def named_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc_reassembly": warc_query,
         "op2_weighted_sampling": fingerprint_query,
         "op6_best_fit_packing": packing_query,
         "op8_sorted_list_topk": topk_query,
@@ -106,4 +133,4 @@ def named_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_sorted_list_topk": TOPK_SQL, "op10_chat_formatting": CHAT_SQL}
+    return {"op1_warc_reassembly": WARC_SQL, "op8_sorted_list_topk": TOPK_SQL, "op10_chat_formatting": CHAT_SQL}
