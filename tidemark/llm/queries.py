@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, fingerprints, packing, topk, warc
+from tidemark.llm import bpe, chat, fingerprints, html, packing, topk, warc
 from tidemark.llm.spark import table
 
 
@@ -45,6 +45,11 @@ def fingerprint_query(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_neighbours(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def html_query(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages", "page_id", "url", "html")
+    return html.extract(pages).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def packing_query(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -125,6 +130,7 @@ def named_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc_reassembly": warc_query,
         "op2_weighted_sampling": fingerprint_query,
+        "op5_site_templates": html_query,
         "op6_best_fit_packing": packing_query,
         "op8_sorted_list_topk": topk_query,
         "op9_bpe_automaton": bpe_query,
