@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, fingerprints, html, packing, topk, warc
+from tidemark.llm import bpe, chat, fingerprints, html, packing, topk, toxicity, warc
 from tidemark.llm.spark import table
 
 
@@ -45,6 +45,14 @@ def fingerprint_query(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_neighbours(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def toxicity_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    machine = toxicity.train_open(docs, table(spark, folder, "labels", "doc_id", "toxic"))
+    return toxicity.score(docs, machine).select(
+        "doc_id", (~toxicity.in_training()).alias("held_out"), "score", "predicted"
+    )
+
+
 def html_query(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages", "page_id", "url", "html")
     return html.extract(pages).withColumn("n_chars", F.char_length("text").cast("long"))
@@ -78,8 +86,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 def bpe_query(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = table(spark, folder, "documents", "doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, path).drop("text"), path)
-    return coded.select(
+    return bpe.round_trip(docs, path).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -130,6 +137,7 @@ def named_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc_reassembly": warc_query,
         "op2_weighted_sampling": fingerprint_query,
+        "op3_factorization_machine": toxicity_query,
         "op5_site_templates": html_query,
         "op6_best_fit_packing": packing_query,
         "op8_sorted_list_topk": topk_query,
