@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -112,16 +112,18 @@ def bags(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield bag(hashes[a:b])
 
 
-def with_node(docs: DataFrame) -> DataFrame:
-    """doc_id, text, node: 16 bytes of the text's SHA-256, one value for all texts without words."""
+def with_node_column() -> Column:
+    """16 bytes of the text's SHA-256, one value for all texts without words."""
     text = whole("text")
     digest = F.unhex(F.substring(F.sha2(text.cast("binary"), 256), 1, 32))
     wordless = ~text.rlike(r"[^\t\n\x0b\f\r\x1c-\x20]")
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        text.alias("text"),
-        F.when(wordless, F.lit(b"\0" * 16)).otherwise(digest).alias("node"),
-    )
+    return F.when(wordless, F.lit(b"\0" * 16)).otherwise(digest)
+
+
+def with_node(docs: DataFrame) -> DataFrame:
+    """doc_id, text, node."""
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    return docs.select(doc_id, whole("text").alias("text"), with_node_column().alias("node"))
 
 
 def buckets(docs: DataFrame) -> DataFrame:
@@ -195,8 +197,8 @@ def rest_pairs(open_rows: DataFrame, similarity: float) -> DataFrame:
     return met.select(*_ordered(F.col("node"), F.col("other"))).distinct()
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id and class_id of every row, with the copies in its class."""
+def grouped(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+    """doc_id, node and comp of every row: rows of one class share comp."""
     bound_batches(docs.sparkSession)
     docs = with_node(docs)
     members = stored(docs.select("doc_id", "node"), "members")
@@ -227,6 +229,27 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUND
         tested = checked if tested is None else tested.unionAll(checked)
         labels = components(nodes, tested.where("linked").select("a", "b"))
     comp = F.coalesce("comp", "node")
-    named = members.join(labels, "node", "left").select("doc_id", comp.alias("comp"))
+    return members.join(labels, "node", "left").select("doc_id", "node", comp.alias("comp"))
+
+
+def classes(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+    """doc_id and class_id of every row, with the number of rows in its class."""
+    named = stored(grouped(docs, similarity, rounds), "classes")
     least = named.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_rows"))
     return named.join(least, "comp").select("doc_id", "class_id", "class_rows")
+
+
+def keep_one(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+    """One row of each class: that of the least doc_id, then of the least text hash."""
+    named = grouped(docs, similarity, rounds)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
+    kept = named.groupBy("comp").agg(F.min(order).alias("kept")).select("kept.doc_id", "kept.node")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    key = F.sha2(F.concat(name.cast("binary"), F.lit(b":"), F.col("node")), 256)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    own = docs.select(*columns, with_node_column().alias("node")).withColumn("__key", key)
+    return (
+        own.join(kept.select(key.alias("__key")), "__key", "left_semi")
+        .dropDuplicates(["__key"])
+        .select(*columns)
+    )

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, fingerprints, html, neardup, packing, topk, toxicity, warc
+from tidemark.llm import bpe, chat, fingerprints, html, linechunks, neardup, packing, topk, toxicity, warc
 from tidemark.llm.spark import table
 
 
@@ -57,6 +57,10 @@ def neardup_query(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.classes(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def linechunk_query(spark: SparkSession, folder: str) -> DataFrame:
+    return linechunks.dedup(table(spark, folder, "documents", "doc_id", "text"))
+
+
 def html_query(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages", "page_id", "url", "html")
     return html.extract(pages).withColumn("n_chars", F.char_length("text").cast("long"))
@@ -145,6 +149,7 @@ def named_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_bag_minhash": neardup_query,
         "op5_site_templates": html_query,
         "op6_best_fit_packing": packing_query,
+        "op7_line_chunks": linechunk_query,
         "op8_sorted_list_topk": topk_query,
         "op9_bpe_automaton": bpe_query,
         "op10_chat_formatting": chat_query,
