@@ -222,3 +222,37 @@ def test_tenure_is_whole_days_and_at_least_one(make):
 def test_ratios_round_half_away_from_zero(spark, total, count, places, expected):
     df = spark.createDataFrame([(total and Decimal(total), count)], "t decimal(14,2), n bigint")
     assert df.select(per(df.t, df.n, places)).first()[0] == expected
+
+
+def test_transaction_keys_stay_apart_at_ten_digits(spark, tmp_path):
+    """Order, part and supplier keys far beyond those of the small tables."""
+    from datetime import datetime
+
+    from tidemark.plans.binding import Bank
+
+    day, big = datetime(1996, 1, 1), 9_999_999_999
+    tables = {
+        "customer": ([(1, 0, 10.0, "BUILDING")], "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "orders": (
+            [(big, 1, day, "1-URGENT"), (big - 1, 1, day, "1-URGENT")],
+            "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderpriority string",
+        ),
+        "lineitem": (
+            [
+                (o, p, s, n, 1000.0, "N", "O", day)
+                for o in (big, big - 1)
+                for p in (1, big)
+                for s in (big, 10)
+                for n in (1, 7)
+            ],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+            "l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+        ),
+    }
+    for name, (made, schema) in tables.items():
+        spark.createDataFrame(made, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    bank = Bank(spark, str(tmp_path))
+    ids = [r.transaction_id for r in bank.transactions.collect()]
+    assert len(ids) == len(set(ids)) == 16
+    charged = bank.transactions_with_incentive.where("incentive_cost_gbp > 0")
+    assert charged.count() <= 1

@@ -5,13 +5,14 @@ import pytest
 
 import __spark_entry__
 from tests.conftest import SMALL
+from tidemark.plans import oracle, registry
 
 SOURCES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = __spark_entry__.queries()
-ORACLE = __spark_entry__.oracle_sql()
+QUERIES = registry.named_queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +25,8 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
 
 def _key(row):

@@ -48,10 +48,10 @@ def test_retention_shares_the_account_summary(bank, report):
     assert "ReusedExchange [account_id" in plan
 
 
-@pytest.mark.parametrize("hot_rows", [20, 90])
-def test_running_balance(book, hot_rows):
+@pytest.mark.parametrize("slice", ["second", "year"])
+def test_running_balance(book, slice):
     plain = running.running_balances(book.accounts, book.postings)
-    sliced = running.running_balances(book.accounts, book.postings, hot_rows)
+    sliced = running.running_balances(book.accounts, book.postings, slice)
     assert rows(sliced, *plain.columns) == rows(plain)
 
 
@@ -71,7 +71,7 @@ def test_running_balance_of_one_giant_account(spark):
     accounts = spark.createDataFrame(
         [(n, 1000) for n in names], "account_id string, opening_balance_minor bigint"
     )
-    found = running.running_balances(accounts, ledger.postings(transfers), hot_rows=100)
+    found = running.running_balances(accounts, ledger.postings(transfers), "second")
     expected, so_far = [], dict.fromkeys(names, 1000)
     for t, source, sink, amount in moves:
         for account, signed in ((source, -amount), (sink, amount)):
@@ -131,14 +131,6 @@ def test_limiter_resumes_where_it_stopped():
     assert np.concatenate(parts).tolist() == whole.tolist()
 
 
-@pytest.mark.parametrize("hot_rows", [1, 65])
-def test_rate_limit_rounds(book, hot_rows):
-    day = 86_400
-    plain = ratelimit.rate_limited(book.user_requests, book.user_sessions, 3, day)
-    rounds = ratelimit.rate_limited(book.user_requests, book.user_sessions, 3, day, hot_rows)
-    assert rows(rounds, *plain.columns) == rows(plain)
-
-
 def test_hot_keys_are_counted_exactly(spark):
     df = spark.range(30).select(F.when(F.col("id") < 10, "x").otherwise("y").alias("k"))
     assert rows(skew.hot_keys(df, "k", 11)) == [("y", 20)]

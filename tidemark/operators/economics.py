@@ -82,7 +82,7 @@ def first_fundings(transactions: DataFrame) -> DataFrame:
     cash_in = transactions.where(is_funding()).select(
         "account_id", "transaction_ts", "transaction_id", "amount_gbp"
     )
-    return first_per_key(cash_in, ["account_id"], ["transaction_ts", "transaction_id"])
+    return first_per_key(cash_in, ["account_id"], ["transaction_ts", "transaction_id"], "transaction_id")
 
 
 def with_incentive(

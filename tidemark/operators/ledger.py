@@ -20,6 +20,7 @@ UUID_PATTERN = (
     r"\A(?:urn:uuid:)?(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
     r"|\{[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\})\z"
 )
+EXACT = "decimal(38,0)"  # sums of minor units outgrow 64 bits
 TRANSFER_FIELDS = ["source_account_id", "destination_account_id", "amount_minor", "currency"]
 ACCOUNT_FIELDS = ["owner_name", "currency", "opening_balance_minor"]
 ACCOUNTS_PER_SESSION = 5
@@ -199,7 +200,7 @@ def journal(requests: DataFrame, accounts: DataFrame) -> DataFrame:
     )
     # Group by the short raw key; only the booked rows are hashed.
     booked = first_per_key(
-        attempts, ["session_id", "idempotency_key"], ["created_at", "request_id"]
+        attempts, ["session_id", "idempotency_key"], ["created_at", "request_id"], "request_id"
     )
     return booked.withColumn("idempotency_key", scoped_key())
 
@@ -253,8 +254,9 @@ def postings(transfers: DataFrame, *carry: str) -> DataFrame:
 
 def balances(accounts: DataFrame, posted: DataFrame) -> DataFrame:
     """Opening plus postings against the stored balance; ``drift_minor`` is 0 when they agree."""
-    moved = posted.groupBy("account_id").agg(F.sum("signed_minor").alias("_moved"))
-    balance = F.col("opening_balance_minor") + F.coalesce("_moved", F.lit(0))
+    total = F.sum(F.col("signed_minor").cast(EXACT))
+    moved = posted.groupBy("account_id").agg(total.alias("_moved"))
+    balance = (F.col("opening_balance_minor") + F.coalesce("_moved", F.lit(0))).cast(EXACT)
     return (
         accounts.join(moved, "account_id", "left")
         .withColumn("computed_balance_minor", balance)
@@ -263,19 +265,20 @@ def balances(accounts: DataFrame, posted: DataFrame) -> DataFrame:
             "opening_balance_minor",
             "computed_balance_minor",
             "balance_minor",
-            (F.col("balance_minor") - F.col("computed_balance_minor")).alias("drift_minor"),
+            (F.col("balance_minor") - F.col("computed_balance_minor"))
+            .cast(EXACT)
+            .alias("drift_minor"),
         )
     )
 
 
 def conservation(accounts: DataFrame, posted: DataFrame) -> DataFrame:
     """Transfers between known accounts move money but neither make nor lose any."""
-    exact = "decimal(38,0)"
     return (
         balances(accounts, posted)
         .agg(
-            F.sum(F.col("opening_balance_minor").cast(exact)).alias("opening_minor"),
-            F.sum(F.col("computed_balance_minor").cast(exact)).alias("computed_minor"),
+            F.sum(F.col("opening_balance_minor").cast(EXACT)).alias("opening_minor"),
+            F.sum("computed_balance_minor").alias("computed_minor"),
         )
         .withColumn("conserved", F.col("opening_minor") == F.col("computed_minor"))
     )

@@ -17,8 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import plain_micros
-from tidemark.operators.skew import HOT_ROWS, hot_keys, mark_first
-from tidemark.session import shared_dir
 
 # Ship this module's functions inside the job: workers need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -75,68 +73,26 @@ def rate_limited(
     sessions: DataFrame,
     limit: int = LIMIT,
     window_seconds: int = WINDOW_SECONDS,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """(session_id, request_id, passed) for every request of a known session.
 
-    Sessions with fewer than ``hot_rows`` requests are sorted into partitions and walked batch by
-    batch, so memory does not depend on the size of a session. Larger ones go window by window:
-    each round finds the next window start of every busy session with one pre-combined MIN. A
-    session lives for a bounded time, so it has few windows (30 under the default rules) however
-    many requests it sends.
+    ``passed`` is NULL from the session's ``expires_at`` on: such a request is turned away before
+    it could count. The others are sorted into partitions and walked batch by batch, so memory
+    does not depend on the size of a session.
     """
     width = window_seconds * 1_000_000
-    opened = sessions.select("session_id", plain_micros("window_start").alias("opened"))
+    opened = sessions.select(
+        "session_id",
+        plain_micros("window_start").alias("opened"),
+        plain_micros("expires_at").alias("expires"),
+    )
     timed = requests.select("session_id", "request_id", plain_micros("ts").alias("at"))
-    hot = hot_keys(timed, "session_id", hot_rows)
+    known = timed.join(opened, "session_id")
     schema = timed.select("session_id", "request_id").schema.add("passed", "boolean")
-    if hot.isEmpty():
-        return _walked(timed.join(opened, "session_id"), limit, width, schema)
-    marks = F.broadcast(hot.select("session_id"))
-    few = timed.join(marks, "session_id", "left_anti").join(opened, "session_id")
-    many = timed.join(marks, "session_id", "left_semi")
-    starts = opened.join(marks, "session_id", "left_semi")
-    return _walked(few, limit, width, schema).unionByName(_by_rounds(many, starts, limit, width))
-
-
-def _walked(timed: DataFrame, limit: int, width: int, schema) -> DataFrame:
-    ordered = timed.repartition("session_id").sortWithinPartitions("session_id", "at", "request_id")
-    return ordered.mapInPandas(_sweep(limit, width), schema)
-
-
-def _window_chain(timed: DataFrame, starts: DataFrame, width: int) -> Iterator[DataFrame]:
-    """Successive window starts of every session, one round at a time."""
-    current = starts
-    while True:
-        yield current
-        after = F.broadcast(current)
-        current = (
-            timed.join(after, "session_id")
-            .where(F.col("at") >= F.col("opened") + width)
-            .groupBy("session_id")
-            .agg(F.min("at").alias("opened"))
-            .checkpoint()
-        )
-        if current.isEmpty():
-            return
-
-
-def _by_rounds(timed: DataFrame, starts: DataFrame, limit: int, width: int) -> DataFrame:
-    """Busy sessions only; the broadcast sides hold one row per busy session and window."""
-    shared_dir(timed.sparkSession)
-    timed = timed.checkpoint()
-    chain = None
-    for found in _window_chain(timed, starts.checkpoint(), width):
-        chain = found if chain is None else chain.unionByName(found)
-    per_session = chain.groupBy("session_id").agg(
-        F.array_sort(F.collect_list("opened")).alias("opened")
-    )
-    # The window of a request is the last one opened at or before it.
-    last = F.array_max(F.filter("opened", lambda o: o <= F.col("at")))
-    placed = timed.join(F.broadcast(per_session), "session_id").select(
-        "session_id", "request_id", "at", F.coalesce(last, F.element_at("opened", 1)).alias("window")
-    )
-    marked = mark_first(
-        placed, ["session_id", "window"], ["at", "request_id"], limit, "request_id", "passed"
+    alive = F.col("at") < F.col("expires")
+    live = known.where(alive).repartition("session_id")
+    ordered = live.sortWithinPartitions("session_id", "at", "request_id")
+    late = known.where(~alive).select(
+        "session_id", "request_id", F.lit(None).cast("boolean").alias("passed")
     )
-    return marked.select("session_id", "request_id", "passed")
+    return ordered.mapInPandas(_sweep(limit, width), schema).unionByName(late)

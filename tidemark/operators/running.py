@@ -5,84 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ledger import over_limit
-from tidemark.operators.skew import HOT_ROWS, hot_keys
-from tidemark.session import shared_dir
+from tidemark.operators.ledger import EXACT, over_limit
 
 ORDER = ("created_at", "transfer_id")
+SLICE = "hour"
 
 
-def running_balances(
-    accounts: DataFrame,
-    posted: DataFrame,
-    hot_rows: int = HOT_ROWS,
-    counted: DataFrame | None = None,
-) -> DataFrame:
+def running_balances(accounts: DataFrame, posted: DataFrame, slice: str = SLICE) -> DataFrame:
     """Opening balance plus all postings up to and including each one, in (time, id) order.
 
-    Accounts below ``hot_rows`` postings take a plain window. The postings of hot accounts are
-    range-partitioned by (account, time, id) into slices of about ``hot_rows`` rows; each slice
-    is summed on its own and starts from the total of the slices before it. One action decides
-    whether any account is hot; it counts the rows of ``counted``, which must have at least as
-    many rows per account as ``posted`` and defaults to it.
+    A two-level prefix sum for accounts of every size: postings are summed within slices of an
+    account's time, and each slice starts from the total of the account's earlier slices. So a
+    task holds one account's slice, and only one row per slice meets in a window over accounts.
     """
-    hot = hot_keys(posted if counted is None else counted, "account_id", hot_rows)
-    hot_total = hot.agg(F.sum("n")).first()[0]
-    opening = accounts.select("account_id", "opening_balance_minor")
-    if hot_total is None:
-        return _flagged(_plain(opening, posted))
-    marks = F.broadcast(hot.select("account_id"))
-    cold = posted.join(marks, "account_id", "left_anti")
-    busy = posted.join(marks, "account_id", "left_semi")
-    slices = hot_total // hot_rows + 1
-    return _flagged(_plain(opening, cold).unionByName(_sliced(opening, busy, slices)))
-
-
-def _plain(opening: DataFrame, posted: DataFrame) -> DataFrame:
-    so_far = Window.partitionBy("account_id").orderBy(*ORDER).rowsBetween(
+    amount = F.col("signed_minor").cast(EXACT)
+    sliced = posted.withColumn("_slice", F.date_trunc(slice, "created_at"))
+    within = Window.partitionBy("account_id", "_slice").orderBy(*ORDER).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    moved = F.sum("signed_minor").over(so_far)
-    return (
-        posted.withColumn("_moved", moved)
-        .join(opening, "account_id")
-        .withColumn("balance_after_minor", F.col("opening_balance_minor") + F.col("_moved"))
-        .drop("_moved", "opening_balance_minor")
-    )
-
-
-def _sliced(opening: DataFrame, posted: DataFrame, slices: int) -> DataFrame:
-    """Two-level prefix sum. The slice number comes from range partitioning, whose bounds are
-    sampled, so it is pinned by a checkpoint before it is used twice.
-    """
-    shared_dir(posted.sparkSession)
-    sliced = (
-        posted.repartitionByRange(slices, "account_id", *ORDER)
-        .withColumn("_slice", F.spark_partition_id())
-        .checkpoint()
-    )
     earlier = Window.partitionBy("account_id").orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    # At most one row per slice plus one per hot account: small enough to broadcast by design.
     starts = (
         sliced.groupBy("account_id", "_slice")
-        .agg(F.sum("signed_minor").alias("_total"))
+        .agg(F.sum(amount).alias("_total"))
+        .join(accounts.select("account_id", "opening_balance_minor"), "account_id")
         .withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
-        .join(opening, "account_id")
         .select(
             "account_id",
             "_slice",
             (F.col("opening_balance_minor") + F.col("_before")).alias("_start"),
         )
     )
-    within = Window.partitionBy("account_id", "_slice").orderBy(*ORDER).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return (
-        sliced.withColumn("_moved", F.sum("signed_minor").over(within))
-        .join(F.broadcast(starts), ["account_id", "_slice"])
-        .withColumn("balance_after_minor", F.col("_start") + F.col("_moved"))
+    balance = (F.col("_start") + F.col("_moved")).cast(EXACT)
+    return _flagged(
+        sliced.withColumn("_moved", F.sum(amount).over(within))
+        .join(starts, ["account_id", "_slice"])
+        .withColumn("balance_after_minor", balance)
         .drop("_slice", "_start", "_moved")
     )
 

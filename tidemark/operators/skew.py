@@ -88,11 +88,11 @@ def ranked(
     return df.withColumn(rank, F.row_number().over(whole)).where(F.col(rank) <= last)
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def first_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], row_id: str
+) -> DataFrame:
     """The earliest row of every key; each input partition sends one row per key."""
-    rest = [c for c in df.columns if c not in keys]
-    pick = F.min_by(F.struct(*rest), F.struct(*order))
-    return df.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*")
+    return ranked(df, keys, [F.col(c) for c in order], 1, row_id, "_rank").drop("_rank")
 
 
 def mark_first(

@@ -28,8 +28,8 @@ TYPE_BY_PRIORITY = {
     "4": "fx_exchange",
     "5": "cash_withdrawal",
 }
-CATEGORIES = ("groceries", "restaurants", "transport", "shopping", "travel", "subscriptions")
-EXPERIMENT = "first_funding_bonus_10"
+EXPERIMENT = "welcome_bonus"
+KEY_SLOT = 10**11  # part and supplier keys take eleven digits of a transaction_id
 RULE = RetentionRule(
     windows=(Window("d30", 180, 360), Window("d60", 360, 540)),
     min_events=2,
@@ -51,6 +51,17 @@ def _pick(values: tuple[str, ...], index: Column) -> Column:
     return case.otherwise(F.lit(None).cast("string"))
 
 
+def _line_number() -> Column:
+    """A lineitem's four keys side by side; order keys have room for fifteen digits."""
+    order, part, supplier = (
+        F.col(c).cast(f"decimal({n},0)")
+        for c, n in (("l_orderkey", 15), ("l_partkey", 11), ("l_suppkey", 11))
+    )
+    slot = F.lit(KEY_SLOT).cast("decimal(12,0)")
+    line = (order * 10 + F.col("l_linenumber")).cast("decimal(16,0)")
+    return (((line * slot + part).cast("decimal(27,0)")) * slot + supplier).cast("decimal(38,0)")
+
+
 class Bank:
     """Analytics tables over one folder of parquet files; nothing is read until used.
 
@@ -112,8 +123,8 @@ class Bank:
             F.when(ended | (key % 2 == 0), started).alias("started_ts"),
             F.when(ended, started + F.expr("INTERVAL 12 HOURS")).alias("completed_ts"),
             "status",
-            F.when(F.col("status") == "rejected", "name_mismatch")
-            .when(F.col("status") == "abandoned", "user_abandoned")
+            F.when(F.col("status") == "rejected", "refused")
+            .when(F.col("status") == "abandoned", "not_finished")
             .alias("failure_reason"),
         )
 
@@ -167,21 +178,17 @@ class Bank:
                 "o_orderkey",
                 (F.col("o_custkey") + ACCOUNT_OFFSET).alias("account_id"),
                 _typed(kind).alias("transaction_type"),
-                (F.col("o_custkey") % 40 + 1).alias("_quantity_cap"),
             )
         )
         returned, open_line = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
         status = F.when(~returned, "completed").when(open_line, "reversed").otherwise("failed")
         hundredth = F.lit("0.01").cast("decimal(3,2)")
         amount = F.round(F.col("l_extendedprice").cast(MONEY) * hundredth, 2).cast(MONEY)
-        line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-        number = (line * 100_000 + F.col("l_partkey")) * 10_000 + F.col("l_suppkey")
         return (
             self.source("lineitem")
             .join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
-            .where(F.col("l_quantity") <= F.col("_quantity_cap"))
             .select(
-                number.alias("transaction_id"),
+                _line_number().alias("transaction_id"),
                 "account_id",
                 F.col("l_shipdate").alias("transaction_ts"),
                 "transaction_type",
@@ -233,7 +240,7 @@ class Bank:
             "transaction_type",
             "amount_gbp",
             "base_currency",
-            _pick(CATEGORIES, part % 6).alias("merchant_category"),
+            F.concat(F.lit("M"), (part % 6).cast("string")).alias("merchant_category"),
             F.concat(F.lit("N"), (supplier % 25).cast("string")).alias("merchant_country"),
             (line <= 5).alias("card_present"),
             F.when(part % 5 < 2, "inbound").otherwise("outbound").alias("direction"),
@@ -457,6 +464,12 @@ class Ledger:
             F.lit(0).alias("request_count"),
         )
 
+    @cached_property
+    def long_sessions(self) -> DataFrame:
+        """The same sessions, alive for ten days."""
+        ends = F.col("created_at") + F.expr("INTERVAL 10 DAYS")
+        return self.user_sessions.withColumn("expires_at", ends)
+
     @cached_property
     def user_accounts(self) -> DataFrame:
         """Accounts owned by the user's own session; every tenth user has no session."""

@@ -26,8 +26,8 @@ kyc_cases AS (
               THEN signup_ts + INTERVAL 1 HOUR END AS started_ts,
          CASE WHEN verdict <> 'abandoned' THEN signup_ts + INTERVAL 13 HOURS END AS completed_ts,
          verdict AS status,
-         CASE verdict WHEN 'rejected' THEN 'name_mismatch'
-                      WHEN 'abandoned' THEN 'user_abandoned' END AS failure_reason
+         CASE verdict WHEN 'rejected' THEN 'refused'
+                      WHEN 'abandoned' THEN 'not_finished' END AS failure_reason
   FROM (SELECT *, CASE WHEN c_acctbal >= 0 THEN 'approved' WHEN c_acctbal < -500 THEN 'rejected'
                        ELSE 'abandoned' END AS verdict FROM people)),
 accounts AS (
@@ -43,13 +43,13 @@ marketing_spend AS (
   FROM customers GROUP BY 1, 2),
 experiment_assignments AS (
   SELECT customer_id AS assignment_id, customer_id,
-         'first_funding_bonus_10' AS experiment_name,
+         'welcome_bonus' AS experiment_name,
          CASE WHEN customer_id % 3 = 0 THEN 'bonus_10' ELSE 'control' END AS variant,
          signup_ts AS assigned_ts
   FROM customers),
 movements AS (
-  SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey
-           AS transaction_id,
+  SELECT ((l_orderkey::HUGEINT * 10 + l_linenumber) * 100000000000 + l_partkey) * 100000000000
+           + l_suppkey AS transaction_id,
          a.account_id, l_shipdate AS transaction_ts,
          CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'cash_in' WHEN '2' THEN 'card_payment'
            WHEN '3' THEN 'bank_transfer' WHEN '4' THEN 'fx_exchange'
@@ -60,8 +60,7 @@ movements AS (
               AS DECIMAL(14,2)) AS amount_gbp,
          a.base_currency, l_partkey, l_suppkey, l_linenumber
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey
-  JOIN accounts a ON a.customer_id = o_custkey
-  WHERE l_quantity <= o_custkey % 40 + 1),
+  JOIN accounts a ON a.customer_id = o_custkey),
 fees AS (
   SELECT *, status = 'completed' AS ok,
          CAST(round(amount_gbp * CAST('0.0065' AS DECIMAL(5,4)), 2) AS DECIMAL(12,2)) AS interchange,
@@ -131,9 +130,7 @@ product_events AS (
   WHERE m.ok AND m.transaction_type <> 'cash_in' GROUP BY a.customer_id),
 card_transactions AS (
   SELECT transaction_id,
-         CASE l_partkey % 6 WHEN 0 THEN 'groceries' WHEN 1 THEN 'restaurants' WHEN 2 THEN 'transport'
-           WHEN 3 THEN 'shopping' WHEN 4 THEN 'travel' ELSE 'subscriptions' END
-           AS merchant_category,
+         'M' || (l_partkey % 6) AS merchant_category,
          'N' || (l_suppkey % 25) AS merchant_country, l_linenumber <= 5 AS card_present
   FROM movements WHERE transaction_type = 'card_payment'),
 transfers AS (
@@ -323,7 +320,7 @@ postings AS (
 running AS (
   SELECT p.*, CAST(a.opening_balance_minor + SUM(signed_minor) OVER (
                 PARTITION BY p.account_id ORDER BY p.created_at, transfer_id
-                ROWS UNBOUNDED PRECEDING) AS BIGINT) AS balance_after_minor
+                ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS balance_after_minor
   FROM postings p JOIN ledger_accounts a USING (account_id)),
 bodies AS (
   SELECT request_id, session_id, ts,
@@ -447,11 +444,11 @@ def _readout(keys: str, columns: str) -> str:
                               FROM arms {group})))))"""
 
 
-_R = "round({0}, 8) AS {0}".format
+_R = "CAST(printf('%.8e', {0}) AS DOUBLE) AS {0}".format
 _TEST = ", ".join(_R(c) for c in ("lift", "z_stat", "p_value", "ci_lower", "ci_upper"))
 _PAYBACK = (
-    "round(CASE WHEN break_even_margin_gbp > 0 "
-    "THEN control_margin_gbp / break_even_margin_gbp * 100 ELSE 0 END, 8) AS payback_pct"
+    "CAST(printf('%.8e', CASE WHEN break_even_margin_gbp > 0 "
+    "THEN control_margin_gbp / break_even_margin_gbp * 100 ELSE 0 END) AS DOUBLE) AS payback_pct"
 )
 _ECONOMICS = (
     ", ".join(
@@ -679,6 +676,7 @@ _ECONOMICS_TABLE = (
     'avg_margin_per_transaction_gbp AS "Avg margin / transaction £" FROM transaction_economics'
 )
 
+_ID = "CAST(transaction_id AS VARCHAR) AS transaction_id"
 TENANT_QUERIES = {
     "q01_funnel": "SELECT * FROM funnel",
     "q02_funnel_rates": "SELECT "
@@ -775,7 +773,7 @@ TENANT_QUERIES = {
     "ev_first_transaction": f"SELECT {_EVENT} FROM product_events "
     "WHERE event_name = 'first_transaction'",
     "ev_refresh": f"SELECT {_EVENT} FROM product_events",
-    "tx_economics": "SELECT transaction_id, transaction_type, status, "
+    "tx_economics": f"SELECT {_ID}, transaction_type, status, "
     + ", ".join(
         f"CAST({c} AS DOUBLE) AS {c}"
         for c in (
@@ -787,7 +785,7 @@ TENANT_QUERIES = {
         )
     )
     + " FROM transactions",
-    "tx_incentive": "SELECT transaction_id, account_id, transaction_ts, "
+    "tx_incentive": f"SELECT {_ID}, account_id, transaction_ts, "
     "CAST(incentive_cost_gbp AS DOUBLE) AS incentive_cost_gbp FROM incentives "
     "WHERE incentive_cost_gbp > 0",
     "tx_subtypes": """
@@ -802,9 +800,9 @@ TENANT_QUERIES = {
                  UNION ALL SELECT transaction_id, 'fx_exchange', transaction_id
                  FROM fx_transactions) USING (transaction_id, transaction_type)
       GROUP BY 1""",
-    "tx_cards": "SELECT * FROM card_transactions",
-    "tx_transfers": "SELECT * FROM transfers",
-    "fx_quote": "SELECT * FROM fx_transactions",
+    "tx_cards": f"SELECT {_ID}, * EXCLUDE (transaction_id) FROM card_transactions",
+    "tx_transfers": f"SELECT {_ID}, * EXCLUDE (transaction_id) FROM transfers",
+    "fx_quote": f"SELECT {_ID}, * EXCLUDE (transaction_id) FROM fx_transactions",
     "acct_tenure": "SELECT account_id, CAST(greatest(1, floor(epoch(TIMESTAMP '2001-11-05' "
     "- opened_ts) / 86400)) AS BIGINT) AS days_available FROM accounts",
     "val_row_counts": _union(
@@ -977,9 +975,9 @@ LEDGER_QUERIES = {
     "ledger_postings": "SELECT * FROM postings",
     "ledger_balances": """
       SELECT account_id, opening_balance_minor,
-             CAST(opening_balance_minor + COALESCE(m, 0) AS BIGINT) AS computed_balance_minor,
+             CAST(opening_balance_minor + COALESCE(m, 0) AS DOUBLE) AS computed_balance_minor,
              balance_minor,
-             CAST(balance_minor - opening_balance_minor - COALESCE(m, 0) AS BIGINT) AS drift_minor
+             CAST(balance_minor - opening_balance_minor - COALESCE(m, 0) AS DOUBLE) AS drift_minor
       FROM ledger_accounts
       LEFT JOIN (SELECT account_id, SUM(signed_minor) AS m FROM postings GROUP BY 1)
         USING (account_id)""",
@@ -1010,12 +1008,14 @@ LEDGER_QUERIES = {
     "OVER (PARTITION BY account_id ORDER BY created_at DESC, transfer_id DESC) AS n "
     "FROM postings) WHERE n > 50 AND n <= 150",
     "ledger_rate_limit": """
-      SELECT session_id, request_id, row_number() OVER (PARTITION BY session_id, opened
-               ORDER BY ts, request_id) <= 3 AS passed
+      SELECT session_id, request_id,
+             CASE WHEN alive THEN row_number() OVER (PARTITION BY session_id, alive, opened
+                                                     ORDER BY ts, request_id) <= 3 END AS passed
       FROM (SELECT CAST(e.user_id AS VARCHAR) AS session_id, e.event_id AS request_id, e.ts,
                    (SELECT MAX(c.opened) FROM chain c
-                    WHERE c.user_id = e.user_id AND c.opened <= e.ts) AS opened
-            FROM evt e)""",
+                    WHERE c.user_id = e.user_id AND c.opened <= e.ts) AS opened,
+                   e.ts < u.created_at + INTERVAL 10 DAYS AS alive
+            FROM evt e JOIN users u USING (user_id))""",
     "ledger_session_expiry": """
       SELECT 'sessions' AS table_name, COUNT(*) AS row_count,
              COUNT(*) FILTER (expires_at > TIMESTAMP '2024-01-01 07:00:00') AS kept
@@ -1140,7 +1140,7 @@ TENANT_QUERIES |= {
       FROM (SELECT *, CAST(date_trunc('day', transaction_ts) AS TIMESTAMP) AS day FROM money)
       WHERE day + INTERVAL 1 DAY <= (SELECT MAX(l_shipdate) - INTERVAL 30 MINUTES FROM lineitem)
       GROUP BY 1, 2""",
-    "stream_first_funding": "SELECT account_id, transaction_ts, transaction_id, "
+    "stream_first_funding": f"SELECT account_id, transaction_ts, {_ID}, "
     "CAST(amount_gbp AS DOUBLE) AS amount_gbp FROM fundings",
     "stream_cohort_activity": "SELECT account_id, w1 AS events FROM windows WHERE w1 > 0",
 }

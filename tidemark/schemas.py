@@ -120,7 +120,7 @@ ANALYTICS = [
     ),
     Table(
         "transactions",
-        "transaction_id bigint, account_id bigint, transaction_ts timestamp_ntz, "
+        "transaction_id decimal(38,0), account_id bigint, transaction_ts timestamp_ntz, "
         "transaction_type string, status string, amount_gbp decimal(14,2), "
         "fee_revenue_gbp decimal(12,2), interchange_revenue_gbp decimal(12,2), "
         "fx_spread_revenue_gbp decimal(12,2), processing_cost_gbp decimal(12,2), "
@@ -139,7 +139,7 @@ ANALYTICS = [
     ),
     Table(
         "card_transactions",
-        "transaction_id bigint, merchant_category string, merchant_country string, "
+        "transaction_id decimal(38,0), merchant_category string, merchant_country string, "
         "card_present boolean",
         key=("transaction_id",),
         nullable=("merchant_category", "merchant_country", "card_present"),
@@ -147,7 +147,7 @@ ANALYTICS = [
     ),
     Table(
         "transfers",
-        "transaction_id bigint, direction string, transfer_rail string, "
+        "transaction_id decimal(38,0), direction string, transfer_rail string, "
         "counterparty_country string",
         key=("transaction_id",),
         nullable=("counterparty_country",),
@@ -156,7 +156,7 @@ ANALYTICS = [
     ),
     Table(
         "fx_transactions",
-        "transaction_id bigint, from_currency string, to_currency string, "
+        "transaction_id decimal(38,0), from_currency string, to_currency string, "
         "source_amount decimal(14,2), target_amount decimal(14,2), quoted_rate decimal(18,8), "
         "spread_bps decimal(10,2)",
         key=("transaction_id",),
