@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import byte_symbols
 from tidemark.llm.spark import bound_batches, partitions, stored, whole
 
 CAPACITY = 2048
@@ -58,6 +59,13 @@ class ChunkEncoder:
             ids = library.encode(text, add_special_tokens=False).ids
             return b"".join(i.to_bytes(4, "little") for i in ids)
 
+        model, symbols = library.model, {b: c for c, b in byte_symbols().items()}
+
+        def by_model(word: str) -> bytes:
+            # a settled word needs no normalising or splitting, only its bytes as the model's symbols
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(symbols)
+            return b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(spelled)])
+
         class Known(dict):
             def __init__(self, make) -> None:
                 self.make = make
@@ -68,7 +76,7 @@ class ChunkEncoder:
                     self[key] = ids
                 return ids
 
-        words = Known(by_library)
+        words = Known(by_model)
 
         def by_words(chunk: str) -> bytes:
             if _SETTLED.fullmatch(chunk) is None or "<|" in chunk:
