@@ -1,109 +1,71 @@
-"""Streams over several micro-batches against their batch twins."""
+"""Streams: the same rows in any number and order of files give the same result."""
 
-from datetime import timedelta
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL, at, rows
-from tidemark.operators import ratelimit
-from tidemark.plans.binding import Bank, Ledger
+from tidemark.plans import registry
 from tidemark.streaming import jobs
 
-DAY = 86_400
-PARTS = 4
+STREAMS = sorted(name for name in registry.named_queries() if name.startswith("stream_"))
+STREAMED = ("events", "lineitem")
 
 
-@pytest.fixture(scope="module")
-def split_events(spark, tmp_path_factory):
-    """The event stream as files in event-time order, one micro-batch each."""
-    folder = tmp_path_factory.mktemp("events")
-    source = spark.read.parquet(f"{SMALL}/events.parquet")
-    ordered = source.repartitionByRange(PARTS, "ts").sortWithinPartitions("ts")
-    ordered.write.parquet(f"{folder}/all")
-    # The file source takes files by modification time, so write them one after the other.
-    files = sorted((folder / "all").glob("part-*.parquet"))
-    for i, file in enumerate(files):
-        spark.read.parquet(str(file)).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    return f"{folder}/in"
-
-
-def stream(spark, path):
-    return Ledger(spark, SMALL, jobs.file_stream(spark, path, max_files=1))
-
-
-def batches(spark, query, purpose):
-    return jobs.run_available(query, purpose)
+@pytest.fixture(scope="module", params=[80, 260])
+def scattered(request, spark, tmp_path_factory):
+    """The source tables with the streamed ones shuffled over many files."""
+    folder = tmp_path_factory.mktemp(f"files{request.param}")
+    for file in os.listdir(SMALL):
+        name = file.removesuffix(".parquet")
+        if name in STREAMED:
+            source = spark.read.parquet(f"{SMALL}/{file}")
+            source.repartition(request.param, F.rand(7)).write.parquet(f"{folder}/{file}")
+        else:
+            os.symlink(f"{SMALL}/{file}", folder / file)
+    return str(folder)
 
 
-def test_rate_limit_keeps_its_window_across_batches(spark, split_events):
-    book = Ledger(spark, SMALL)
-    twin = ratelimit.rate_limited(book.user_requests, book.user_sessions, 3, DAY)
-    limited = jobs.rate_limited(
-        stream(spark, split_events).user_requests, book.user_sessions, 3, DAY
-    )
-    assert rows(batches(spark, limited, "limited"), *twin.columns) == rows(twin)
-
-
-def test_requests_are_unique_within_the_retry_window(spark, split_events):
-    source = stream(spark, split_events).valid_requests
-    kept = batches(spark, jobs.unique_requests(source, "60 days"), "unique")
-    assert kept.count() == kept.select("scoped_key").distinct().count()
-    expected = Ledger(spark, SMALL).valid_requests.select("session_id", "idempotency_key")
-    assert kept.count() == expected.distinct().count()
+@pytest.fixture(scope="module")
+def from_one_file(spark):
+    found = {}
 
+    def result(name):
+        if name not in found:
+            found[name] = rows(registry.named_queries()[name](spark, SMALL))
+        return found[name]
 
-def test_a_key_returns_after_its_window(spark, split_events):
-    source = stream(spark, split_events).valid_requests
-    kept = batches(spark, jobs.unique_requests(source, "1 minute"), "unique")
-    assert kept.count() > kept.select("scoped_key").distinct().count()
+    return result
 
 
-def test_closed_windows_match_batch(spark, split_events):
-    counted = jobs.request_counts(stream(spark, split_events).user_requests, "1 hour")
-    found = batches(spark, counted, "counts")
-    events = spark.read.parquet(f"{SMALL}/events.parquet")
-    start = F.date_trunc("hour", "ts").cast("timestamp")
-    twin = events.groupBy(start.alias("window_start")).agg(
-        F.count("*").alias("requests"),
-        F.count_if(F.col("event_type") == "signup").alias("new_sessions"),
-    )
-    last = events.agg(F.max("ts")).first()[0] - timedelta(minutes=30)
-    closed = twin.where(F.col("window_start") + F.expr("INTERVAL 1 HOUR") <= F.lit(last))
-    assert rows(found) == rows(closed)
+@pytest.mark.parametrize("name", STREAMS)
+def test_files_do_not_matter(spark, scattered, from_one_file, name):
+    found = rows(registry.named_queries()[name](spark, scattered))
+    assert found == from_one_file(name)
+    assert found
 
 
-def test_sessions_expire_once(spark, split_events):
-    ended = batches(
-        spark, jobs.expired_sessions(stream(spark, split_events).user_requests), "expired"
-    )
-    users = Ledger(spark, SMALL).user_sessions
-    assert rows(ended) == rows(
-        users.select("session_id", F.col("expires_at").cast("timestamp"))
-    )
+def moves(spark, path, *parts):
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+    return jobs.file_stream(spark, path, max_files=1)
 
 
-def test_first_funding_is_emitted_once(spark, tmp_path, tx):
-    path = str(tmp_path / "moves")
-    first = tx(
+def test_a_later_file_may_hold_an_earlier_funding(spark, tmp_path, tx):
+    late = tx((1, "2026-01-03", "cash_in", "completed", 8), (2, "2026-01-04", "cash_in", "completed", 9))
+    early = tx(
         (1, "2026-01-02", "cash_in", "completed", 5),
         (1, "2026-01-01", "cash_in", "completed", 6),
         (2, "2026-01-01", "cash_in", "failed", 7),
     )
-    later = tx((1, "2026-01-03", "cash_in", "completed", 8), (2, "2026-01-04", "cash_in", "completed", 9))
-    for part in (first, later):
-        part.coalesce(1).write.mode("append").parquet(path)
-    source = jobs.event_time(jobs.file_stream(spark, path, max_files=1), "transaction_ts")
-    found = batches(spark, jobs.first_fundings(source), "fundings")
-    assert [(a, float(v)) for a, v in rows(found, "account_id", "amount_gbp")] == [
-        (1, 6.0),
-        (2, 9.0),
-    ]
+    found = jobs.first_fundings(moves(spark, str(tmp_path / "moves"), late, early))
+    assert [(a, float(v)) for a, v in rows(found, "account_id", "amount_gbp")] == [(1, 6.0), (2, 9.0)]
 
 
-def test_interval_join_matches_batch(spark, tmp_path, tx):
+def test_activity_windows_are_half_open(spark, tmp_path, tx):
     fundings = tx((1, "2026-01-01", "cash_in", "completed", 5), (2, "2026-01-05", "cash_in", "completed", 5))
-    moves = tx(
+    spent = tx(
         (1, "2026-01-31", "card_payment", "completed", 1),
         (1, "2026-03-01 23:59:59", "card_payment", "completed", 1),
         (1, "2026-03-02", "card_payment", "completed", 1),
@@ -111,22 +73,20 @@ def test_interval_join_matches_batch(spark, tmp_path, tx):
         (2, "2026-02-03", "card_payment", "completed", 1),
         (2, "2026-02-04", "card_payment", "completed", 1),
     )
-    sides = []
-    for name, df in (("fundings", fundings), ("moves", moves)):
-        df.coalesce(1).write.parquet(f"{tmp_path}/{name}")
-        sides.append(
-            jobs.event_time(jobs.file_stream(spark, f"{tmp_path}/{name}"), "transaction_ts")
-        )
-    found = batches(spark, jobs.activity_after_funding(*sides, 30, 60), "activity")
-    assert rows(found, "account_id", "transaction_id") == [(1, 1), (1, 2), (2, 6)]
-
-
-def test_daily_economics_rows_are_final(spark, tmp_path, tx):
-    path = str(tmp_path / "moves")
-    for day in ("2026-01-01", "2026-01-02", "2026-01-09"):
-        tx((1, f"{day} 10:00:00", "cash_in", "completed", 5)).coalesce(1).write.mode(
-            "append"
-        ).parquet(path)
-    source = jobs.event_time(jobs.file_stream(spark, path, max_files=1), "transaction_ts")
-    found = batches(spark, jobs.daily_economics(source), "daily")
-    assert [d for (d,) in rows(found, "day")] == [at("2026-01-01"), at("2026-01-02")]
+    sides = [moves(spark, str(tmp_path / n), df) for n, df in (("fundings", fundings), ("spent", spent))]
+    assert rows(jobs.activity_after_funding(*sides, 30, 60)) == [(1, 2), (2, 1)]
+
+
+def test_only_closed_days_are_reported(spark, tmp_path, tx):
+    days = [
+        tx((1, f"{day} 10:00:00", "cash_in", "completed", 5))
+        for day in ("2026-01-09", "2026-01-01", "2026-01-02", "2026-01-01")
+    ]
+    found = jobs.daily_economics(moves(spark, str(tmp_path / "moves"), *days))
+    assert rows(found, "day", "completed_transactions") == [(at("2026-01-01"), 2), (at("2026-01-02"), 1)]
+
+
+def test_a_stream_without_files_is_empty(spark, tmp_path, tx):
+    path = str(tmp_path / "none")
+    tx().write.parquet(path)
+    assert rows(jobs.first_fundings(jobs.file_stream(spark, path))) == []

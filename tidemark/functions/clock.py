@@ -1,8 +1,4 @@
-"""Moving between wall-clock time (TIMESTAMP_NTZ) and instants (TIMESTAMP).
-
-Streams need instants for watermarks. The conversions read the wall clock as UTC, so results do
-not depend on the session's time zone.
-"""
+"""Wall-clock time (TIMESTAMP_NTZ) as numbers, whatever the session's time zone."""
 
 from __future__ import annotations
 
@@ -14,11 +10,3 @@ EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 def plain_micros(column: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, {EPOCH}, {column})")
-
-
-def as_instant(column: str) -> Column:
-    return F.timestamp_micros(plain_micros(column))
-
-
-def as_plain(column: str) -> Column:
-    return F.timestamp_add("MICROSECOND", F.unix_micros(column), F.expr(EPOCH))

@@ -60,3 +60,8 @@ def pct(part: Column, whole: Column, places: int = 2) -> Column:
 def mean(value: Column, places: int = 2) -> Column:
     """Average of the non-NULL values, from an exact sum."""
     return per(F.sum(value), F.count(value), places)
+
+
+def mean_of(total: str, count: str, places: int = 2) -> Column:
+    """Average from a column of totals and one of counts."""
+    return per(F.col(total), F.col(count), places)

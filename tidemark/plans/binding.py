@@ -164,14 +164,11 @@ class Bank:
         )
 
     @cached_property
-    def _movements(self) -> DataFrame:
-        """Lineitems of account holders, typed and filtered but not yet priced.
-
-        Orders are narrowed to account holders before they meet the far larger lineitem.
-        """
+    def bought(self) -> DataFrame:
+        """Orders of account holders, narrowed before they meet the far larger lineitem."""
         holders = self.source("customer").where("c_acctbal >= 0").select("c_custkey")
         kind = F.substring("o_orderpriority", 1, 1)
-        bought = (
+        return (
             self.source("orders")
             .join(holders, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
             .select(
@@ -180,13 +177,17 @@ class Bank:
                 _typed(kind).alias("transaction_type"),
             )
         )
+
+    @cached_property
+    def _movements(self) -> DataFrame:
+        """Lineitems of account holders, typed but not yet priced."""
         returned, open_line = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
         status = F.when(~returned, "completed").when(open_line, "reversed").otherwise("failed")
         hundredth = F.lit("0.01").cast("decimal(3,2)")
         amount = F.round(F.col("l_extendedprice").cast(MONEY) * hundredth, 2).cast(MONEY)
         return (
             self.source("lineitem")
-            .join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(self.bought, F.col("l_orderkey") == F.col("o_orderkey"))
             .select(
                 _line_number().alias("transaction_id"),
                 "account_id",

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.clock import as_plain
 from tidemark.functions.fees import fee_columns
 from tidemark.operators import (
     channels,
@@ -327,58 +326,43 @@ def _stream_queries() -> dict[str, Query]:
         return Ledger(spark, folder, jobs.file_stream(spark, f"{folder}/events.parquet"))
 
     def lines(spark: SparkSession, folder: str) -> Bank:
-        stream = jobs.file_stream(spark, f"{folder}/lineitem.parquet")
-        return Bank(spark, folder, jobs.event_time(stream, "l_shipdate"))
-
-    def plain_time(df: DataFrame, *columns: str) -> DataFrame:
-        return df.withColumns({c: as_plain(c) for c in columns})
+        """Lineitems as a stream; the orders they meet are written once, not per micro-batch."""
+        bank = Bank(spark, folder, jobs.file_stream(spark, f"{folder}/lineitem.parquet"))
+        staged = f"{run_dir(spark, 'orders')}/bought"
+        bank.bought.write.parquet(staged)
+        bank.bought = spark.read.parquet(staged)
+        return bank
 
     def unique(spark: SparkSession, folder: str) -> DataFrame:
-        kept = jobs.unique_requests(requests(spark, folder).valid_requests)
-        return jobs.run_available(kept.select("scoped_key"), "unique")
+        return jobs.unique_requests(requests(spark, folder).valid_requests).select("scoped_key")
 
     def limited(spark: SparkSession, folder: str) -> DataFrame:
-        sessions = Ledger(spark, folder).user_sessions
-        return jobs.run_available(
-            jobs.rate_limited(requests(spark, folder).user_requests, sessions, 3, DAY_SECONDS),
-            "limited",
-        )
+        sessions = Ledger(spark, folder).long_sessions
+        return jobs.rate_limited(requests(spark, folder).user_requests, sessions, 3, DAY_SECONDS)
 
     def expired(spark: SparkSession, folder: str) -> DataFrame:
-        ended = jobs.expired_sessions(requests(spark, folder).user_requests)
-        return plain_time(jobs.run_available(ended, "expired"), "expired_at")
+        return jobs.expired_sessions(requests(spark, folder).user_requests)
 
     def counts(spark: SparkSession, folder: str) -> DataFrame:
-        counted = jobs.request_counts(requests(spark, folder).user_requests)
-        return plain_time(jobs.run_available(counted, "counts"), "window_start")
+        return jobs.request_counts(requests(spark, folder).user_requests)
 
     def daily(spark: SparkSession, folder: str) -> DataFrame:
-        days = jobs.daily_economics(lines(spark, folder).transactions)
-        return plain_time(jobs.run_available(days, "daily"), "day")
+        return jobs.daily_economics(lines(spark, folder).transactions)
 
     def fundings(spark: SparkSession, folder: str) -> DataFrame:
-        firsts = jobs.first_fundings(lines(spark, folder).transactions)
-        return plain_time(jobs.run_available(firsts, "fundings"), "transaction_ts")
+        return jobs.first_fundings(lines(spark, folder).transactions)
 
     def cohort(spark: SparkSession, folder: str) -> DataFrame:
-        """Both sides are derived tables, written once and then streamed."""
-        bank, base = Bank(spark, folder), run_dir(spark, "cohort")
-        staged = {
-            "fundings": economics.first_fundings(bank.transactions),
-            "transactions": bank.transactions,
-        }
-        streams = {}
-        for name, df in staged.items():
-            df.write.parquet(f"{base}/{name}")
-            streams[name] = jobs.event_time(
-                jobs.file_stream(spark, f"{base}/{name}"), "transaction_ts"
-            )
+        """Fundings are derived and written once, then both sides are streamed."""
+        bank, staged = Bank(spark, folder), f"{run_dir(spark, 'cohort')}/fundings"
+        economics.first_fundings(bank.transactions).write.parquet(staged)
         window = bank.rule.windows[0]
-        joined = jobs.activity_after_funding(
-            streams["fundings"], streams["transactions"], window.first, window.end
+        return jobs.activity_after_funding(
+            jobs.file_stream(spark, staged),
+            lines(spark, folder).transactions,
+            window.first,
+            window.end,
         )
-        found = jobs.run_available(joined, "activity")
-        return found.groupBy("account_id").agg(F.count("*").alias("events"))
 
     return {
         "stream_unique_requests": unique,

@@ -1,31 +1,32 @@
-"""Streaming queries; each has a batch twin among the operators.
-
-Event time needs TIMESTAMP columns, so sources cast theirs on the way in. State is bounded by
-watermarks wherever the rule itself ends (retry window, closed window, interval).
+"""Streaming queries as mergeable partial results; each has a batch twin among the operators.
+
+A query takes new files in any number and order. Every micro-batch is reduced to a partial result (a
+minimum, a count, the rows a rule needs) and written under its batch number, so a repeated batch
+replaces itself. Partials of one key merge the same way in any order, which happens on reading. No
+row is ever late: ``delay`` only says how far event time must have passed a window or a session for
+it to be closed in the result. Nothing is kept in state stores, so state cannot outgrow memory; old
+partials can be merged and rewritten at any time, because merging merged partials is the same merge.
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
 
-from tidemark.functions.clock import as_instant, plain_micros
-from tidemark.functions.money import is_activity, is_funding
-from tidemark.operators.economics import economics_measures
+from tidemark.functions.money import completed, is_activity, margin, mean_of, revenue
+from tidemark.operators import ratelimit
+from tidemark.operators.economics import first_fundings as earliest_fundings
 from tidemark.operators.ledger import scoped_key
+from tidemark.operators.skew import first_per_key
 from tidemark.session import run_dir
-from tidemark.streaming.processors import FirstPerKey, RateLimiter, SessionExpiry
 
 DELAY = "30 minutes"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 def file_stream(spark: SparkSession, path: str, max_files: int = 64) -> DataFrame:
-    """New parquet files under a path as a stream, a bounded number per micro-batch.
+    """New parquet files under a path as a stream, a number per micro-batch that steers only speed.
 
     The file source wants a folder or a pattern; a pattern equal to the path serves both a
     folder and a single file.
@@ -38,149 +39,155 @@ def file_stream(spark: SparkSession, path: str, max_files: int = 64) -> DataFram
     )
 
 
-def event_time(stream: DataFrame, column: str, delay: str = DELAY) -> DataFrame:
-    """Give the stream a watermark on ``column``, read as UTC where it has no zone."""
-    plain = isinstance(stream.schema[column].dataType, TimestampNTZType)
-    instant = as_instant(column) if plain else F.col(column)
-    return stream.withColumn(column, instant).withWatermark(column, delay)
+def collected(
+    stream: DataFrame, purpose: str, partial: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
+    """Process everything available and return the partial results of all micro-batches."""
+    spark = stream.sparkSession
+    folder = run_dir(spark, purpose)
 
+    def put(rows: DataFrame, number: int) -> None:
+        partial(rows).write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
+
+    # a first part without rows, so that a stream without files has a result too
+    empty = spark.createDataFrame([], stream.schema)
+    put(empty, -1)
+    query = (
+        stream.writeStream.foreachBatch(put)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(partial(empty).schema).parquet(f"{folder}/out").drop("batch")
 
-@contextmanager
-def _rocksdb(spark: SparkSession):
-    """transformWithState needs the RocksDB store; the query keeps the setting it starts with."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
 
+def _closed(partials: DataFrame, delay: str):
+    """The event time that everything before is closed: the latest seen, less the delay."""
+    (latest,) = partials.agg(F.max("latest")).first()
+    return F.lit(latest).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}")
 
-def run_available(stream: DataFrame, purpose: str) -> DataFrame:
-    """Process everything available, append to parquet in the shared folder, and read it back.
 
-    The file sink commits each micro-batch once, so a restarted query does not repeat rows.
-    """
-    spark = stream.sparkSession
-    folder = run_dir(spark, purpose)
-    with _rocksdb(spark):
-        query = (
-            stream.writeStream.format("parquet")
-            .option("checkpointLocation", f"{folder}/checkpoint")
-            .option("path", f"{folder}/out")
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start()
-        )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+# ---- rules over requests -----------------------------------------------------------------------
 
 
-# ---- rules over requests -----------------------------------------------------------------------
+def unique_requests(requests: DataFrame) -> DataFrame:
+    """The earliest request of every scoped key."""
 
+    def earliest(rows: DataFrame) -> DataFrame:
+        return first_per_key(
+            rows.select("scoped_key", "ts", "request_id"), ["scoped_key"], ["ts", "request_id"], "request_id"
+        )
 
-def unique_requests(requests: DataFrame, retry_window: str = DELAY) -> DataFrame:
-    """Keep one request per scoped key within the retry window, whose end frees the key."""
-    keyed = requests.withColumn("scoped_key", scoped_key())
-    return event_time(keyed, "ts", retry_window).dropDuplicatesWithinWatermark(["scoped_key"])
+    return earliest(collected(requests.withColumn("scoped_key", scoped_key()), "unique", earliest))
 
 
 def rate_limited(
-    requests: DataFrame, sessions: DataFrame, limit: int, window_seconds: int, delay: str = DELAY
+    requests: DataFrame, sessions: DataFrame, limit: int, window_seconds: int
 ) -> DataFrame:
-    """Pass or reject each request; ``sessions`` is a table of when each session began."""
-    opened = sessions.select("session_id", plain_micros("window_start").alias("opened"))
-    timed = (
-        event_time(requests, "ts", delay)
-        .withColumn("at", F.unix_micros("ts"))
-        .join(opened, "session_id")
-        .select("session_id", "request_id", "at", "opened", "ts")
-    )
-    id_type = timed.schema["request_id"].dataType.simpleString()
-    return timed.groupBy("session_id").transformWithStateInPandas(
-        RateLimiter(limit, window_seconds * 1_000_000),
-        f"session_id string, request_id {id_type}, passed boolean",
-        "Append",
-        "None",
-    )
+    """Pass or reject each request; ``sessions`` is a table of when each session began and ends.
+
+    A window's start depends on every earlier request of its session, so the partial result is the
+    requests themselves, reduced to the columns of the rule.
+    """
+    kept = collected(requests.select("session_id", "request_id", "ts"), "limited")
+    return ratelimit.rate_limited(kept, sessions, limit, window_seconds)
 
 
 def expired_sessions(requests: DataFrame, minutes: int = 30, delay: str = DELAY) -> DataFrame:
-    """Sessions (opened by their first request) as they reach the end of their lifetime."""
-    timed = event_time(requests, "ts", delay).withColumn("at", F.unix_micros("ts"))
-    ended = (
-        timed.select("session_id", "at", "ts")
-        .groupBy("session_id")
-        .transformWithStateInPandas(
-            SessionExpiry(minutes * 60_000_000),
-            "session_id string, expired_micros bigint",
-            "Append",
-            "EventTime",
-        )
-    )
-    return ended.select(
-        "session_id", F.timestamp_micros("expired_micros").alias("expired_at")
-    )
+    """Sessions (opened by their first request) whose lifetime event time has passed."""
+
+    def opened(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("session_id").agg(F.min("ts").alias("first"), F.max("ts").alias("latest"))
+
+    found = collected(requests.select("session_id", "ts"), "expired", opened)
+    ends = F.min("first") + F.expr(f"INTERVAL {minutes} MINUTES")
+    ended = found.groupBy("session_id").agg(ends.alias("expired_at"))
+    return ended.where(F.col("expired_at") <= _closed(found, delay))
 
 
 def request_counts(requests: DataFrame, width: str = "1 minute", delay: str = DELAY) -> DataFrame:
     """Requests and sessions seen per tumbling window, once the window has closed."""
-    return (
-        event_time(requests, "ts", delay)
-        .groupBy(F.window("ts", width).alias("w"))
-        .agg(F.count("*").alias("requests"), F.count_if("opens_session").alias("new_sessions"))
-        .select(F.col("w.start").alias("window_start"), "requests", "new_sessions")
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(F.window("ts", width).alias("w")).agg(
+            F.count("*").alias("requests"),
+            F.count_if("opens_session").alias("new_sessions"),
+            F.max("ts").alias("latest"),
+        )
+
+    found = collected(requests.select("ts", "opens_session"), "counts", counted)
+    merged = found.groupBy("w").agg(
+        F.sum("requests").alias("requests"), F.sum("new_sessions").alias("new_sessions")
+    )
+    return merged.where(F.col("w.end") <= _closed(found, delay)).select(
+        F.col("w.start").alias("window_start"), "requests", "new_sessions"
     )
 
 
 # ---- rules over transactions -------------------------------------------------------------------
 
 
-def daily_economics(transactions: DataFrame, width: str = "1 day") -> DataFrame:
-    """Unit economics per day and type as days close; the input already carries a watermark."""
-    return (
-        transactions.groupBy(
-            F.window("transaction_ts", width).alias("w"), F.col("transaction_type")
+def daily_economics(
+    transactions: DataFrame, width: str = "1 day", delay: str = DELAY
+) -> DataFrame:
+    """Unit economics per day and type of the days that have closed."""
+    totals = {
+        "transaction_volume_gbp": F.col("amount_gbp"),
+        "revenue_gbp": revenue(),
+        "processing_cost_gbp": F.col("processing_cost_gbp"),
+        "contribution_margin_gbp": margin(),
+    }
+
+    def priced(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(F.window("transaction_ts", width).alias("w"), "transaction_type").agg(
+            F.count_if(completed()).alias("completed_transactions"),
+            *[F.sum(F.when(completed(), v)).alias(name) for name, v in totals.items()],
+            F.max("transaction_ts").alias("latest"),
         )
-        .agg(*economics_measures())
+
+    found = collected(transactions, "daily", priced)
+    merged = found.groupBy("w", "transaction_type").agg(
+        F.sum("completed_transactions").alias("completed_transactions"),
+        *[F.sum(name).alias(name) for name in totals],
+    )
+    average = mean_of("contribution_margin_gbp", "completed_transactions", 4)
+    return (
+        merged.where(F.col("w.end") <= _closed(found, delay))
+        .withColumn("avg_margin_per_transaction_gbp", average)
         .select(F.col("w.start").alias("day"), "*")
         .drop("w")
     )
 
 
 def first_fundings(transactions: DataFrame) -> DataFrame:
-    """The first completed cash-in of each account, emitted as soon as it is seen."""
-    fundings = transactions.where(is_funding()).select(
-        "account_id", "transaction_ts", "transaction_id", "amount_gbp"
-    )
-    return fundings.groupBy("account_id").transformWithStateInPandas(
-        FirstPerKey(), fundings.schema, "Append", "None"
+    """The first completed cash-in of each account."""
+    found = collected(transactions, "fundings", earliest_fundings)
+    return first_per_key(
+        found, ["account_id"], ["transaction_ts", "transaction_id"], "transaction_id"
     )
 
 
 def activity_after_funding(
     fundings: DataFrame, transactions: DataFrame, first_day: int, end_day: int
 ) -> DataFrame:
-    """Activity in [first_day, end_day) after the account's funding, as a stream-stream join.
+    """Events per account in [first_day, end_day) after its funding, both sides as streams.
 
-    Both inputs carry watermarks, so a funding is kept for ``end_day`` days and an activity until
-    no funding can still match it. That is long-lived state: run it with availableNow. Days added
-    to an instant follow the session's time zone, so use a UTC session for 24-hour days.
+    Activity is counted per account and instant before it meets the funding, so a busy account
+    shrinks to its distinct instants.
     """
-    left = fundings.select(
-        F.col("account_id").alias("funded_account"),
-        F.col("transaction_ts").alias("funded_ts"),
-    )
-    right = transactions.where(is_activity()).select(
-        "account_id", "transaction_id", "transaction_ts"
-    )
-    at, since = F.col("transaction_ts"), F.col("funded_ts")
-    inside = (at >= since + F.expr(f"INTERVAL {first_day} DAYS")) & (
-        at < since + F.expr(f"INTERVAL {end_day} DAYS")
-    )
-    return left.join(right, (F.col("funded_account") == F.col("account_id")) & inside).select(
-        "account_id", "transaction_id", "transaction_ts", "funded_ts"
+
+    def active(rows: DataFrame) -> DataFrame:
+        return rows.where(is_activity()).groupBy("account_id", "transaction_ts").agg(
+            F.count("*").alias("events")
+        )
+
+    left = collected(fundings.select("account_id", "transaction_ts"), "funded")
+    right = collected(transactions, "activity", active)
+    since = left.groupBy("account_id").agg(F.min("transaction_ts").alias("funded_ts"))
+    at = F.col("transaction_ts")
+    inside = (at >= F.col("funded_ts") + F.expr(f"INTERVAL {first_day} DAYS")) & (
+        at < F.col("funded_ts") + F.expr(f"INTERVAL {end_day} DAYS")
     )
+    met = right.join(since, "account_id").where(inside)
+    return met.groupBy("account_id").agg(F.sum("events").alias("events"))
