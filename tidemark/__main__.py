@@ -31,7 +31,7 @@ def main() -> None:
         .unionByName(quality.check_foreign_keys(bank.tables()))
         .where(~F.col("passed"))
     )
-    broken.show(100, truncate=False)
+    sinks.write_csv(broken, f"{options.extracts}/broken_checks.csv")
     bank.write_extracts(options.extracts)
     for name in ("exp_ztest", "exp_economics", "exp_decision"):
         bank.query(name).show(truncate=False, vertical=True)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.fees import ACTIVATION_BONUS
 from tidemark.functions.money import MONEY, mean, pct
 from tidemark.functions.stats import two_proportion_columns
 from tidemark.operators.accounts import account_facts
@@ -15,18 +16,40 @@ from tidemark.operators.funnel import events_named
 ZERO = "0.00"
 
 
+def charged_facts(
+    transactions: DataFrame, accounts: DataFrame, assignments: DataFrame, variant: str = "bonus_10"
+) -> DataFrame:
+    """Margin and activation bonus per account from one pass over transactions without bonus.
+
+    An account is charged once if it was funded and its customer is in ``variant``.
+    """
+    treated = assignments.where(F.col("variant") == variant).select("customer_id").distinct()
+    owners = accounts.select("account_id", "customer_id").join(
+        treated.withColumn("_treated", F.lit(True)), "customer_id", "left"
+    )
+    charged = F.col("first_funding_ts").isNotNull() & F.col("_treated")
+    cost = F.when(charged, F.lit(ACTIVATION_BONUS)).otherwise(ZERO).cast(MONEY)
+    facts = account_facts(transactions).select("account_id", "margin_gbp", "first_funding_ts")
+    return facts.join(owners, "account_id").select(
+        "account_id", "margin_gbp", cost.alias("incentive_gbp")
+    )
+
+
 def _participants(assignments, product_events, accounts, transactions) -> DataFrame:
     """One row per assignment with its activation flag and account economics.
 
     Every joined side is first reduced to one row per customer, so nothing fans out.
+    ``transactions`` may already be reduced to margin_gbp and incentive_gbp per account.
     """
+    reduced = "margin_gbp" in transactions.columns
+    facts = transactions if reduced else account_facts(transactions)
     activated = (
         events_named(product_events, "first_funding")
         .groupBy("customer_id")
         .agg(F.lit(True).alias("activated"))
     )
     economics = accounts.select("account_id", "customer_id").join(
-        account_facts(transactions).select("account_id", "margin_gbp", "incentive_gbp"),
+        facts.select("account_id", "margin_gbp", "incentive_gbp"),
         "account_id",
         "left",
     )

@@ -232,6 +232,58 @@ def classified_requests(requests: DataFrame, committed: DataFrame) -> DataFrame:
     )
 
 
+def outcomes(
+    requests: DataFrame,
+    sessions: DataFrame,
+    accounts: DataFrame,
+    limit: int = TRANSFERS_PER_SESSION,
+) -> DataFrame:
+    """Status of each raw transfer request, and the validation rule a 422 breaks.
+
+    In the order a service decides: 401 without a live session, 422 for a broken rule, 200 or 409 for a
+    booked key with the same or other fields, 429 once the session has ``limit`` transfers, 404 unless
+    both accounts are the session's own, else 201. Refusals that need live balances are left to the
+    running-balance audit. Only the first ``limit`` bookings of a session stand, and the quota never
+    frees again, so every later request that is no replay or conflict is a 429.
+    """
+    ends = sessions.select("session_id", F.col("expires_at").alias("_ends"))
+    checked = validated_transfers(requests).join(ends, "session_id", "left")
+    live = F.coalesce(F.col("ts") < F.col("_ends"), F.lit(False))
+    order = ["created_at", "request_id"]
+    first = journal(checked.where(live & F.col("reason").isNull()), accounts)
+    at = F.struct(F.col("ts").alias("created_at"), "request_id")
+    booked = mark_first(first, ["session_id"], order, limit, "request_id").where("accepted").select(
+        F.col("idempotency_key").alias("_key"),
+        F.struct(*order).alias("_at"),
+        F.struct(*TRANSFER_FIELDS).alias("_fields"),
+    )
+    full = (
+        ranked(first, ["session_id"], [F.col(c) for c in order], limit, "request_id")
+        .where(F.col("rank") == limit)
+        .select("session_id", F.struct(*order).alias("_full"))
+    )
+    status = (
+        F.when(~live, 401)
+        .when(F.col("reason").isNotNull(), 422)
+        .when(at == F.col("_at"), 201)
+        .when((at > F.col("_at")) & (F.struct(*TRANSFER_FIELDS) == F.col("_fields")), 200)
+        .when(at > F.col("_at"), 409)
+        .when(at > F.col("_full"), 429)
+        .otherwise(404)
+    )
+    return (
+        checked.withColumn("_key", scoped_key())
+        .join(booked, "_key", "left")
+        .join(full, "session_id", "left")
+        .select(
+            "request_id",
+            "session_id",
+            status.alias("status_code"),
+            F.when(status == 422, F.col("reason")).alias("reason"),
+        )
+    )
+
+
 # ---- postings and balances -----------------------------------------------------------------
 
 

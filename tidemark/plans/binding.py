@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.fees import RATES_TO_GBP
 from tidemark.functions.money import MONEY
 from tidemark.functions.text import zero_padded
-from tidemark.operators import economics, events, ledger
+from tidemark.operators import economics, events, experiment, ledger
 from tidemark.operators.retention import RetentionRule, Window
+from tidemark.session import run_dir
 from tidemark.sources.tables import transfer_series
 
 ACCOUNT_OFFSET = 1_000_000  # account_id is never a customer_id, so a join on the wrong key shows
@@ -221,6 +222,21 @@ class Bank:
             self.transactions, self.accounts, self.experiment_assignments
         )
 
+    @cached_property
+    def account_economics(self) -> DataFrame:
+        """Margin and bonus per account, without attaching the bonus to a transaction."""
+        return experiment.charged_facts(
+            self.transactions, self.accounts, self.experiment_assignments
+        )
+
+    def stored(self) -> Bank:
+        """The same bank with its movements written once, for checks that read them often."""
+        path = f"{run_dir(self.spark, 'movements')}/movements"
+        self._movements.write.parquet(path)
+        again = Bank(self.spark, self.folder)
+        again._movements = self.spark.read.parquet(path)
+        return again
+
     @cached_property
     def detailed_transactions(self) -> DataFrame:
         """Transactions with the attributes their subtype tables need."""
@@ -471,6 +487,17 @@ class Ledger:
         ends = F.col("created_at") + F.expr("INTERVAL 10 DAYS")
         return self.user_sessions.withColumn("expires_at", ends)
 
+    @cached_property
+    def group_sessions(self) -> DataFrame:
+        """Sessions shared by several users, alive for twenty days; one in seven is unknown."""
+        group = F.floor(F.col("user_id") / USERS_PER_SESSION)
+        opened = self._users.groupBy(group.alias("_group")).agg(F.min("created_at").alias("created_at"))
+        return opened.where(F.col("_group") % 7 != 3).select(
+            F.col("_group").cast("string").alias("session_id"),
+            "created_at",
+            (F.col("created_at") + F.expr("INTERVAL 20 DAYS")).alias("expires_at"),
+        )
+
     @cached_property
     def user_accounts(self) -> DataFrame:
         """Accounts owned by the user's own session; every tenth user has no session."""

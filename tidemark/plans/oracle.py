@@ -913,7 +913,27 @@ TENANT_QUERIES = {
     "dash_economics_by_margin": f"SELECT {_label('transaction_type')} AS transaction_label, "
     "contribution_margin_gbp FROM transaction_economics",
     "src_csv": "SELECT * FROM customers JOIN kyc_cases USING (customer_id)",
+    "src_columns": "SELECT customer_id, age FROM customers",
+    "src_extracts": "SELECT * FROM channel_performance",
+    "sink_extracts": _union(
+        [
+            f"SELECT '{view}' AS table_name, COUNT(*) AS row_count FROM {view}"
+            for view in (
+                "kpis",
+                "channel_performance",
+                "retention_cohorts",
+                "experiment_performance",
+                "fx_customer_segments",
+                "fx_retention",
+                "transaction_economics",
+            )
+        ]
+    ),
+    "sink_views": "SELECT * FROM transaction_economics",
     "sink_publish": "SELECT * FROM accounts",
+    "dq_defaults": f"SELECT {_ID}, 0.0::DOUBLE AS fee_revenue_gbp, "
+    "0.0::DOUBLE AS interchange_revenue_gbp, 0.0::DOUBLE AS incentive_cost_gbp "
+    "FROM transactions WHERE status = 'failed'",
 }
 
 LEDGER_QUERIES = {
@@ -1145,6 +1165,42 @@ TENANT_QUERIES |= {
     "stream_cohort_activity": "SELECT account_id, w1 AS events FROM windows WHERE w1 > 0",
 }
 
+LEDGER_QUERIES["ledger_outcomes"] = f"""
+  SELECT k.request_id, k.session_id, CAST(status AS INTEGER) AS status_code,
+         CASE WHEN status = 422 THEN reason END AS reason
+  FROM (
+    WITH checked AS ({LEDGER_QUERIES["ledger_validate"]}),
+    groups AS (
+      SELECT CAST(user_id // 50 AS VARCHAR) AS session_id,
+             MIN(created_at) + INTERVAL 20 DAYS AS expires_at
+      FROM users WHERE user_id // 50 % 7 <> 3 GROUP BY 1),
+    alive AS (SELECT c.* FROM checked c JOIN groups g USING (session_id) WHERE c.ts < g.expires_at),
+    tries AS (
+      SELECT v.*, row_number() OVER (PARTITION BY v.session_id, idempotency_key
+                                     ORDER BY ts, request_id) AS n
+      FROM alive v
+      JOIN ledger_accounts s ON s.account_id = source_account_id AND s.session_id = v.session_id
+      JOIN ledger_accounts d ON d.account_id = destination_account_id
+                            AND d.session_id = v.session_id
+      WHERE reason IS NULL),
+    commits AS (
+      SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY ts, request_id) AS c
+      FROM tries WHERE n = 1)
+    SELECT r.*, CASE
+      WHEN g.session_id IS NULL OR r.ts >= g.expires_at THEN 401
+      WHEN r.reason IS NOT NULL THEN 422
+      WHEN b.request_id = r.request_id THEN 201
+      WHEN (r.ts, r.request_id) > (b.ts, b.request_id)
+        THEN CASE WHEN b.source_account_id = r.source_account_id
+                   AND b.destination_account_id = r.destination_account_id
+                   AND b.amount_minor = r.amount_minor THEN 200 ELSE 409 END
+      WHEN (r.ts, r.request_id) > (f.ts, f.request_id) THEN 429
+      ELSE 404 END AS status
+    FROM checked r LEFT JOIN groups g USING (session_id)
+    LEFT JOIN commits b ON b.c <= 20 AND b.session_id = r.session_id
+                       AND b.idempotency_key = r.idempotency_key
+    LEFT JOIN commits f ON f.c = 20 AND f.session_id = r.session_id) k"""
+
 # Extra tables only some ledger queries need; the chain of window starts is recursive.
 _EXTRA = {
     "ledger_rate_limit": """,

@@ -34,6 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SWEEP_AT = datetime(2024, 1, 1, 7, 0, 0)
 DAY_SECONDS = 86_400
+QUOTA = 20
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def views(bank: Bank) -> dict[str, Callable[[], DataFrame]]:
         ),
         "retention_cohorts": lambda: retention.monthly_cohorts(b.transactions, b.rule),
         "experiment_performance": lambda: experiment.experiment_performance(
-            b.experiment_assignments, b.product_events, b.accounts, b.transactions_with_incentive
+            b.experiment_assignments, b.product_events, b.accounts, b.account_economics
         ),
         "fx_customer_segments": lambda: segments.fx_customer_segments(b.transactions),
         "fx_retention": lambda: retention.fx_retention(b.transactions, b.rule),
@@ -81,7 +82,7 @@ def bank_queries() -> dict[str, Callable[[Bank], DataFrame]]:
             people if by else b.experiment_assignments,
             b.product_events,
             b.accounts,
-            b.transactions_with_incentive,
+            b.account_economics,
             by,
         )
 
@@ -198,13 +199,13 @@ def bank_queries() -> dict[str, Callable[[Bank], DataFrame]]:
         "val_variants": lambda b: quality.frequency(
             b.experiment_assignments, "variant", "assigned_customers", by_count=False
         ),
-        "dq_unique": lambda b: quality.check_unique(b.tables()),
-        "dq_not_null": lambda b: quality.check_not_null(b.tables()),
-        "dq_domain": lambda b: quality.check_domains(b.tables(), b.domains),
-        "dq_range": lambda b: quality.check_ranges(b.tables()),
-        "dq_fk": lambda b: quality.check_foreign_keys(b.tables()),
+        "dq_unique": lambda b: quality.check_unique(b.stored().tables()),
+        "dq_not_null": lambda b: quality.check_not_null(b.stored().tables()),
+        "dq_domain": lambda b: quality.check_domains(b.stored().tables(), b.domains),
+        "dq_range": lambda b: quality.check_ranges(b.stored().tables()),
+        "dq_fk": lambda b: quality.check_foreign_keys(b.stored().tables()),
         "dq_contract": lambda b: quality.check_contracts(
-            {name: view() for name, view in views(b).items()}
+            {name: view() for name, view in views(b.stored()).items()}
         ),
         "dash_headline": lambda b: dashboard.headline(views(b)["kpis"]()),
         "dash_channels": lambda b: dashboard.channel_table(views(b)["channel_performance"]()),
@@ -235,7 +236,15 @@ def bank_queries() -> dict[str, Callable[[Bank], DataFrame]]:
 
 
 def _storage_queries() -> dict[str, Callable[[Bank], DataFrame]]:
-    return {"src_csv": _csv_roundtrip, "sink_publish": _publish_roundtrip}
+    return {
+        "src_csv": _csv_roundtrip,
+        "src_columns": _column_subset,
+        "src_extracts": lambda b: _extracts(b)["channel_performance"],
+        "sink_extracts": lambda b: quality.row_counts(_extracts(b)),
+        "sink_views": _named_view,
+        "sink_publish": _publish_roundtrip,
+        "dq_defaults": _defaults,
+    }
 
 
 def _csv_roundtrip(b: Bank) -> DataFrame:
@@ -246,6 +255,35 @@ def _csv_roundtrip(b: Bank) -> DataFrame:
     return loaded["customers"].join(loaded["kyc_cases"], "customer_id")
 
 
+def _column_subset(b: Bank) -> DataFrame:
+    """Two columns of a wider CSV file."""
+    path = f"{run_dir(b.spark, 'columns')}/customers.csv"
+    sinks.write_csv(b.customers, path)
+    return tables.read_csv(b.spark, path, TABLES["customers"].schema, ["customer_id", "age"])
+
+
+def _extracts(b: Bank) -> dict[str, DataFrame]:
+    """Every published view written as an extract and read back."""
+    folder = run_dir(b.spark, "extracts")
+    sinks.write_extracts({name: view() for name, view in views(b).items()}, folder)
+    return tables.read_extracts(b.spark, folder)
+
+
+def _named_view(b: Bank) -> DataFrame:
+    """A view registered by name, reached in SQL."""
+    sinks.register_views({"transaction_economics": views(b)["transaction_economics"]()})
+    return b.spark.sql("SELECT * FROM vw_transaction_economics")
+
+
+def _defaults(b: Bank) -> DataFrame:
+    """Failed transactions whose fees were never filled in, with the declared defaults."""
+    bare = b.transactions.where("status = 'failed'").drop("interchange_revenue_gbp")
+    unknown = bare.withColumn("fee_revenue_gbp", F.lit(None).cast("decimal(12,2)"))
+    return quality.fill_defaults(unknown, "transactions").select(
+        "transaction_id", "fee_revenue_gbp", "interchange_revenue_gbp", "incentive_cost_gbp"
+    )
+
+
 def _publish_roundtrip(b: Bank) -> DataFrame:
     """Publish a table set twice; readers see the second one only."""
     folder = run_dir(b.spark, "published")
@@ -284,6 +322,9 @@ def _ledger_queries() -> dict[str, Callable[[Ledger], DataFrame]]:
         "ledger_idempotency": lambda g: ledger.classified_requests(
             g.valid_requests, g.journal
         ).select("request_id", "session_id", "idempotency_key", "amount_minor", "outcome"),
+        "ledger_outcomes": lambda g: ledger.outcomes(
+            g.raw_requests, g.group_sessions, g.accounts, QUOTA
+        ),
         "ledger_journal": lambda g: g.journal,
         "ledger_postings": lambda g: g.postings,
         "ledger_balances": lambda g: ledger.balances(g.accounts, g.postings),

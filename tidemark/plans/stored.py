@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import events
+from tidemark.operators.accounts import account_facts
 from tidemark.operators.retention import RetentionRule
 from tidemark.plans.registry import bank_queries, views
 from tidemark.schemas import ANALYTICS
@@ -49,6 +50,15 @@ class StoredBank:
         """Stored transactions already carry their incentive cost."""
         return self.transactions
 
+    @property
+    def account_economics(self) -> DataFrame:
+        return account_facts(self.transactions).select(
+            "account_id", "margin_gbp", "incentive_gbp"
+        )
+
+    def stored(self) -> StoredBank:
+        return self
+
     @property
     def lifecycle_events(self) -> DataFrame:
         return events.lifecycle_events(self.customers, self.kyc_cases, self.accounts)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+_ROOTS: set[str] = set()
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A single-machine session for tests and the bench; clusters bring their own."""
     builder = (
@@ -36,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="tidemark-")
     if not context.getCheckpointDir():
@@ -45,5 +49,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def run_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh sub-folder of the shared folder, so that reruns never meet old files."""
-    return f"{shared_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh sub-folder of the application's own part of the shared folder.
+
+    Reruns never meet old files, and the application's part is deleted when its driver ends.
+    """
+    root = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _ROOTS.add(root)
+    return f"{root}/{purpose}-{uuid.uuid4().hex}"
