@@ -244,12 +244,13 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUN
     named = grouped(docs, similarity, rounds)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
     kept = named.groupBy("comp").agg(F.min(order).alias("kept")).select("kept.doc_id", "kept.node")
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    key = F.sha2(F.concat(name.cast("binary"), F.lit(b":"), F.col("node")), 256)
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    own = docs.select(*columns, with_node_column().alias("node")).withColumn("__key", key)
-    return (
-        own.join(kept.select(key.alias("__key")), "__key", "left_semi")
-        .dropDuplicates(["__key"])
-        .select(*columns)
-    )
+    own = docs.select(*columns, _row_key(with_node_column()).alias("__key"))
+    wanted = kept.select(_row_key(F.col("node")).alias("__key"))
+    return own.join(wanted, "__key", "left_semi").dropDuplicates(["__key"]).select(*columns)
+
+
+def _row_key(node: Column) -> Column:
+    """One value per doc_id and node."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.sha2(F.concat(name.cast("binary"), F.lit(b":"), node), 256)

@@ -80,7 +80,7 @@ class Machine:
             known = feature >= 0
             pairs = np.unique(owner[known] * width + feature[known])
             text, feature = pairs // width, pairs % width
-            total = np.bincount(text, self.weights[feature], count)
+            total = np.bincount(text, self.weights[feature], count).astype(np.float64)
             for f in range(self.factors.shape[1]):
                 part = self.factors[feature, f]
                 total += 0.5 * np.bincount(text, part, count) ** 2
