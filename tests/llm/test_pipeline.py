@@ -47,11 +47,13 @@ def test_stages(spark):
 def test_awkward_documents_pass_all_stages(spark, tmp_path):
     docs = documents(spark, AWKWARD).selectExpr("nullif(doc_id, 3) doc_id", "text", "lang", "source", "n_chars")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(2, 0, 0), (5, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(
+    marks = [(i, 0, 0) for i in range(1, len(AWKWARD) + 1)] * 3 + [(None, 1, 1), (999, 1, 1)]
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(
         f"{tmp_path}/labels.parquet"
     )
-    found = corpus_pipeline.run(spark, str(tmp_path))
-    assert found.count() >= 1
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    # one document without words and each other text once, the null id among them
+    assert len({r.doc_id for r in found}) == 7
 
 
 def test_packing_of_what_is_left(spark):
