@@ -336,3 +336,42 @@ def test_sums_outgrow_64_bits(spark):
     found = one(ledger.balances(accounts, moves))
     assert found["computed_balance_minor"] == 10**19
     assert found["drift_minor"] == -(10**19)
+
+
+def test_the_last_of_a_repeated_field_counts(reason):
+    text = body(amount_minor=5).replace("{", '{"amount_minor": "x", ', 1)
+    assert (reason(text)["reason"], reason(text)["amount_minor"]) == (None, 5)
+    assert reason(text.replace("amount_minor", "extra", 1))["reason"] == "unknown_field"
+
+
+def test_outcomes_in_the_order_a_service_decides(spark):
+    def request(i, minute, key, destination=B, amount=5, session="s"):
+        return (i, session, key, body(destination_account_id=destination, amount_minor=amount), NOON + timedelta(minutes=minute))
+
+    requests = spark.createDataFrame(
+        [
+            request(1, 0, "a"),
+            request(2, 1, "a"),
+            request(3, 2, "a", amount=6),
+            request(4, 3, "b", destination=C),  # of another session
+            request(5, 4, "b"),
+            request(6, 5, "c"),  # the session has its two transfers
+            request(7, 5, "a"),  # but a replay is still answered
+            request(8, 6, "d", amount=0),
+            request(9, 30, "a"),  # expired
+            request(10, 1, "a", session="unknown"),
+            request(11, 1, "a", session=None),
+        ],
+        RAW,
+    )
+    sessions = spark.createDataFrame(
+        [("s", NOON + timedelta(minutes=30))], "session_id string, expires_at timestamp_ntz"
+    )
+    accounts = spark.createDataFrame(
+        [(A, "s"), (B, "s"), (C, "t")], "account_id string, session_id string"
+    )
+    found = ledger.outcomes(requests, sessions, accounts, limit=2)
+    assert rows(found, "request_id", "status_code") == sorted(
+        [(1, 201), (2, 200), (3, 409), (4, 404), (5, 201), (6, 429), (7, 200), (8, 422), (9, 401), (10, 401), (11, 401)],
+        key=str,
+    )

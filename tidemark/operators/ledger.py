@@ -39,8 +39,10 @@ def _parsed(requests: DataFrame, fields: list[str]) -> DataFrame:
 
     Adds per field its kind (NULL when absent, VOID for a JSON null) and its text or integer
     value, plus whether the body is an object and whether it has other fields. Every step is a
-    projection of its own, so the body is parsed once however often its parts are used.
+    projection of its own, so the body is parsed once however often its parts are used. Of a repeated
+    field the last value counts, as usual JSON readers have it.
     """
+    requests.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     doc = F.col("_doc")
     part = {f: F.variant_get(doc, f"$.{f}", "variant") for f in fields}
     known = reduce(lambda n, f: n + _given(f).cast("int"), fields, F.lit(0))
@@ -60,7 +62,7 @@ def _parsed(requests: DataFrame, fields: list[str]) -> DataFrame:
         )
         .withColumn(
             "_has_unknown",
-            F.col("_is_object") & (F.size(F.json_object_keys("body")) > known),
+            F.col("_is_object") & (F.size(F.array_distinct(F.json_object_keys("body"))) > known),
         )
     )
 
