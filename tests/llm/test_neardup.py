@@ -53,10 +53,11 @@ def corpus(seed):
     return texts
 
 
-@pytest.mark.parametrize("rounds", [0, 1, 3])
-def test_classes_equal_all_pairs(spark, rounds):
-    texts = corpus(rounds)
-    found = neardup.classes(clashing(documents(spark, texts)), rounds=rounds).collect()
+@pytest.mark.parametrize("nodes, size", [(1, 10**6), (4, 10**6), (1024, 5_000), (1024, 10**7)])
+def test_classes_equal_all_pairs(spark, nodes, size):
+    texts = corpus(nodes)
+    docs = clashing(documents(spark, texts))
+    found = neardup.classes(docs, block_nodes=nodes, block_bytes=size).collect()
     assert {r.doc_id: r.class_id for r in found} == {
         i + 1: c + 1 for i, c in enumerate(brute.classes(texts))
     }

@@ -12,11 +12,12 @@ similarity. Points are made up to the time by which every register is expected t
 it only if one is not; most terms of a long text have none, so cost per term is about one hash.
 
 Candidates: signatures are cut into 32 bands of four registers; a pair at 0.8 meets in a band except with
-probability 5e-8. Pairs within a bucket are never all emitted. In each round a bucket's least node by a
-hash of that round is its pivot, and nodes of other components are compared with it; links join
-components, and a bucket whose nodes are one component is done. After ``ROUNDS`` rounds all pairs of
-different components that share a bucket and were not compared are compared, so no link between
-components that bands offer is lost. Comparison recounts both whole texts.
+probability 5e-8. Nodes that share a bucket, directly or through others, form a family, found from one
+edge per node and bucket. A family is dealt into blocks of bounded size, and each pair of blocks is one
+group of a task: an index over one block's terms gives the exact overlap with each text of the other in
+one pass, and only the links that join parts of the group are put out. So every pair of a family is
+compared on whole texts, no pair is a row, and a family of any size is spread over many groups; its cost
+grows with the square of its size, as exact comparison of texts near the bar must.
 
 Equal texts are one node throughout. Texts without words are one class. NULL texts are empty. The class
 id is the least doc_id of the class (NULL only if all are); repeated rows stay, each with its class;
@@ -34,12 +35,14 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.spark import bound_batches, stored, whole
-from tidemark.llm.text import bag, mix, overlap, shingles, word_blocks
+from tidemark.llm.text import bag, mix, shingles, word_blocks
 
 REGISTERS = 128
 BAND = 4
 SIMILARITY = 0.8
-ROUNDS = 3
+#: Nodes and bytes of text that one block of a family holds.
+BLOCK_NODES = 1024
+BLOCK_BYTES = 8 << 20
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
 _PLACE = _U(0xD1B54A32D192ED03)
@@ -127,121 +130,152 @@ def with_node(docs: DataFrame) -> DataFrame:
 
 
 def buckets(docs: DataFrame) -> DataFrame:
-    """(key, node, size) of the nodes that share a band with another node."""
+    """(key, node) of the nodes that share a band with another node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes = [], []
+            keys = []
             for terms, counts in bags(batch.column("text")):
-                sizes.append(int(counts.sum()))
                 keys.append(bands(sketch(terms, counts)).view(np.int64) if len(terms) else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["node", "size", "keys"],
+                [batch.column("node"), pa.array(keys, pa.list_(pa.int64()))], names=["node", "keys"]
             )
 
-    made = docs.select("node", "text").mapInArrow(run, "node binary, size long, keys array<long>")
-    rows = stored(made.select(F.explode("keys").alias("key"), "node", "size").distinct(), "bands")
+    made = docs.select("node", "text").mapInArrow(run, "node binary, keys array<long>")
+    rows = stored(made.select(F.explode("keys").alias("key"), "node").distinct(), "bands")
     shared = rows.groupBy("key").agg(F.count("*").alias("nodes")).where("nodes > 1")
     return rows.join(shared.select("key"), "key")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b, linked) of pairs (a, b), by recounting both texts."""
+class Blocks:
+    """Bags of one or two blocks, and which of them links have joined so far."""
+
+    def __init__(self, similarity: float) -> None:
+        self.similarity = similarity
+        self.nodes: list[bytes] = []
+        self.bags: list[tuple[np.ndarray, np.ndarray]] = []
+        self.sides: list[int] = []
+
+    def add(self, node: bytes, terms: tuple[np.ndarray, np.ndarray], side: int) -> None:
+        self.nodes.append(node)
+        self.bags.append(terms)
+        self.sides.append(side)
+
+    def links(self) -> Iterator[tuple[bytes, bytes]]:
+        """Links that join all that any link between the two sides (or within the only one) joins."""
+        side = np.array(self.sides)
+        two = side.min() != side.max()
+        left, right = (np.flatnonzero(side == s) for s in (side.min(), side.max()))
+        terms = np.concatenate([self.bags[n][0] for n in right])
+        owner = np.repeat(right, [len(self.bags[n][0]) for n in right])
+        order = np.argsort(terms, kind="stable")
+        terms, owner = terms[order], owner[order]
+        count = np.concatenate([self.bags[n][1] for n in right])[order]
+        size = np.array([c.sum() for _, c in self.bags])
+        joined = np.arange(len(side))
+        for n in left:
+            own, own_count = self.bags[n]
+            low, high = (np.searchsorted(terms, own, side=s) for s in ("left", "right"))
+            runs = high - low
+            at = np.repeat(high - np.cumsum(runs), runs) + np.arange(runs.sum())
+            shared = np.minimum(np.repeat(own_count, runs), count[at])
+            both = np.bincount(owner[at], shared, len(side))
+            near = both >= self.similarity * (size[n] + size - both)
+            near[n] = False
+            if not two:
+                near[n + 1 :] = False
+            hits = np.flatnonzero(near)
+            names, first = np.unique(joined[hits], return_index=True)
+            for name, hit in zip(names, hits[first], strict=True):
+                if name != joined[n]:
+                    yield self.nodes[n], self.nodes[hit]
+                    joined[joined == name] = joined[n]
+
+
+def family_links(
+    families: DataFrame,
+    texts: DataFrame,
+    similarity: float = SIMILARITY,
+    block_nodes: int = BLOCK_NODES,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """(a, b): links that join what all links within each family join.
+
+    ``families`` has node and comp, ``texts`` node and text.
+    """
+    held = texts.join(families, "node")
+    blocks = held.groupBy("comp").agg(
+        F.greatest(
+            F.ceil(F.count("*") / block_nodes), F.ceil(F.sum(F.octet_length("text")) / block_bytes)
+        ).alias("blocks")
+    )
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("own")
+    dealt = (
+        held.join(blocks, "comp")
+        .select("comp", "node", "text", "blocks", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("comp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "text")
+    )
+    group = ["comp", "low", "high"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, Blocks(similarity)
         for batch in batches:
-            sides = (bags(batch.column(f"text_{end}")) for end in "ab")
-            linked = [overlap(x, y) >= similarity for x, y in zip(*sides, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())],
-                names=["a", "b", "linked"],
-            )
-
-    left, right = (texts.select(F.col("node").alias(e), F.col("text").alias(f"text_{e}")) for e in "ab")
-    whole_pairs = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return whole_pairs.mapInArrow(run, "a binary, b binary, linked boolean")
-
+            found: list[tuple[bytes, bytes]] = []
+            keys = zip(*(batch.column(c).to_pylist() for c in group), strict=True)
+            rows = zip(keys, batch.column("node").to_pylist(), batch.column("own").to_pylist(), strict=True)
+            for (key, node, side), terms in zip(rows, bags(batch.column("text")), strict=True):
+                if key != now:
+                    if held.nodes:
+                        found += held.links()
+                    now, held = key, Blocks(similarity)
+                held.add(node, terms, side)
+            yield _edges(found)
+        if held.nodes:
+            yield _edges(list(held.links()))
 
-def _ordered(x, y):
-    return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+    ordered = dealt.repartition(*group).sortWithinPartitions(*group, "own", "node")
+    return ordered.mapInArrow(run, "a binary, b binary")
 
 
-def _fits(similarity: float):
-    """Bags whose sizes are too different cannot be alike."""
-    return F.least("size", "other_size") >= similarity * F.greatest("size", "other_size")
+def _edges(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    sides = [pa.array([pair[n] for pair in found], pa.binary()) for n in (0, 1)]
+    return pa.RecordBatch.from_arrays(sides, names=["a", "b"])
 
 
-def pivot_pairs(open_rows: DataFrame, turn: int, similarity: float) -> DataFrame:
-    """Each node of a bucket with the bucket's pivot, unless both are one component."""
-    lead = F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node", "comp", "size")
-    pivots = open_rows.groupBy("key").agg(F.min(lead).alias("pivot"))
-    met = open_rows.join(pivots, "key").withColumn("other_size", F.col("pivot.size"))
-    met = met.where((F.col("comp") != F.col("pivot.comp")) & _fits(similarity))
-    return met.select(*_ordered(F.col("node"), F.col("pivot.node"))).distinct()
-
-
-def rest_pairs(open_rows: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of different components within a bucket: nodes outside its largest component with
-    every node of another one."""
-    sizes = open_rows.groupBy("key", "comp").count()
-    largest = sizes.groupBy("key").agg(F.max(F.struct("count", "comp"))["comp"].alias("largest"))
-    few = open_rows.join(largest, "key").where("comp <> largest").drop("largest")
-    others = open_rows.select(
-        "key",
-        F.col("node").alias("other"),
-        F.col("comp").alias("other_comp"),
-        F.col("size").alias("other_size"),
-    )
-    met = few.join(others, "key").where((F.col("comp") != F.col("other_comp")) & _fits(similarity))
-    return met.select(*_ordered(F.col("node"), F.col("other"))).distinct()
-
-
-def grouped(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+def grouped(docs: DataFrame, similarity: float = SIMILARITY, **blocks: int) -> DataFrame:
     """doc_id, node and comp of every row: rows of one class share comp."""
     bound_batches(docs.sparkSession)
     docs = with_node(docs)
     members = stored(docs.select("doc_id", "node"), "members")
     rows = stored(buckets(docs), "buckets")
     nodes = stored(rows.select("node").distinct(), "nodes")
+    least = rows.groupBy("key").agg(F.min("node").alias("a"))
+    families = components(nodes, rows.join(least, "key").select("a", F.col("node").alias("b")))
     # one row per node: that of its least id
-    first = members.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    first = members.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("first"))
     texts = stored(
-        docs.join(first.withColumnRenamed("doc_id", "first"), "node")
+        docs.join(first, "node")
         .where(F.col("doc_id").eqNullSafe(F.col("first")))
         .dropDuplicates(["node"])
         .select("node", "text"),
         "texts",
     )
-    labels = nodes.select("node", F.col("node").alias("comp"))
-    tested = None
-    for turn in range(rounds + 1):
-        placed = rows.join(labels, "node")
-        still = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-        open_rows = stored(placed.join(still.where("low <> high").select("key"), "key"), "open")
-        if open_rows.isEmpty():
-            break
-        last = turn == rounds
-        pairs = rest_pairs(open_rows, similarity) if last else pivot_pairs(open_rows, turn, similarity)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        checked = stored(verified(pairs, texts, similarity), "pairs")
-        tested = checked if tested is None else tested.unionAll(checked)
-        labels = components(nodes, tested.where("linked").select("a", "b"))
+    labels = components(nodes, family_links(families, texts, similarity, **blocks))
     comp = F.coalesce("comp", "node")
     return members.join(labels, "node", "left").select("doc_id", "node", comp.alias("comp"))
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+def classes(docs: DataFrame, similarity: float = SIMILARITY, **blocks: int) -> DataFrame:
     """doc_id and class_id of every row, with the number of rows in its class."""
-    named = stored(grouped(docs, similarity, rounds), "classes")
+    named = stored(grouped(docs, similarity, **blocks), "classes")
     least = named.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_rows"))
     return named.join(least, "comp").select("doc_id", "class_id", "class_rows")
 
 
-def keep_one(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+def keep_one(docs: DataFrame, similarity: float = SIMILARITY, **blocks: int) -> DataFrame:
     """One row of each class: that of the least doc_id, then of the least text hash."""
-    named = grouped(docs, similarity, rounds)
+    named = grouped(docs, similarity, **blocks)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
     kept = named.groupBy("comp").agg(F.min(order).alias("kept")).select("kept.doc_id", "kept.node")
     columns = [F.col(f"`{c}`") for c in docs.columns]
