@@ -29,9 +29,10 @@ from tidemark.llm.spark import bound_batches
 
 SCALE = 1024
 #: Entries of one block and queries of one block: the bound of what a task holds.
-ENTRY_BLOCK = 16_384
+ENTRY_BLOCK = 4_096
 QUERY_BLOCK = 4_096
-FIRST_STRETCH = 128
+#: Parts of a list that are read before bounds are looked at again.
+STRETCHES = 4
 EXACT = 1 << 53
 FOUND = "query_id long, vector array<long>, vec_id long, score long"
 
@@ -69,9 +70,9 @@ class Lists:
         weight = query.astype(np.float64)
         far = np.where(up, self.values[:, 0], self.values[:, -1]) * weight
         partial = np.zeros(n)
-        unread = np.ones((n, d), bool)
+        unread = np.ones((n, d))
         flat = unread.reshape(-1)
-        read, stretch = 0, min(FIRST_STRETCH, n)
+        read, stretch = 0, -(-n // STRETCHES)
         columns = np.arange(d)[:, None]
         while read < n:
             stop = min(read + stretch, n)
@@ -81,18 +82,16 @@ class Lists:
             )
             got = got * weight[:, None]
             partial += np.bincount(ids.ravel(), got.ravel(), minlength=n)
-            flat[(ids * d + columns).ravel()] = False
+            flat[(ids * d + columns).ravel()] = 0
             read = stop
             if read == n:
                 break
             reached = np.where(up, self.values[:, n - stop], self.values[:, stop - 1]) * weight
-            lower = partial + unread @ far
-            upper = partial + unread @ reached
+            lower, upper = partial + (unread @ np.stack([far, reached], axis=1)).T
             bar = np.partition(lower, n - k)[n - k]
             inside = upper >= bar
-            if np.count_nonzero(inside) <= 4 * k:
+            if np.count_nonzero(inside) <= 16 * k:
                 return np.flatnonzero(inside)
-            stretch *= 2
         bar = np.partition(partial, n - k)[n - k]
         return np.flatnonzero(partial >= bar)
 
