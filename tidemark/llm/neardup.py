@@ -42,7 +42,7 @@ BAND = 4
 SIMILARITY = 0.8
 #: Nodes and bytes of text that one block of a family holds.
 BLOCK_NODES = 1024
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
 _PLACE = _U(0xD1B54A32D192ED03)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import run_dir
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
