@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from tidemark.llm.spark import bound_batches, whole
 
 #: Table entries and words a worker keeps; beyond them each is worked out when it is met.
-TABLE_LIMIT = 250_000
-WORD_LIMIT = 500_000
+TABLE_LIMIT = 150_000
+WORD_LIMIT = 400_000
 #: The published pre-tokenization pattern of byte-level BPE (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The same pattern written out for printable Latin-1, which the standard module splits faster.
