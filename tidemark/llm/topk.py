@@ -66,27 +66,29 @@ class Lists:
         n, d = self.size, self.width
         if n <= k or not d:
             return np.arange(n)
-        up = query > 0
         weight = query.astype(np.float64)
-        far = np.where(up, self.values[:, 0], self.values[:, -1]) * weight
+        down, up = np.flatnonzero(query <= 0), np.flatnonzero(query > 0)
+        column = np.concatenate([down, up])[:, None]
+        factor = weight[column]
+        far = np.where(query > 0, self.values[:, 0], self.values[:, -1]) * weight
         partial = np.zeros(n)
         unread = np.ones((n, d))
         flat = unread.reshape(-1)
         read, stretch = 0, -(-n // STRETCHES)
-        columns = np.arange(d)[:, None]
         while read < n:
             stop = min(read + stretch, n)
-            ids = np.where(up[:, None], self.order[:, n - stop : n - read], self.order[:, read:stop])
-            got = np.where(
-                up[:, None], self.values[:, n - stop : n - read], self.values[:, read:stop]
-            )
-            got = got * weight[:, None]
+            low, high = slice(read, stop), slice(n - stop, n - read)
+            ids = np.concatenate([self.order[down, low], self.order[up, high]])
+            got = np.concatenate([self.values[down, low], self.values[up, high]])
+            got *= factor
             partial += np.bincount(ids.ravel(), got.ravel(), minlength=n)
-            flat[(ids * d + columns).ravel()] = 0
+            ids *= d
+            ids += column
+            flat[ids.ravel()] = 0
             read = stop
             if read == n:
                 break
-            reached = np.where(up, self.values[:, n - stop], self.values[:, stop - 1]) * weight
+            reached = np.where(query > 0, self.values[:, n - stop], self.values[:, stop - 1]) * weight
             lower, upper = partial + (unread @ np.stack([far, reached], axis=1)).T
             bar = np.partition(lower, n - k)[n - k]
             inside = upper >= bar
