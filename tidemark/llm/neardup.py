@@ -203,18 +203,25 @@ def family_links(
 
     ``families`` has node and comp, ``texts`` node and text.
     """
-    held = texts.join(families, "node")
-    blocks = held.groupBy("comp").agg(
-        F.greatest(
-            F.ceil(F.count("*") / block_nodes), F.ceil(F.sum(F.octet_length("text")) / block_bytes)
-        ).alias("blocks")
+    sizes = texts.select("node", F.octet_length("text").alias("bytes")).join(families, "node")
+    blocks = sizes.groupBy("comp").agg(
+        F.greatest(F.ceil(F.count("*") / block_nodes), F.ceil(F.sum("bytes") / block_bytes)).alias("blocks")
+    )
+    # blocks meet nodes before texts do, so a large family's texts never pass through one task
+    placed = families.join(blocks, "comp").select(
+        "node", "comp", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("own")
     )
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("own")
     dealt = (
-        held.join(blocks, "comp")
-        .select("comp", "node", "text", "blocks", own)
+        texts.join(placed, "node")
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("comp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "text")
+        .select(
+            "comp",
+            F.least("own", "other").alias("low"),
+            F.greatest("own", "other").alias("high"),
+            "own",
+            "node",
+            "text",
+        )
     )
     group = ["comp", "low", "high"]
 
