@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.skew import first_per_key, mark_first, ranked
 from tidemark.schemas import MAX_BALANCE_MINOR, MAX_OPENING_MINOR, MAX_TRANSFER_MINOR
+from tidemark.session import run_dir
 
 # Fixed values of the request rules.
 KEY_PATTERN = r"\A[A-Za-z0-9._:-]+\z"
@@ -247,22 +248,27 @@ def outcomes(
     both accounts are the session's own, else 201. Refusals that need live balances are left to the
     running-balance audit. Only the first ``limit`` bookings of a session stand, and the quota never
     frees again, so every later request that is no replay or conflict is a 429.
+
+    The parsed requests are written once: they are read twice, and a filter on their columns would be
+    pushed below the parsing and repeat it.
     """
+    spark = requests.sparkSession
+    path = run_dir(spark, "parsed")
+    validated_transfers(requests).drop("body").write.parquet(path)
     ends = sessions.select("session_id", F.col("expires_at").alias("_ends"))
-    checked = validated_transfers(requests).join(ends, "session_id", "left")
+    checked = spark.read.parquet(path).join(ends, "session_id", "left")
     live = F.coalesce(F.col("ts") < F.col("_ends"), F.lit(False))
     order = ["created_at", "request_id"]
     first = journal(checked.where(live & F.col("reason").isNull()), accounts)
     at = F.struct(F.col("ts").alias("created_at"), "request_id")
-    booked = mark_first(first, ["session_id"], order, limit, "request_id").where("accepted").select(
+    stands = ranked(first, ["session_id"], [F.col(c) for c in order], limit, "request_id")
+    booked = stands.select(
         F.col("idempotency_key").alias("_key"),
         F.struct(*order).alias("_at"),
         F.struct(*TRANSFER_FIELDS).alias("_fields"),
     )
-    full = (
-        ranked(first, ["session_id"], [F.col(c) for c in order], limit, "request_id")
-        .where(F.col("rank") == limit)
-        .select("session_id", F.struct(*order).alias("_full"))
+    full = stands.where(F.col("rank") == limit).select(
+        "session_id", F.struct(*order).alias("_full")
     )
     status = (
         F.when(~live, 401)
