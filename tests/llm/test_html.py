@@ -47,6 +47,7 @@ def text(source):
         ("<body class='has-sidebar no-comments'><article class='notice'>x</article>", "x"),
         ("<p hidden>h</p><p style='display: none'>h</p><p aria-hidden=true>h</p>x", "x"),
         ("<div class='address badge reader'>x</div>", "x"),
+        ("<article><div class='commentList'>c</div><p class=\"site-alert\">a</p>x</article>", "x"),
         ("<h1>a</h1>tail<h2>b</h2>", "a\ntail\nb"),
         ("</p></div>x</b>", "x"),
         ("<P>A</P><DIV CLASS=Ad>n</DIV>", "A"),

@@ -55,6 +55,7 @@ DROPPED_WORDS = _words(
     " navigation menu sidebar footer masthead cookie cookies consent notice notices gdpr newsletter subscribe"
     " subscription signup comment comments disqus respond reply replies discussion share sharing social related"
     " recommended breadcrumb breadcrumbs pagination pager popup modal overlay toolbar widget login paywall"
+    " commentlist commentform topbar sidenav adslot adsense copyright popover alert alerts announcement disclaimer"
 )
 ARTICLE_WORDS = _words("article post entry story content")
 #: Elements that a start tag of another kind ends, up to the nearest of the given bounds.
