@@ -292,13 +292,20 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
     files = files.select("content")
 
-    def finished(data: bytes) -> Iterator[tuple]:
+    def finished(keep_payload: bool):
+        def rows(data: bytes) -> Iterator[tuple]:
+            for item in parse(data):
+                head = item["headers"]
+                if head["WARC-Type"] == "response" and "WARC-Segment-Number" not in head:
+                    told = _told(payload_of(item["block"]))
+                    yield (*_rows(item), *told[:3], told[3] if keep_payload else None)
+
+        return rows
+
+    def revisited(data: bytes) -> Iterator[tuple]:
         for item in parse(data):
-            kind = item["headers"]["WARC-Type"]
-            if kind == "revisit":
+            if item["headers"]["WARC-Type"] == "revisit":
                 yield (*_rows(item), None, None, None, None)
-            elif kind == "response" and "WARC-Segment-Number" not in item["headers"]:
-                yield (*_rows(item), *_told(payload_of(item["block"])))
 
     def segments(data: bytes) -> Iterator[tuple]:
         for item in parse(data):
@@ -316,7 +323,11 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
     told = "complete boolean, payload_bytes long, payload_digest string, payload binary"
     told_kinds = [pa.bool_(), pa.int64(), pa.string(), pa.binary()]
-    whole = _read(files, f"{_HEAD}, {told}", _KINDS + told_kinds, finished)
+    # each reading takes out of a file only what it is for
+    whole, sizes, revisits = (
+        _read(files, f"{_HEAD}, {told}", _KINDS + told_kinds, rows)
+        for rows in (finished(True), finished(False), revisited)
+    )
     part_kinds = [pa.string(), pa.int32(), pa.int64(), pa.binary()]
     parts = _read(
         files, f"{_HEAD}, origin string, segment int, total long, block binary", _KINDS + part_kinds, segments
@@ -341,17 +352,16 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
                     names=[part.split()[0] for part in f"{_HEAD}, {told}".split(", ")],
                 )
 
-    responses = whole.unionAll(grouped.mapInArrow(join_up, f"{_HEAD}, {told}"))
+    joined = grouped.mapInArrow(join_up, f"{_HEAD}, {told}")
     known = (
-        responses.where("record_type = 'response' and complete")
+        sizes.unionAll(joined)
+        .where("complete")
         .groupBy(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("named_digest"))
         .agg(F.max("payload_bytes").alias("known_bytes"))
     )
     full = ["page_id", "url", "record_type", "refers_to", "complete"]
-    revisits = whole.where("record_type = 'revisit'").drop("payload_digest").join(
-        known, ["refers_to", "named_digest"], "left"
-    )
-    return responses.where("record_type = 'response'").select(
+    revisits = revisits.drop("payload_digest").join(known, ["refers_to", "named_digest"], "left")
+    return whole.unionAll(joined).select(
         *full, "payload", "payload_bytes", "payload_digest"
     ).unionAll(
         revisits.withColumn("complete", F.col("known_bytes").isNotNull()).select(
