@@ -98,3 +98,48 @@ def test_query(spark):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
     found = {r.doc_id: r.text for r in queries.linechunk_query(spark, folder).collect()}
     assert found == brute.without_repeats([tuple(d) for d in docs])
+
+
+def word_runs(rows, least=20):
+    """Lines (doc_id, number) of repeated runs of whole lines, by growing every pair of equal lines."""
+    places, lines = {}, {i: t.split("\n") for i, t in rows}
+    for i, own in lines.items():
+        for n, one in enumerate(own):
+            places.setdefault(one, []).append((i, n))
+    gone = set()
+    for held in places.values():
+        for a, (i, n) in enumerate(held):
+            for j, m in held[a + 1 :]:
+                size = 0
+                while n + size < len(lines[i]) and lines[i][n + size : n + size + 1] == lines[j][m + size : m + size + 1]:
+                    size += 1
+                words = sum(len(x.split()) for x in lines[i][n : n + size])
+                if words > lc.LONG_LINE or (size >= lc.MIN_LINES and words >= least):
+                    gone |= {(j, m + k) for k in range(size)}
+    return gone
+
+
+def test_planted_passages_go_whole(spark):
+    """Short passages of several lines, each among other lines every time: all lines of later copies go."""
+    rng = random.Random(11)
+    shapes = [(2, 28), (3, 25), (4, 30), (12, 5), (2, 10), (1, 51)]
+    passages = [[line(rng, words) for _ in range(count)] for count, words in shapes * 3]
+    texts = []
+    for copy in range(4):
+        for passage in passages:
+            own = [line(rng, rng.choice([3, 9, 30])) for _ in range(rng.randint(2, 9))]
+            at = rng.randint(0, len(own))
+            texts.append("\n".join(own[:at] + passage + own[at:]))
+    rows = list(enumerate(texts, 1))
+    gone = word_runs(rows)
+    assert len(gone) == 3 * sum(map(len, passages))
+    found = {r.doc_id: r for r in lc.dedup(documents(spark, texts)).collect()}
+    for i, text in rows:
+        kept = [x for n, x in enumerate(text.split("\n")) if (i, n) not in gone]
+        assert found[i].text == "\n".join(kept)
+        assert found[i].removed_lines == sum(j == i for j, _ in gone)
+
+
+def test_chunks_stay_few_among_empty_lines():
+    words = "\n".join(f"word{n}" for n in range(30))
+    assert len(list(lc.chunks(words + "\n" * 20_000 + words + "\n" * 20_000))) < 200

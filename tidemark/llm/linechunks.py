@@ -1,15 +1,16 @@
-"""Removal of repeated runs of lines, found by content-defined chunks.
+"""Removal of repeated runs of lines, found by overlapping chunks of whole lines.
 
-A text is cut into chunks of whole lines. A rolling hash over the hashes of the last ``WINDOW`` lines ends a
-chunk where it is divisible by ``DIVISOR``, once the chunk has two lines, so boundaries depend on nearby lines
-only and meet again after an insertion; a line of over ``LONG_LINE`` words is a chunk of its own. Chunks of
-several lines and at least ``MIN_WORDS`` words, and such long lines, are counted by a 128-bit hash over the
-whole corpus. The first chunk (least doc_id) of each repeated hash stays; the others are compared with it
-byte by byte, and those equal are removed with their lines.
+A run of lines counts from two lines and ``MIN_WORDS`` words, or ``LONG_LINE`` words passed. Every least such
+run is a chunk: from each line the shortest forwards, to each line the shortest backwards. Whether a run is a
+chunk depends on its own lines alone, so a repeated passage has the same chunks wherever it stands, and they
+cover all of its lines and no others. Chunks are counted by a 128-bit hash over the whole corpus. The first
+chunk (least doc_id, then place) of each repeated hash stays; the others are compared with it byte by byte, and
+the lines of those equal are removed. A line that is removed has an equal one in an earlier place, which stays
+or has one in its turn. Lines without words start or end a chunk only next to a line with words.
 
-Only hashes are shuffled to find what repeats; then texts move once, keyed by document, and that exchange
-serves the comparison and the removal. A chunk that makes up much of the corpus is counted map-side first,
-and its comparison is a join that adaptive execution may split.
+Only hashes are shuffled to find what repeats, 64 bits of them at first; then texts move once, keyed by
+document, and that exchange serves the comparison and the removal. A chunk that makes up much of the corpus is
+counted map-side first, and its comparison is a join that adaptive execution may split.
 
 A NULL text is empty; texts of one short line are never changed; a text may become empty, its row stays.
 Rows equal in id and text count as one document, all keep the same chunks. Repeats inside one text are
@@ -19,6 +20,7 @@ removed too. Further columns pass through (``n_chars`` is set anew if there); an
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate, islice
 
 import pyarrow as pa
 import xxhash
@@ -33,6 +35,7 @@ DIVISOR = 2
 MIN_LINES = 2
 MIN_WORDS = 20
 LONG_LINE = 50
+BATCH_ROWS = 4_096
 _WORD = (1 << 64) - 1
 _FACTOR = 0x9E3779B97F4A7C15
 
@@ -62,23 +65,49 @@ def chunk_bounds(lines: list[str]) -> list[tuple[int, int, int]]:
 
 
 def chunks(text: str) -> Iterator[tuple[int, int, str]]:
-    """(first line, lines, text) of the chunks of a text that may be removed."""
+    """(first line, lines, text) of the chunks of a text, in order; they overlap."""
     lines = text.split("\n")
-    for first, stop, words in chunk_bounds(lines):
-        if words > LONG_LINE or (stop - first >= MIN_LINES and words >= MIN_WORDS):
-            yield first, stop - first, "\n".join(lines[first:stop])
+    own = [len(line.split()) for line in lines]
+    upto = [0, *accumulate(own)]
+    # lines with words, and those next to them
+    ends = [n for n in range(len(own)) if any(own[max(0, n - 1) : n + 2])]
+
+    def enough(first: int, last: int) -> bool:
+        words = upto[last + 1] - upto[first]
+        return words > LONG_LINE or (last + 1 - first >= MIN_LINES and words >= MIN_WORDS)
+
+    found, stop, start = set(), 0, 0
+    for n, first in enumerate(ends):
+        stop = max(stop, n)
+        while stop < len(ends) and not enough(first, ends[stop]):
+            stop += 1
+        if stop == len(ends):
+            break
+        found.add((first, ends[stop] + 1))
+    for n, last in enumerate(ends):
+        while start < n and enough(ends[start + 1], last):
+            start += 1
+        if enough(ends[start], last):
+            found.add((ends[start], last + 1))
+    for first, after in sorted(found):
+        yield first, after - first, "\n".join(lines[first:after])
 
 
 def digest(chunk: str) -> bytes:
     return xxhash.xxh3_128_digest(chunk)
 
 
+def covered(cut: list[tuple[int, int]]) -> set[int]:
+    """The lines of runs (first line, lines), which may overlap."""
+    return {n for first, count in cut for n in range(first, first + count)}
+
+
 def without(text: str, cut: list[tuple[int, int]]) -> str:
     """A text without runs of lines (first line, lines)."""
     if not cut:
         return text
     lines = text.split("\n")
-    gone = {n for first, count in cut for n in range(first, first + count)}
+    gone = covered(cut)
     return "\n".join(line for n, line in enumerate(lines) if n not in gone)
 
 
@@ -88,10 +117,11 @@ def _mapped(df: DataFrame, schema: str, kinds: list, rows) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [out for row in batch.to_pylist() for out in rows(row)]
-            columns = list(zip(*made, strict=True)) if made else [[]] * len(kinds)
-            arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            made = (out for row in batch.to_pylist() for out in rows(row))
+            while part := list(islice(made, BATCH_ROWS)):
+                columns = zip(*part, strict=True)
+                arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return df.mapInArrow(run, schema)
 
@@ -115,15 +145,18 @@ def repeated(docs: DataFrame) -> DataFrame:
     schema = "__key binary, doc_id long, first int, lines int, hash binary"
     kinds = [pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
     own = docs.select("__key", F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = stored(_mapped(own, schema, kinds, rows).distinct(), "chunks")
-    place = F.struct("doc_id", "__key", "first")
-    often = found.groupBy("hash").agg(F.count("*").alias("times"), F.min(place).alias("keep"))
-    often = often.where("times > 1").select("hash", "keep")
-    stays = (F.col("keep.__key") == F.col("__key")) & (F.col("keep.first") == F.col("first"))
+    every = stored(_mapped(own, schema, kinds, rows), "chunks")
+    # repeated rows have equal places, so what repeats is in two of them
+    short, where = F.xxhash64("hash").alias("short"), F.xxhash64("__key", "first", "lines").alias("where")
+    twice = every.select(short, where).groupBy("short").agg(F.min("where").alias("a"), F.max("where").alias("b"))
+    twice = twice.where("a <> b").select("short")
+    found = stored(every.join(twice, F.xxhash64("hash") == F.col("short"), "left_semi"), "found")
+    often = found.groupBy("hash").agg(F.min(F.struct("doc_id", "__key", "first", "lines")).alias("keep"))
+    stays = F.struct("__key", "first", "lines") == F.struct("keep.__key", "keep.first", "keep.lines")
     return (
         found.join(often, "hash")
         .groupBy("__key")
-        .agg(F.collect_list(F.struct("first", "lines", "hash", stays.alias("stays"))).alias("__chunks"))
+        .agg(F.collect_set(F.struct("first", "lines", "hash", stays.alias("stays"))).alias("__chunks"))
     )
 
 
@@ -168,7 +201,7 @@ def dedup(docs: DataFrame) -> DataFrame:
             columns["text"] = pa.array(made, pa.string())
             if resized:
                 columns["n_chars"] = pa.array(map(len, made), pa.int64()).cast(batch.schema.field("n_chars").type)
-            columns["removed_lines"] = pa.array([sum(n for _, n in c) for c in cut], pa.int64())
+            columns["removed_lines"] = pa.array([len(covered(c)) for c in cut], pa.int64())
             yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 
     return docs.join(cuts, "__key", "left").mapInArrow(run, schema)
