@@ -94,6 +94,22 @@ def test_templates_inside_articles(spark):
     assert extracted(spark, rows, min_pages=9)[0] == "own 0\nRead more like this\nsame"
 
 
+def test_copies_of_an_article_are_no_evidence(spark):
+    body = "".join(f"<p>sentence number {i} of the article</p>" for i in range(20))
+    article = f"<article><h1>title</h1><div class=content>{body}</div><table><tr><td>a row</table>"
+    block = "<div>Read more like this</div>"
+    rows = [(n, f"http://a/{n}", f"{article}{block}</article>") for n in range(7)]
+    rows += [(10 + n, f"http://a/near{n}", f"{article}{block}<p>read {n} times</p></article>") for n in range(9)]
+    told = " ".join(f"word{i}" for i in range(9))
+    rows += [(30 + n, f"http://a/x{n}", f"<article><p>{told} {n}</p>{block}</article>") for n in range(8)]
+    found = extracted(spark, rows)
+    for n in range(7):
+        assert found[n].count("sentence number") == 20 and found[n].endswith("a row")
+    for n in range(10, 19):
+        assert found[n].count("sentence number") == 20 and found[n].endswith(f"a row\nread {n - 10} times")
+    assert all(found[30 + n] == f"{told} {n}" for n in range(8))
+
+
 def test_repeated_rows_and_empty_table(spark):
     rows = [(1, "http://a/", page(1))] * 3 + [(None, None, None)]
     found = html.extract(spark.createDataFrame(rows, SCHEMA)).collect()

@@ -1,8 +1,11 @@
 """Main text of web pages, with site templates found by counting element subtrees.
 
-Each page is parsed once for the subtrees of its container elements (tag, class and everything inside,
-hashed). Spark counts per host on how many pages each subtree occurs. A subtree is template, and
-deleted, if it recurs on at least ``MIN_PAGES`` pages and ``MIN_SHARE`` of the pages of its host. Plain text
+Each page is parsed once for its main text's blocks and the subtrees of its container elements (tag, class and
+everything inside, hashed). Spark counts per host on how many distinct pages each subtree occurs. A subtree is
+template, and deleted, if it recurs beside at least ``MIN_PAGES`` different main texts and on ``MIN_SHARE``
+of the distinct pages of its host. Copies and near copies of an article are no evidence: a
+main text is told by what is beside the subtree and all subtrees that recur as often, by its longest blocks that make
+up ``MOSTLY`` of it, and a page counts only where that is ``MIN_BESIDE`` of its text. Plain text
 blocks (paragraphs, headings, list items, cells) are never template by themselves, so an article may
 quote what another one says. A second parse leaves out template subtrees and elements whose tag, role,
 class or id says that they are no part of the article: menus, page headers and footers, sidebars,
@@ -23,7 +26,9 @@ from __future__ import annotations
 
 import html as references
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -34,6 +39,8 @@ from tidemark.llm.spark import bound_batches, stored
 
 MIN_PAGES = 5
 MIN_SHARE = 0.1
+MOSTLY = 0.8
+MIN_BESIDE = 0.2
 
 _words = lambda text: frozenset(text.split())
 VOID = _words("area base br col embed hr img input link meta param source track wbr")
@@ -201,15 +208,20 @@ class Page:
         if tag in BLOCKS:
             self.pieces.append(None)
 
-    def candidates(self) -> list[int]:
-        """Digests of the subtrees that hold text and are not dropped for what they are."""
+    def candidates(self) -> list[tuple[int, int, int]]:
+        """Subtrees that hold text and are not dropped for what they are: digest, first block, block after the last."""
         gone = self._gone(self.dropped)
-        kept = {
-            digest
+        told = [0, *accumulate(bool(p and not gone[n] and not p.isspace()) for n, p in enumerate(self.pieces))]
+        starts = [first for first, _ in self._blocks()]
+        return sorted(
+            (digest, bisect_left(starts, first), bisect_left(starts, last))
             for digest, first, last in self.subtrees
-            if any(p and not gone[n] and not p.isspace() for n, p in enumerate(self.pieces[first:last], first))
-        }
-        return sorted(kept)
+            if told[last] > told[first]
+        )
+
+    def blocks(self) -> list[str]:
+        """The blocks of the main text, templates included."""
+        return [block for _, block in self._blocks()]
 
     def _gone(self, ranges: list[tuple[int, int]]) -> bytearray:
         gone = bytearray(len(self.pieces))
@@ -219,21 +231,41 @@ class Page:
 
     def text(self, template: frozenset[int] = frozenset()) -> str:
         """The main text, without the subtrees that have one of the given digests."""
+        return "\n".join(block for _, block in self._blocks(template))
+
+    def _blocks(self, template: frozenset[int] = frozenset()) -> list[tuple[int, str]]:
+        """First piece and text of the blocks of the main text."""
         cut = [(a, b) for digest, a, b in self.subtrees if digest in template]
         gone = self._gone(self.dropped + cut)
         roots = self.roots["article"] or self.roots["main"] or [(0, len(self.pieces))]
         inside = bytearray(len(self.pieces))
         for first, last in roots:
             inside[first:last] = b"\x01" * (last - first)
-        blocks, run = [], []
+        blocks, run, start = [], [], 0
         for n, piece in enumerate([*self.pieces, None]):
             if piece is None:
                 if run and (block := " ".join("".join(run).split())):
-                    blocks.append(block)
+                    blocks.append((start, block))
                 run = []
             elif inside[n] and not gone[n]:
+                start = start if run else n
                 run.append(piece)
-        return "\n".join(blocks)
+        return blocks
+
+
+def beside(blocks: list[int], sizes: list[int], covered: bytearray) -> int | None:
+    """What tells a main text by its blocks that are not covered; None where they are too little of it."""
+    left = sorted({(-size, block) for block, size, c in zip(blocks, sizes, covered, strict=True) if not c})
+    total = -sum(size for size, _ in left)
+    if not total or total < MIN_BESIDE * sum(sizes):
+        return None
+    most, told = 0, []
+    for size, block in left:
+        if most >= MOSTLY * total:
+            break
+        most -= size
+        told.append(block)
+    return xxhash.xxh64_intdigest(repr(told)) - (1 << 63)
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -248,26 +280,74 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """host, key, hashes: the distinct candidate subtrees of each page."""
-    schema = "host string, key string, hashes array<long>"
+    """Of each distinct page: host, key, its subtrees, and its blocks by hash and length."""
+    tree = pa.struct([("hash", pa.int64()), ("first", pa.int32()), ("after", pa.int32())])
+    schema = (
+        "host string, key string, trees array<struct<hash: long, first: int, after: int>>,"
+        " blocks array<long>, sizes array<int>"
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [Page(h).candidates() for h in batch.column("html").to_pylist()]
+            trees, blocks, sizes = [], [], []
+            for source in batch.column("html").to_pylist():
+                page = Page(source)
+                trees.append([dict(zip(("hash", "first", "after"), t, strict=True)) for t in page.candidates()])
+                told = page.blocks() if trees[-1] else []
+                blocks.append([xxhash.xxh64_intdigest(b) - (1 << 63) for b in told])
+                sizes.append([len(b) for b in told])
+            arrays = [pa.array(trees, pa.list_(tree)), pa.array(blocks, pa.list_(pa.int64()))]
+            arrays += [pa.array(sizes, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("host"), batch.column("key"), pa.array(made, pa.list_(pa.int64()))],
-                names=["host", "key", "hashes"],
+                [batch.column("host"), batch.column("key"), *arrays],
+                names=["host", "key", "trees", "blocks", "sizes"],
             )
 
-    return pages.select("host", "key", "html").mapInArrow(run, schema)
+    return pages.select("host", "key", "html").mapInArrow(run, schema).dropDuplicates(["key"])
+
+
+def evidence(found: DataFrame, often: DataFrame) -> DataFrame:
+    """host, hash, beside: the distinct main texts beside each subtree of ``often`` (host, hash, pages)."""
+    owned = found.select("host", "key", F.explode(F.array_distinct("trees.hash")).alias("hash"))
+    marks = owned.join(often.select("host", "hash", "pages"), ["host", "hash"]).groupBy("key")
+    marked = found.join(marks.agg(F.collect_list(F.struct("pages", "hash")).alias("marks")), "key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for row in batch.to_pylist():
+                places: dict[int, list[tuple[int, int]]] = {}
+                for tree in row["trees"]:
+                    places.setdefault(tree["hash"], []).append((tree["first"], tree["after"]))
+                times: dict[int, list[int]] = {}
+                for mark in row["marks"]:
+                    times.setdefault(mark["pages"], []).append(mark["hash"])
+                covered = bytearray(len(row["blocks"]))
+                for count in sorted(times, reverse=True):
+                    for digest in times[count]:
+                        for first, after in places[digest]:
+                            covered[first:after] = b"\x01" * (after - first)
+                    told = beside(row["blocks"], row["sizes"], covered)
+                    if told is not None:
+                        made += [(row["host"], digest, told) for digest in times[count]]
+            columns = zip(*made, strict=True) if made else [[]] * 3
+            kinds = (pa.string(), pa.int64(), pa.int64())
+            arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["host", "hash", "beside"])
+
+    chosen = marked.select("host", "trees", "blocks", "sizes", "marks")
+    return chosen.mapInArrow(run, "host string, hash long, beside long").distinct()
 
 
 def templates(found: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """host, hash of the subtrees that recur across the host."""
-    totals = found.groupBy("host").count().withColumnRenamed("count", "total")
-    counted = found.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").count()
-    often = counted.where(F.col("count") >= min_pages).join(totals, "host")
-    return often.where(F.col("count") >= min_share * F.col("total")).select("host", "hash")
+    totals = found.groupBy("host").agg(F.count("*").alias("total"))
+    each = found.select("host", F.explode(F.array_distinct("trees.hash")).alias("hash"))
+    counted = each.groupBy("host", "hash").agg(F.count("*").alias("pages"))
+    often = stored(counted.where(F.col("pages") >= min_pages).join(totals, "host"), "often")
+    texts = evidence(found, often).groupBy("host", "hash").agg(F.count("*").alias("texts"))
+    recurring = often.join(texts.where(F.col("texts") >= min_pages), ["host", "hash"])
+    return recurring.where(F.col("pages") >= min_share * F.col("total")).select("host", "hash")
 
 
 def extract(
@@ -283,7 +363,7 @@ def extract(
     found = stored(subtrees(pages), "subtrees")
     recurring = templates(found, min_pages, min_share)
     cut = stored(
-        found.select("host", "key", F.explode("hashes").alias("hash"))
+        found.select("host", "key", F.explode("trees.hash").alias("hash"))
         .join(recurring, ["host", "hash"], "left_semi")
         .groupBy("key")
         .agg(F.collect_set("hash").alias("cut")),
