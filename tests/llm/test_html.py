@@ -110,6 +110,14 @@ def test_copies_of_an_article_are_no_evidence(spark):
     assert all(found[30 + n] == f"{told} {n}" for n in range(8))
 
 
+def test_the_bar_does_not_grow_with_the_host(spark):
+    rows = [(n, f"http://a/{n}", page(n)) for n in range(html.ENOUGH)]
+    rows += [(1000 + n, f"http://a/x{n}", f"<p>other {n}</p>") for n in range(20 * html.ENOUGH)]
+    found = extracted(spark, rows)
+    assert all(found[n] == f"own {n}\nshared sentence" for n in range(html.ENOUGH))
+    assert extracted(spark, rows[1:])[1].startswith("Our partners")
+
+
 def test_repeated_rows_and_empty_table(spark):
     rows = [(1, "http://a/", page(1))] * 3 + [(None, None, None)]
     found = html.extract(spark.createDataFrame(rows, SCHEMA)).collect()

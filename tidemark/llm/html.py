@@ -3,7 +3,7 @@
 Each page is parsed once for its main text's blocks and the subtrees of its container elements (tag, class and
 everything inside, hashed). Spark counts per host on how many distinct pages each subtree occurs. A subtree is
 template, and deleted, if it recurs beside at least ``MIN_PAGES`` different main texts and on ``MIN_SHARE``
-of the distinct pages of its host. Copies and near copies of an article are no evidence: a
+of the distinct pages of its host, or beside ``ENOUGH`` different main texts on a host of any size. Copies and near copies of an article are no evidence: a
 main text is told by what is beside the subtree and all subtrees that recur as often, by its longest blocks that make
 up ``MOSTLY`` of it, and a page counts only where that is ``MIN_BESIDE`` of its text. Plain text
 blocks (paragraphs, headings, list items, cells) are never template by themselves, so an article may
@@ -39,6 +39,7 @@ from tidemark.llm.spark import bound_batches, stored
 
 MIN_PAGES = 5
 MIN_SHARE = 0.1
+ENOUGH = 50
 MOSTLY = 0.8
 MIN_BESIDE = 0.2
 
@@ -347,7 +348,8 @@ def templates(found: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     often = stored(counted.where(F.col("pages") >= min_pages).join(totals, "host"), "often")
     texts = evidence(found, often).groupBy("host", "hash").agg(F.count("*").alias("texts"))
     recurring = often.join(texts.where(F.col("texts") >= min_pages), ["host", "hash"])
-    return recurring.where(F.col("pages") >= min_share * F.col("total")).select("host", "hash")
+    share = F.col("pages") >= min_share * F.col("total")
+    return recurring.where(share | (F.col("texts") >= ENOUGH)).select("host", "hash")
 
 
 def extract(
