@@ -57,6 +57,26 @@ def test_pages(source, expected):
     assert text(source) == expected
 
 
+@pytest.mark.parametrize(
+    "source, expected",
+    [
+        ("<div class='layout has-sidebar'><article><p>x</article><div class=sidebar>s</div></div>", "x"),
+        ("<div class='content no-comments'><p>x</div><div class='comments'><p>long comment</div>", "x"),
+        ("<div class='post social'><article>x</article></div>", "x"),
+        ("<div class='post social'><main><p>x</main></div>", "x"),
+        ("<div class='post social'><p>the long text</div><div class=ad><p>buy</div>", "the long text"),
+        ("<article><div class='share'><p>the long text</div><div class=related><p>t</div></article>", "the long text"),
+        ("<div id=sidebar-layout><article>x</article><div class=sidebar><article>teaser</article></div></div>", "x"),
+        ("<article><p>x</p></article><div class=comments><article class=comment><p>long one</article></div>", "x"),
+        ("<main><p>the text</p><div class=related><article>t</article></div></main>", "the text"),
+        ("<main><div class='post social'><article><p>x</article></div></main>", "x"),
+        ("<div class=withAds><p>x</div><nav><p>much longer menu</nav><p class=ad>much longer advert", "x"),
+    ],
+)
+def test_wrappers_with_listed_words(source, expected):
+    assert text(source) == expected
+
+
 def test_long_pages_are_read_whole():
     body = "".join(f"<p>block {i} &amp; more</p>" for i in range(20_000))
     assert text(body).count("\n") == 19_999

@@ -9,7 +9,8 @@ up ``MOSTLY`` of it, and a page counts only where that is ``MIN_BESIDE`` of its
 blocks (paragraphs, headings, list items, cells) are never template by themselves, so an article may
 quote what another one says. A second parse leaves out template subtrees and elements whose tag, role,
 class or id says that they are no part of the article: menus, page headers and footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments.
+notices, adverts, forms, scripts, styles and reader comments. A class or id never drops an element around
+the article, the main element or most of the text in paragraphs (but for comments).
 
 The text is that of the page's articles, or of ``main`` or the body where there are none. Character
 references are decoded, white space inside a block becomes one blank, blocks are trimmed and joined by
@@ -28,7 +29,7 @@ import html as references
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, takewhile
 
 import pyarrow as pa
 import xxhash
@@ -65,6 +66,10 @@ DROPPED_WORDS = _words(
     " recommended breadcrumb breadcrumbs pagination pager popup modal overlay toolbar widget login paywall"
     " commentlist commentform topbar sidenav adslot adsense copyright popover alert alerts announcement disclaimer"
 )
+#: Of these, words of reader comments, which may be longer than the article.
+COMMENT_WORDS = _words("comment comments disqus respond reply replies discussion commentlist commentform")
+#: Words in a class or id after which its other words say what an element goes with, or is without.
+BESIDE_WORDS = _words("has with no")
 ARTICLE_WORDS = _words("article post entry story content")
 #: Elements that a start tag of another kind ends, up to the nearest of the given bounds.
 ENDS = {
@@ -79,6 +84,8 @@ ENDS = {
 PARAGRAPH_BOUNDS = _words("table td th button object caption html")
 ENDS_PARAGRAPH = BLOCKS - _words("td th tr thead tbody tfoot caption legend option optgroup html head body")
 KEPT_ROOTS = _words("html body main article")
+#: Why an element is dropped: for its tag, role or style, for a word of its class or id, for one of comments.
+KEPT, GONE, NAMED, COMMENTS = range(4)
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*)(?:>|\Z)""")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)")
@@ -96,11 +103,15 @@ class Page:
         self.dropped: list[tuple[int, int]] = []
         self.subtrees: list[tuple[int, int, int]] = []
         self.roots: dict[str, list[tuple[int, int]]] = {"article": [], "main": []}
-        # open elements: tag, class, first piece, dropped, digest parts, inside an article or main
-        self._open: list[tuple[str, str, int, bool, list[str], bool]] = []
+        self._named: list[tuple[int, int, int]] = []
+        self._paragraphs: list[tuple[int, int]] = []
+        # open elements: tag, class, first piece, why dropped, digest parts, inside an article or main
+        self._open: list[tuple[str, str, int, int, list[str], bool]] = []
         self._parse(source)
         while self._open:
             self._end()
+        if self._named:
+            self._spare()
 
     def _parse(self, source: str) -> None:
         at, size = 0, len(source)
@@ -150,31 +161,73 @@ class Page:
         if tag in VOID:
             return
         inside = bool(self._open) and (self._open[-1][5] or self._open[-1][0] in ("article", "main"))
-        named, drop = "", tag in DROPPED_TAGS or (tag == "header" and not inside)
+        named, drop = "", GONE if tag in DROPPED_TAGS or (tag == "header" and not inside) else KEPT
         if attributes and not drop:
             named, drop = self._told(tag, attributes, inside)
         self._open.append((tag, named, len(self.pieces), drop, [], inside))
 
     @staticmethod
-    def _told(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
-        named, drop = "", False
+    def _told(tag: str, attributes: str, inside: bool) -> tuple[str, int]:
+        named, drop = "", KEPT
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
             if key in ("class", "id"):
                 named += f" {value}" if key == "class" else ""
-                words = {w.lower() for w in _NAME_WORD.findall(value)}
-                drop |= not DROPPED_WORDS.isdisjoint(words)
-                drop |= "header" in words and not inside and words.isdisjoint(ARTICLE_WORDS)
-            elif key == "role":
-                drop |= value.lower() in DROPPED_ROLES
-            elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-                drop = True
-            elif key == "style":
-                drop |= re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
+                words = set()
+                for name in value.split():
+                    parts = [w.lower() for w in _NAME_WORD.findall(name)]
+                    words.update(takewhile(lambda w: w not in BESIDE_WORDS, parts))
+                header = "header" in words and not inside and words.isdisjoint(ARTICLE_WORDS)
+                if drop != GONE and not COMMENT_WORDS.isdisjoint(words):
+                    drop = COMMENTS
+                elif not drop and (header or not DROPPED_WORDS.isdisjoint(words)):
+                    drop = NAMED
+            elif (
+                (key == "role" and value.lower() in DROPPED_ROLES)
+                or key == "hidden"
+                or (key == "aria-hidden" and value.lower() == "true")
+                or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
+            ):
+                drop = GONE
         if tag in KEPT_ROOTS and not (tag == "article" and inside):
-            drop = False
+            drop = KEPT
         return named, drop
 
+    def _spare(self) -> None:
+        """Drop what a class or id marks, unless it holds the article, the main element or most of the paragraphs.
+
+        Of several articles those in the fewest marked elements count, and beside a main element that is in
+        none only those in marked elements that hold half of the paragraphs. Comments count as marked
+        however long they are.
+        """
+        gone, sizes = self._gone(self.dropped), [0] * len(self.pieces)
+        for first, last in self._paragraphs:
+            for n in range(first, last):
+                sizes[n] = 0 if gone[n] else len((self.pieces[n] or "").strip())
+        upto = [0, *accumulate(sizes)]
+        depths = [0] * (len(self.pieces) + 1)
+        for first, last, _ in self._named:
+            depths[first] += 1
+            depths[last] -= 1
+        depths = list(accumulate(depths))
+        articles, mains = (
+            [first for first, _ in found if not any(gone[first : first + 1])] for found in self.roots.values()
+        )
+        least = {tag: min((depths[n] for n in found), default=0) for tag, found in (("a", articles), ("m", mains))}
+        whole = bool(mains) and not least["m"]
+        articles = sorted(n for n in articles if depths[n] == least["a"])
+        mains = sorted(n for n in mains if depths[n] == least["m"])
+        for first, last, why in self._named:
+            inner = upto[last] - upto[first]
+            holds = lambda found: bisect_left(found, first) < bisect_left(found, last)  # noqa: B023, E731
+            spared = holds(mains) or (holds(articles) and (not whole or 2 * inner >= upto[-1]))
+            if not spared and not (why == NAMED and 2 * inner > upto[-1]):
+                self.dropped.append((first, last))
+        # an article or main that is gone is no root
+        gone = self._gone(self.dropped)
+        for tag, found in self.roots.items():
+            self.roots[tag] = [r for r in found if r[0] == r[1] or not all(gone[r[0] : r[1]])]
+
     def _close(self, tag: str) -> None:
         for n in range(len(self._open) - 1, -1, -1):
             if self._open[n][0] == tag:
@@ -196,13 +249,17 @@ class Page:
     def _end(self) -> None:
         tag, named, first, drop, parts, inside = self._open.pop()
         last = len(self.pieces)
-        if drop:
+        if drop == GONE:
             self.dropped.append((first, last))
+        elif drop:
+            self._named.append((first, last, drop))
+        elif tag == "p":
+            self._paragraphs.append((first, last))
         elif tag in self.roots:
             if not inside or not self.roots[tag]:
                 self.roots[tag].append((first, last))
         digest = xxhash.xxh64_intdigest("\x1f".join((tag, named, *parts)))
-        if tag in CONTAINERS and not drop:
+        if tag in CONTAINERS and drop != GONE:
             self.subtrees.append((digest - (1 << 63), first, last))
         if self._open:
             self._open[-1][4].append(f"\x1e{digest}")
