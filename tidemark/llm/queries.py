@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, fingerprints, html, linechunks, neardup, packing, topk, toxicity, warc
+from tidemark.llm import bpe, chat, fingerprints, html, linechunks, neardup, packing, periodic, topk, toxicity, warc
 from tidemark.llm.spark import table
 
 
@@ -141,6 +141,34 @@ FROM shown GROUP BY conv_id
 """
 
 
+def periodic_rows(docs: DataFrame) -> DataFrame:
+    """The longest run and digests of runs and collapsed texts, of rows with periodic tails."""
+    told = F.transform(
+        "runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"].cast("string"), F.lit("\n")))
+    )
+    longest = F.array_min(
+        F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"], r["period"]))
+    )
+    return (
+        periodic.find_runs(periodic.repeat_tails(docs))
+        .withColumn("longest", longest)
+        .select(
+            "doc_id",
+            F.size("runs").cast("long").alias("n_runs"),
+            F.col("longest.start").alias("start"),
+            (-F.col("longest.less")).alias("length"),
+            F.col("longest.period").alias("period"),
+            F.expr("-1000 * longest.less DIV longest.period").alias("exponent_milli"),
+            F.sha2(F.array_join(told, ""), 256).alias("runs_sha256"),
+            F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        )
+    )
+
+
+def periodic_query(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_rows(table(spark, folder, "documents", "doc_id", "text"))
+
+
 def named_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc_reassembly": warc_query,
@@ -153,6 +181,7 @@ def named_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sorted_list_topk": topk_query,
         "op9_bpe_automaton": bpe_query,
         "op10_chat_formatting": chat_query,
+        "op12_diagonal_runs": periodic_query,
     }
 
 
