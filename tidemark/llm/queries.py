@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, fingerprints, html, linechunks, neardup, packing, periodic, topk, toxicity, warc
+from tidemark.llm import bpe, centroids, chat, fingerprints, html, linechunks, neardup, packing, periodic, topk, toxicity, warc
 from tidemark.llm.spark import table
 
 
@@ -169,6 +169,48 @@ def periodic_query(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_rows(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def centroid_query(spark: SparkSession, folder: str) -> DataFrame:
+    found, centres = centroids.cluster(table(spark, folder, "embeddings", "vec_id", "embedding"))
+    return centroids.told(found, centres)
+
+
+def centroid_sql(rounds: int = centroids.ROUNDS) -> str:
+    """The rounds written out, each an assignment and its means."""
+    parts = [
+        """sound AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, vec_id, v) - 1 AS c, v AS w
+  FROM sound QUALIFY c < 8
+)"""
+    ]
+    for n in range(rounds + 1):
+        parts.append(f"""a{n} AS MATERIALIZED (
+  SELECT id, any_value(vec_id) AS vec_id, any_value(v) AS v, min((d, c)) AS best
+  FROM (SELECT id, vec_id, v, c, list_sum(list_transform(list_zip(v, w), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+        FROM sound JOIN c{n} ON true) GROUP BY id
+)""")
+        if n < rounds:
+            parts.append(f"""m{n} AS (
+  SELECT c, place, SUM(x) AS total, COUNT(*) AS members
+  FROM (SELECT best[2] AS c, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM a{n}) GROUP BY c, place
+), c{n + 1} AS MATERIALIZED (
+  SELECT c{n}.c, COALESCE(means.w, c{n}.w) AS w
+  FROM c{n} LEFT JOIN (
+    SELECT c, list(CAST((total - ((total % members) + members) % members) // members AS BIGINT) ORDER BY place) AS w
+    FROM m{n} GROUP BY c) means USING (c)
+)""")
+    return "WITH " + ", ".join(parts) + f"""
+SELECT vec_id, CAST(best[2] AS INT) AS cluster, CAST(best[1] AS BIGINT) AS distance,
+  CAST(SUM(best[1]) OVER (PARTITION BY best[2]) AS BIGINT) AS cluster_inertia,
+  CAST(SUM(best[1]) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c{rounds}.c = best[2]
+"""
+
+
 def named_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc_reassembly": warc_query,
@@ -182,8 +224,14 @@ def named_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_bpe_automaton": bpe_query,
         "op10_chat_formatting": chat_query,
         "op12_diagonal_runs": periodic_query,
+        "op13_pivot_clusters": centroid_query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_reassembly": WARC_SQL, "op8_sorted_list_topk": TOPK_SQL, "op10_chat_formatting": CHAT_SQL}
+    return {
+        "op1_warc_reassembly": WARC_SQL,
+        "op8_sorted_list_topk": TOPK_SQL,
+        "op10_chat_formatting": CHAT_SQL,
+        "op13_pivot_clusters": centroid_sql(),
+    }
