@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, centroids, chat, fingerprints, html, linechunks, neardup, packing, periodic, topk, toxicity, warc
+from tidemark.llm import bpe, centroids, chat, fingerprints, html, linechunks, neardup, packing, periodic, secretscan, topk, toxicity, warc
 from tidemark.llm.spark import table
 
 
@@ -141,6 +141,25 @@ FROM shown GROUP BY conv_id
 """
 
 
+def secret_rows(docs: DataFrame) -> DataFrame:
+    """Counts and digests of base findings, and all findings."""
+    base = F.filter("findings", lambda f: f["kind"] != secretscan.KINDS[secretscan.NET])
+    many = lambda kind: F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long")
+    told = lambda found: F.array_join(
+        F.transform(found, lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"])), ","
+    )
+    return secretscan.find_secrets(docs).select(
+        "doc_id",
+        *(many(kind).alias(f"n_{kind}") for kind in secretscan.KINDS[: secretscan.NET]),
+        F.sha2(told(base), 256).alias("base_sha256"),
+        told(F.col("findings")).alias("spans"),
+    )
+
+
+def secret_query(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_rows(table(spark, folder, "documents", "doc_id", "text"))
+
+
 def periodic_rows(docs: DataFrame) -> DataFrame:
     """The longest run and digests of runs and collapsed texts, of rows with periodic tails."""
     told = F.transform(
@@ -223,6 +242,7 @@ def named_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sorted_list_topk": topk_query,
         "op9_bpe_automaton": bpe_query,
         "op10_chat_formatting": chat_query,
+        "op11_character_network": secret_query,
         "op12_diagonal_runs": periodic_query,
         "op13_pivot_clusters": centroid_query,
     }
