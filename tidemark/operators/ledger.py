@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.skew import first_per_key, mark_first, ranked
 from tidemark.schemas import MAX_BALANCE_MINOR, MAX_OPENING_MINOR, MAX_TRANSFER_MINOR
-from tidemark.session import run_dir
+from tidemark.session import stored
 
 # Fixed values of the request rules.
 KEY_PATTERN = r"\A[A-Za-z0-9._:-]+\z"
@@ -235,6 +235,18 @@ def classified_requests(requests: DataFrame, committed: DataFrame) -> DataFrame:
     )
 
 
+def checked_requests(requests: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Validated raw requests, with ``_live`` for those whose session was open.
+
+    The parsed requests are written once: they are read twice, and a filter on their columns would be
+    pushed below the parsing and repeat it.
+    """
+    parsed = stored(validated_transfers(requests).drop("body"), "parsed")
+    ends = sessions.select("session_id", F.col("expires_at").alias("_ends"))
+    live = F.coalesce(F.col("ts") < F.col("_ends"), F.lit(False))
+    return parsed.join(ends, "session_id", "left").withColumn("_live", live).drop("_ends")
+
+
 def outcomes(
     requests: DataFrame,
     sessions: DataFrame,
@@ -249,15 +261,10 @@ def outcomes(
     running-balance audit. Only the first ``limit`` bookings of a session stand, and the quota never
     frees again, so every later request that is no replay or conflict is a 429.
 
-    The parsed requests are written once: they are read twice, and a filter on their columns would be
-    pushed below the parsing and repeat it.
+    ``settlement`` decides those refusals too.
     """
-    spark = requests.sparkSession
-    path = run_dir(spark, "parsed")
-    validated_transfers(requests).drop("body").write.parquet(path)
-    ends = sessions.select("session_id", F.col("expires_at").alias("_ends"))
-    checked = spark.read.parquet(path).join(ends, "session_id", "left")
-    live = F.coalesce(F.col("ts") < F.col("_ends"), F.lit(False))
+    checked = checked_requests(requests, sessions)
+    live = F.col("_live")
     order = ["created_at", "request_id"]
     first = journal(checked.where(live & F.col("reason").isNull()), accounts)
     at = F.struct(F.col("ts").alias("created_at"), "request_id")

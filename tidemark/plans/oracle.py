@@ -1201,6 +1201,66 @@ LEDGER_QUERIES["ledger_outcomes"] = f"""
                        AND b.idempotency_key = r.idempotency_key
     LEFT JOIN commits f ON f.c = 20 AND f.session_id = r.session_id) k"""
 
+# One request of every session at a time, with the balances of its fifty users and its booked keys.
+LEDGER_QUERIES["ledger_settlement"] = f"""
+  SELECT k.request_id, k.session_id, CAST(status AS INTEGER) AS status_code,
+         CASE status WHEN 401 THEN 'session_expired' WHEN 422 THEN reason WHEN 429 THEN 'transfer_limit'
+              WHEN 404 THEN 'account_not_found' WHEN 409 THEN verdict END AS code
+  FROM (
+    WITH RECURSIVE checked AS MATERIALIZED ({LEDGER_QUERIES["ledger_validate"]}),
+    groups AS (
+      SELECT CAST(user_id // 50 AS VARCHAR) AS session_id,
+             MIN(created_at) + INTERVAL 20 DAYS AS expires_at
+      FROM users WHERE user_id // 50 % 7 <> 3 GROUP BY 1),
+    tries AS MATERIALIZED (
+      SELECT v.*, row_number() OVER (PARTITION BY v.session_id ORDER BY ts, request_id) AS n,
+             CAST(right(v.source_account_id, 12) AS INT) % 50 AS payer,
+             CAST(right(v.destination_account_id, 12) AS INT) % 50 AS payee,
+             CAST(string_split(v.idempotency_key, ':')[2] AS INT) AS k
+      FROM checked v JOIN groups g USING (session_id)
+      JOIN ledger_accounts s ON s.account_id = source_account_id AND s.session_id = v.session_id
+      JOIN ledger_accounts d ON d.account_id = destination_account_id
+                            AND d.session_id = v.session_id
+      WHERE v.ts < g.expires_at AND reason IS NULL),
+    walk(session_id, n, balances, keys, used, request_id, verdict) AS (
+      SELECT session_id, CAST(0 AS BIGINT), list_transform(range(50), lambda x: CAST(30000 AS BIGINT)),
+             bitstring('0', 5000), 0, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR) FROM groups
+      UNION ALL
+      SELECT session_id, n,
+             CASE verdict WHEN 'booked' THEN list_transform(balances, lambda b, i:
+               b + CASE i WHEN payee + 1 THEN amount_minor WHEN payer + 1 THEN -amount_minor ELSE 0 END)
+               ELSE balances END,
+             CASE verdict WHEN 'booked' THEN set_bit(keys, payer * 100 + k, 1) ELSE keys END,
+             used + CAST(verdict = 'booked' AS INT), request_id, verdict
+      FROM (
+        SELECT w.session_id, t.n, balances, keys, used, payer, payee, k, amount_minor, t.request_id,
+               CASE WHEN get_bit(keys, payer * 100 + k) = 1 THEN 'key'
+                    WHEN used >= 600 THEN 'quota'
+                    WHEN balances[payer + 1] < amount_minor THEN 'insufficient_funds'
+                    WHEN balances[payee + 1] + amount_minor > 60000 THEN 'balance_limit'
+                    ELSE 'booked' END AS verdict
+        FROM walk w JOIN tries t ON t.session_id = w.session_id AND t.n = w.n + 1)),
+    booked AS (
+      SELECT t.*, row_number() OVER (PARTITION BY t.session_id ORDER BY t.n) AS c
+      FROM walk w JOIN tries t USING (request_id) WHERE verdict = 'booked')
+    SELECT r.request_id, r.session_id, r.reason, CASE
+      WHEN g.session_id IS NULL OR r.ts >= g.expires_at THEN 401
+      WHEN r.reason IS NOT NULL THEN 422
+      WHEN b.request_id = r.request_id THEN 201
+      WHEN (r.ts, r.request_id) > (b.ts, b.request_id)
+        THEN CASE WHEN b.source_account_id = r.source_account_id
+                   AND b.destination_account_id = r.destination_account_id
+                   AND b.amount_minor = r.amount_minor THEN 200 ELSE 409 END
+      WHEN (r.ts, r.request_id) > (f.ts, f.request_id) THEN 429
+      WHEN w.request_id IS NULL THEN 404
+      ELSE 409 END AS status,
+      CASE WHEN (r.ts, r.request_id) > (b.ts, b.request_id) THEN 'idempotency_conflict'
+           ELSE w.verdict END AS verdict
+    FROM checked r LEFT JOIN groups g USING (session_id)
+    LEFT JOIN walk w ON w.request_id = r.request_id
+    LEFT JOIN booked b ON b.session_id = r.session_id AND b.idempotency_key = r.idempotency_key
+    LEFT JOIN booked f ON f.c = 600 AND f.session_id = r.session_id) k"""
+
 # Extra tables only some ledger queries need; the chain of window starts is recursive.
 _EXTRA = {
     "ledger_rate_limit": """,

@@ -23,6 +23,7 @@ from tidemark.operators import (
     retention,
     running,
     segments,
+    settlement,
 )
 from tidemark.plans.binding import Bank, Ledger
 from tidemark.schemas import TABLES
@@ -35,6 +36,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SWEEP_AT = datetime(2024, 1, 1, 7, 0, 0)
 DAY_SECONDS = 86_400
 QUOTA = 20
+SETTLED_QUOTA, SETTLED_BALANCE = 600, 60_000
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -325,6 +327,9 @@ def _ledger_queries() -> dict[str, Callable[[Ledger], DataFrame]]:
         "ledger_outcomes": lambda g: ledger.outcomes(
             g.raw_requests, g.group_sessions, g.accounts, QUOTA
         ),
+        "ledger_settlement": lambda g: settlement.settlement(
+            g.raw_requests, g.group_sessions, g.accounts, SETTLED_QUOTA, SETTLED_BALANCE
+        ),
         "ledger_journal": lambda g: g.journal,
         "ledger_postings": lambda g: g.postings,
         "ledger_balances": lambda g: ledger.balances(g.accounts, g.postings),

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 _ROOTS: set[str] = set()
@@ -61,3 +61,10 @@ def run_dir(spark: SparkSession, purpose: str) -> str:
         files.deleteOnExit(path)
         _ROOTS.add(root)
     return f"{root}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage and survives lost executors."""
+    path = run_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
