@@ -74,7 +74,7 @@ def test_activity_windows_are_half_open(spark, tmp_path, tx):
         (2, "2026-02-04", "card_payment", "completed", 1),
     )
     sides = [moves(spark, str(tmp_path / n), df) for n, df in (("fundings", fundings), ("spent", spent))]
-    assert rows(jobs.activity_after_funding(*sides, 30, 60)) == [(1, 2), (2, 1)]
+    assert rows(jobs.activity_after_funding(*sides, 30, 60, "300 days")) == [(1, 2), (2, 1)]
 
 
 def test_only_closed_days_are_reported(spark, tmp_path, tx):
@@ -90,3 +90,78 @@ def test_a_stream_without_files_is_empty(spark, tmp_path, tx):
     path = str(tmp_path / "none")
     tx().write.parquet(path)
     assert rows(jobs.first_fundings(jobs.file_stream(spark, path))) == []
+
+
+# ---- keyed state --------------------------------------------------------------------------------
+
+REQUESTS = "request_id long, session_id string, idempotency_key string, ts timestamp_ntz"
+SESSIONS = "session_id string, created_at timestamp_ntz, expires_at timestamp_ntz"
+
+
+def sent(spark, *rows_):
+    return spark.createDataFrame([(i, s, "k", at(f"2026-03-01 {t}")) for i, s, t in rows_], REQUESTS)
+
+
+def born(spark, *rows_):
+    return spark.createDataFrame([(s, at(f"2026-03-01 {a}"), at(f"2026-03-01 {b}")) for s, a, b in rows_], SESSIONS)
+
+
+def test_a_key_returns_after_its_window(spark, tmp_path):
+    parts = [sent(spark, (i, "s", t)) for i, t in enumerate(["10:00:59", "10:00:00", "10:01:00", "10:01:30", "10:02:00"])]
+    found = jobs.unique_requests(moves(spark, str(tmp_path / "sent"), *parts), 60, "1 hour")
+    assert sorted(r.request_id for r in found.collect()) == [1, 2, 4]
+
+
+def test_late_rows_are_set_aside(spark, tmp_path):
+    parts = [sent(spark, (i, "s", t)) for i, t in enumerate(["10:00:00", "12:00:00", "10:00:30", "12:00:01"])]
+    found = jobs.unique_requests(moves(spark, str(tmp_path / "sent"), *parts), 60, "10 minutes")
+    assert rows(found, "request_id", "late") == [(0, False), (1, False), (2, True)]
+
+
+def test_requests_meet_their_sessions(spark, tmp_path):
+    sessions = moves(spark, str(tmp_path / "sessions"), born(spark, ("a", "10:00:00", "10:30:00")))
+    first = sent(spark, (1, "a", "09:59:59"), (2, "a", "10:00:00"), (3, "a", "10:00:10"), (4, "a", "10:00:20"))
+    later = sent(spark, (5, "a", "10:01:00"), (6, "a", "10:29:59"), (7, "a", "10:30:00"), (8, "b", "10:00:00"))
+    requests = moves(spark, str(tmp_path / "sent"), later, first)
+    found = jobs.rate_limited(requests, sessions, 2, 60, "1 hour")
+    passed = {r.request_id: r.passed for r in found.collect()}
+    assert passed == {1: None, 2: True, 3: True, 4: False, 5: True, 6: True, 7: None, 8: None}
+    ended = jobs.expired_sessions(requests, sessions, "1 hour")
+    assert rows(ended, "session_id", "outcome", "request_id") == [
+        ("a", "expired", None), ("a", "refused", 1), ("a", "refused", 7), ("b", "refused", 8),
+    ]
+
+
+def test_state_ends_with_its_sessions(spark, tmp_path):
+    """Files in order and a short delay: state holds the sessions alive, not all that ever were."""
+    hours = range(12)
+    sessions = [born(spark, *[(f"s{h}-{n}", f"{h:02}:00:00", f"{h:02}:20:00") for n in range(5)]) for h in hours]
+    requests = [
+        sent(spark, *[(100 * h + 10 * n + m, f"s{h}-{n}", f"{h:02}:0{m}:00") for n in range(5) for m in range(3)])
+        for h in hours
+    ]
+    reports = []
+    ended = jobs.expired_sessions(
+        moves(spark, str(tmp_path / "sent"), *requests),
+        moves(spark, str(tmp_path / "sessions"), *sessions),
+        "10 minutes",
+        reports.append,
+    )
+    assert ended.where("outcome = 'expired'").count() == 60
+    held = [s["numRowsTotal"] for r in reports for s in r["stateOperators"]]
+    assert max(held) < 120 and held[-1] == 0
+
+
+def test_interval_join_forgets_what_has_passed(spark, tmp_path, tx):
+    months = [f"2025-{m:02}" for m in range(1, 13)]
+    fundings = [tx((n, f"{m}-01", "cash_in", "completed", 5)) for n, m in enumerate(months)]
+    spent = [
+        tx(*[(n - back, f"{m}-03", "card_payment", "completed", 1) for back in (0, 1, 2, 3) if n >= back])
+        for n, m in enumerate(months)
+    ]
+    reports = []
+    sides = [moves(spark, str(tmp_path / k), *df) for k, df in (("fundings", fundings), ("spent", spent))]
+    found = jobs.activity_after_funding(*sides, 30, 60, "1 day", reports.append)
+    whole = jobs.activity_after_funding(*sides, 30, 60, "2000 days")
+    assert rows(found) == rows(whole) and found.count() == 10
+    assert max(s["numRowsTotal"] for r in reports for s in r["stateOperators"]) < 25

@@ -10,3 +10,7 @@ EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 def plain_micros(column: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, {EPOCH}, {column})")
+
+
+def from_micros(column: str) -> Column:
+    return F.expr(f"timestampadd(MICROSECOND, {column}, {EPOCH})")

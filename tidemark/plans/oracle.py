@@ -1137,11 +1137,18 @@ LEDGER_QUERIES = {
 # Streams publish a window or session once the watermark (30 minutes behind the latest event) is
 # past it; what is still open then is not part of their output.
 LEDGER_QUERIES |= {
-    "stream_unique_requests": "SELECT DISTINCT sha256(session_id || ':' || idempotency_key) "
-    "AS scoped_key FROM valid",
+    "stream_unique_requests": """
+      SELECT sha256(key) AS scoped_key, arg_min(request_id, request_id) AS request_id
+      FROM chain JOIN (SELECT session_id || ':' || idempotency_key AS key, ts, request_id FROM valid)
+        USING (key)
+      WHERE ts = opened GROUP BY key, opened""",
     "stream_rate_limit": LEDGER_QUERIES["ledger_rate_limit"],
-    "stream_session_expiry": "SELECT session_id, expires_at AS expired_at FROM user_sessions "
-    "WHERE expires_at <= (SELECT MAX(ts) - INTERVAL 30 MINUTES FROM evt)",
+    "stream_session_expiry": """
+      SELECT session_id, CAST(NULL AS BIGINT) AS request_id, expires_at AS at, 'expired' AS outcome
+      FROM user_sessions
+      UNION ALL
+      SELECT session_id, event_id, ts, 'refused'
+      FROM evt JOIN user_sessions ON session_id = CAST(user_id AS VARCHAR) WHERE ts >= expires_at""",
     "stream_request_counts": "SELECT date_trunc('minute', ts) AS window_start, "
     "COUNT(*) AS requests, COUNT(*) FILTER (event_type = 'signup') AS new_sessions FROM evt "
     "GROUP BY 1 HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE "
@@ -1280,6 +1287,15 @@ owned AS (
 
 
 _EXTRA["stream_rate_limit"] = _EXTRA["ledger_rate_limit"]
+# A key's retry windows: each opens with the first request two days or more after the last one opened.
+_EXTRA["stream_unique_requests"] = """,
+chain(key, opened) AS (
+  SELECT session_id || ':' || idempotency_key, MIN(ts) FROM valid GROUP BY 1
+  UNION ALL
+  SELECT c.key, MIN(v.ts) FROM chain c
+  JOIN valid v ON v.session_id || ':' || v.idempotency_key = c.key AND v.ts >= c.opened + INTERVAL 2 DAYS
+  GROUP BY c.key, c.opened)
+"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -36,6 +36,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 SWEEP_AT = datetime(2024, 1, 1, 7, 0, 0)
 DAY_SECONDS = 86_400
 QUOTA = 20
+RETRY_SECONDS = 2 * DAY_SECONDS
+# How far the rows of the source files may be out of order: their whole span.
+EVENT_DISORDER, ORDER_DISORDER = "40 days", "3000 days"
 SETTLED_QUOTA, SETTLED_BALANCE = 600, 60_000
 
 
@@ -379,15 +382,24 @@ def _stream_queries() -> dict[str, Query]:
         bank.bought = spark.read.parquet(staged)
         return bank
 
+    def staged(sessions: DataFrame) -> DataFrame:
+        """Sessions written once and streamed as they were created."""
+        path = run_dir(sessions.sparkSession, "sessions")
+        sessions.select("session_id", "created_at", "expires_at").write.parquet(path)
+        return jobs.file_stream(sessions.sparkSession, path)
+
     def unique(spark: SparkSession, folder: str) -> DataFrame:
-        return jobs.unique_requests(requests(spark, folder).valid_requests).select("scoped_key")
+        valid = requests(spark, folder).valid_requests
+        return jobs.unique_requests(valid, RETRY_SECONDS, EVENT_DISORDER).drop("late")
 
     def limited(spark: SparkSession, folder: str) -> DataFrame:
-        sessions = Ledger(spark, folder).long_sessions
-        return jobs.rate_limited(requests(spark, folder).user_requests, sessions, 3, DAY_SECONDS)
+        sessions = staged(Ledger(spark, folder).long_sessions)
+        found = requests(spark, folder).user_requests
+        return jobs.rate_limited(found, sessions, 3, DAY_SECONDS, EVENT_DISORDER).drop("late")
 
     def expired(spark: SparkSession, folder: str) -> DataFrame:
-        return jobs.expired_sessions(requests(spark, folder).user_requests)
+        sessions = staged(Ledger(spark, folder).user_sessions)
+        return jobs.expired_sessions(requests(spark, folder).user_requests, sessions, EVENT_DISORDER)
 
     def counts(spark: SparkSession, folder: str) -> DataFrame:
         return jobs.request_counts(requests(spark, folder).user_requests)
@@ -408,6 +420,7 @@ def _stream_queries() -> dict[str, Query]:
             lines(spark, folder).transactions,
             window.first,
             window.end,
+            ORDER_DISORDER,
         )
 
     return {

@@ -1,11 +1,13 @@
-"""Streaming queries as mergeable partial results; each has a batch twin among the operators.
+"""Streaming queries; each has a batch twin among the operators.
 
-A query takes new files in any number and order. Every micro-batch is reduced to a partial result (a
+Rules over single sessions and keys run on keyed state (``stateful``), the activity after a funding is an
+interval join of two streams; both take files in any order that their ``delay`` covers. The other
+queries are mergeable partial results and take new files in any number and order: every micro-batch is reduced to a partial result (a
 minimum, a count, the rows a rule needs) and written under its batch number, so a repeated batch
 replaces itself. Partials of one key merge the same way in any order, which happens on reading. No
 row is ever late: ``delay`` only says how far event time must have passed a window or a session for
-it to be closed in the result. Nothing is kept in state stores, so state cannot outgrow memory; old
-partials can be merged and rewritten at any time, because merging merged partials is the same merge.
+it to be closed in the result. Nothing of them is kept in state stores; old partials can be merged
+and rewritten at any time, because merging merged partials is the same merge.
 """
 
 from __future__ import annotations
@@ -15,16 +17,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.clock import from_micros
 from tidemark.functions.money import completed, is_activity, margin, mean_of, revenue
-from tidemark.operators import ratelimit
 from tidemark.operators.economics import first_fundings as earliest_fundings
 from tidemark.operators.ledger import scoped_key
 from tidemark.operators.skew import first_per_key
 from tidemark.session import run_dir
+from tidemark.streaming import stateful
 
 DELAY = "30 minutes"
 
 
+def _ignored(progress: dict) -> None:
+    """Nobody watches the progress reports."""
+
+
 def file_stream(spark: SparkSession, path: str, max_files: int = 64) -> DataFrame:
     """New parquet files under a path as a stream, a number per micro-batch that steers only speed.
 
@@ -40,7 +47,10 @@ def file_stream(spark: SparkSession, path: str, max_files: int = 64) -> DataFram
 
 
 def collected(
-    stream: DataFrame, purpose: str, partial: Callable[[DataFrame], DataFrame] = lambda rows: rows
+    stream: DataFrame,
+    purpose: str,
+    partial: Callable[[DataFrame], DataFrame],
+    watch: Callable[[dict], None] = _ignored,
 ) -> DataFrame:
     """Process everything available and return the partial results of all micro-batches."""
     spark = stream.sparkSession
@@ -52,13 +62,16 @@ def collected(
     # a first part without rows, so that a stream without files has a result too
     empty = spark.createDataFrame([], stream.schema)
     put(empty, -1)
-    query = (
-        stream.writeStream.foreachBatch(put)
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with stateful.state_on_disk(spark):
+        query = (
+            stream.writeStream.foreachBatch(put)
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    for progress in query.recentProgress:
+        watch(progress)
     return spark.read.schema(partial(empty).schema).parquet(f"{folder}/out").drop("batch")
 
 
@@ -71,39 +84,59 @@ def _closed(partials: DataFrame, delay: str):
 # ---- rules over requests -----------------------------------------------------------------------
 
 
-def unique_requests(requests: DataFrame) -> DataFrame:
-    """The earliest request of every scoped key."""
+def unique_requests(
+    requests: DataFrame, window_seconds: int, delay: str, watch: Callable[[dict], None] = _ignored
+) -> DataFrame:
+    """The first request of every scoped key in its retry window; once it has passed, the key is free again."""
+    rows = stateful.timed(requests.withColumn("scoped_key", scoped_key()), "scoped_key", "ts", "request_id")
+    decided = stateful.gated(rows, 1, window_seconds, delay, sessions=False, watch=watch)
+    return decided.where("outcome IN ('passed', 'late')").select(
+        F.col("key").alias("scoped_key"), F.col("id").alias("request_id"), (F.col("outcome") == "late").alias("late")
+    )
 
-    def earliest(rows: DataFrame) -> DataFrame:
-        return first_per_key(
-            rows.select("scoped_key", "ts", "request_id"), ["scoped_key"], ["ts", "request_id"], "request_id"
-        )
 
-    return earliest(collected(requests.withColumn("scoped_key", scoped_key()), "unique", earliest))
+def _session_rows(requests: DataFrame, sessions: DataFrame) -> DataFrame:
+    opened = stateful.timed(sessions, "session_id", "created_at", None, "expires_at")
+    return opened.unionByName(stateful.timed(requests, "session_id", "ts", "request_id"))
 
 
 def rate_limited(
-    requests: DataFrame, sessions: DataFrame, limit: int, window_seconds: int
+    requests: DataFrame,
+    sessions: DataFrame,
+    limit: int,
+    window_seconds: int,
+    delay: str,
+    watch: Callable[[dict], None] = _ignored,
 ) -> DataFrame:
-    """Pass or reject each request; ``sessions`` is a table of when each session began and ends.
+    """Pass or reject each request; ``passed`` is NULL outside of its session, ``late`` marks the undecided.
 
-    A window's start depends on every earlier request of its session, so the partial result is the
-    requests themselves, reduced to the columns of the rule.
+    Both sides are streams: sessions as they are created, and requests.
     """
-    kept = collected(requests.select("session_id", "request_id", "ts"), "limited")
-    return ratelimit.rate_limited(kept, sessions, limit, window_seconds)
-
+    decided = stateful.gated(_session_rows(requests, sessions), limit, window_seconds, delay, True, watch)
+    outcome = F.col("outcome")
+    return decided.where(outcome != "expired").select(
+        F.col("key").alias("session_id"),
+        F.col("id").alias("request_id"),
+        F.when(outcome.isin("passed", "limited"), outcome == "passed").alias("passed"),
+        (outcome == "late").alias("late"),
+    )
 
-def expired_sessions(requests: DataFrame, minutes: int = 30, delay: str = DELAY) -> DataFrame:
-    """Sessions (opened by their first request) whose lifetime event time has passed."""
 
-    def opened(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("session_id").agg(F.min("ts").alias("first"), F.max("ts").alias("latest"))
+def expired_sessions(
+    requests: DataFrame, sessions: DataFrame, delay: str, watch: Callable[[dict], None] = _ignored
+) -> DataFrame:
+    """Sessions at the moment their lifetime has passed, and the requests turned away outside of one or late.
 
-    found = collected(requests.select("session_id", "ts"), "expired", opened)
-    ends = F.min("first") + F.expr(f"INTERVAL {minutes} MINUTES")
-    ended = found.groupBy("session_id").agg(ends.alias("expired_at"))
-    return ended.where(F.col("expired_at") <= _closed(found, delay))
+    A session leaves the state when its timer fires.
+    """
+    limit = stateful.END  # requests inside a session are not limited here
+    decided = stateful.gated(_session_rows(requests, sessions), limit, 60, delay, True, watch)
+    return decided.where("outcome IN ('expired', 'refused', 'late')").select(
+        F.col("key").alias("session_id"),
+        F.col("id").alias("request_id"),
+        from_micros("at").alias("at"),
+        "outcome",
+    )
 
 
 def request_counts(requests: DataFrame, width: str = "1 minute", delay: str = DELAY) -> DataFrame:
@@ -169,25 +202,35 @@ def first_fundings(transactions: DataFrame) -> DataFrame:
 
 
 def activity_after_funding(
-    fundings: DataFrame, transactions: DataFrame, first_day: int, end_day: int
+    fundings: DataFrame,
+    transactions: DataFrame,
+    first_day: int,
+    end_day: int,
+    delay: str,
+    watch: Callable[[dict], None] = _ignored,
 ) -> DataFrame:
     """Events per account in [first_day, end_day) after its funding, both sides as streams.
 
-    Activity is counted per account and instant before it meets the funding, so a busy account
-    shrinks to its distinct instants.
+    An interval join: a funding stays in state until the watermark has passed its last day, an event until no
+    funding it could follow can still come. Pairs are counted per micro-batch as they are found.
     """
+    funded = fundings.select(
+        F.col("account_id").alias("_account"), F.col("transaction_ts").cast("timestamp").alias("funded_ts")
+    ).withWatermark("funded_ts", delay)
+    active = (
+        transactions.where(is_activity())
+        .select("account_id", F.col("transaction_ts").cast("timestamp").alias("at"))
+        .withWatermark("at", delay)
+    )
+    inside = (
+        (F.col("account_id") == F.col("_account"))
+        & (F.col("at") >= F.col("funded_ts") + F.expr(f"INTERVAL {first_day} DAYS"))
+        & (F.col("at") < F.col("funded_ts") + F.expr(f"INTERVAL {end_day} DAYS"))
+    )
 
-    def active(rows: DataFrame) -> DataFrame:
-        return rows.where(is_activity()).groupBy("account_id", "transaction_ts").agg(
-            F.count("*").alias("events")
-        )
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("account_id").agg(F.count("*").alias("events"))
 
-    left = collected(fundings.select("account_id", "transaction_ts"), "funded")
-    right = collected(transactions, "activity", active)
-    since = left.groupBy("account_id").agg(F.min("transaction_ts").alias("funded_ts"))
-    at = F.col("transaction_ts")
-    inside = (at >= F.col("funded_ts") + F.expr(f"INTERVAL {first_day} DAYS")) & (
-        at < F.col("funded_ts") + F.expr(f"INTERVAL {end_day} DAYS")
-    )
-    met = right.join(since, "account_id").where(inside)
-    return met.groupBy("account_id").agg(F.sum("events").alias("events"))
+    met = active.join(funded, inside).select("account_id")
+    found = collected(met, "activity", counted, watch)
+    return found.groupBy("account_id").agg(F.sum("events").alias("events"))
