@@ -12,22 +12,39 @@ def line(rng, words):
     return " ".join(f"w{rng.randint(0, 9999)}" for _ in range(words))
 
 
-def test_bounds_cover_every_line():
+def test_every_run_that_counts_holds_a_boundary():
     rng = random.Random(3)
     for _ in range(200):
-        lines = [line(rng, rng.choice([0, 1, 8, 60])) for _ in range(rng.randint(0, 30))]
-        bounds = lc.chunk_bounds(lines)
-        assert [n for a, b, _ in bounds for n in range(a, b)] == list(range(len(lines)))
-        assert all(words == sum(len(x.split()) for x in lines[a:b]) for a, b, words in bounds)
+        lines = lc.Lines("\n".join(line(rng, rng.choice([0, 1, 4, 8, 25, 60])) for _ in range(rng.randint(0, 40))))
+        found = lines.boundaries()
+        for first in range(len(lines.words)):
+            for count in range(1, len(lines.words) - first + 1):
+                if lc.counts(count, sum(lines.words[first : first + count])):
+                    assert any(first <= f and f + c <= first + count for f, c in found)
 
 
-def test_boundaries_resist_shifts():
+def test_boundaries_depend_on_near_lines_only():
     rng = random.Random(1)
-    lines = [line(rng, 10) for _ in range(400)]
-    plain = {tuple(lines[a:b]) for a, b, _ in lc.chunk_bounds(lines)}
-    moved = lines[:100] + ["inserted line"] + lines[100:]
-    again = {tuple(moved[a:b]) for a, b, _ in lc.chunk_bounds(moved)}
-    assert len(plain - again) <= 6
+    passage = [line(rng, 6) for _ in range(40)]
+
+    def inside(before, after):
+        at = len(before)
+        found = lc.Lines("\n".join(before + passage + after)).boundaries()
+        # those that a least run within the passage chose
+        return {(f - at, c) for f, c in found if at <= f and f + c <= at + len(passage)}
+
+    plain = inside([], [])
+    for _ in range(20):
+        moved = inside([line(rng, 5) for _ in range(rng.randint(1, 9))], [line(rng, 7) for _ in range(3)])
+        assert plain <= moved and len(moved - plain) <= 4
+
+
+def test_chunks_are_no_longer_than_their_texts():
+    rng = random.Random(2)
+    for words, share in ((3, 1.4), (5, 1.1), (9, 0.6), (30, 0.3)):
+        text = "\n".join(line(rng, words) for _ in range(2000))
+        held = sum(len(left) + len(right) for *_, left, right in lc.chunks(text))
+        assert held < share * len(text)
 
 
 def corpus():
@@ -64,22 +81,19 @@ def test_equal_hashes_are_compared_byte_by_byte(spark, monkeypatch):
     import tidemark.llm.linechunks as module
 
     texts, _ = corpus()
-    constant = b"\0" * 16
-    monkeypatch.setattr(module, "digest", lambda chunk: constant)
+    constant = lambda size: (lambda *_: b"\0" * size)
+    monkeypatch.setattr(module, "digest", constant(16))
+    monkeypatch.setattr(module.Lines, "_record", constant(module.RECORD))
     cloudpickle.register_pickle_by_value(module)
     try:
         rows = lc.dedup(documents(spark, texts)).collect()
     finally:
         cloudpickle.unregister_pickle_by_value(module)
-    first = next(c for t in texts for _, _, c in lc.chunks(t or ""))
+    # with all hashes equal everything is matched with the first chunk, and only what is equal goes
+    expected = brute.without_repeats([(i, t or "") for i, t in enumerate(texts, 1)])
     for r in rows:
-        text = texts[r.doc_id - 1] or ""
-        equal = sum(n for _, n, c in lc.chunks(text) if c == first)
-        keeper = r.doc_id == 1 + next(i for i, t in enumerate(texts) if first in (t or ""))
-        if r.removed_lines:
-            assert 0 < r.removed_lines <= equal
-        elif not keeper:
-            assert not equal
+        text = (texts[r.doc_id - 1] or "").split("\n")
+        assert len(text) >= len(r.text.split("\n")) >= len(expected[r.doc_id].split("\n"))
 
 
 def test_repeated_rows_null_ids_and_empty_tables(spark):
@@ -100,25 +114,6 @@ def test_query(spark):
     assert found == brute.without_repeats([tuple(d) for d in docs])
 
 
-def word_runs(rows, least=20):
-    """Lines (doc_id, number) of repeated runs of whole lines, by growing every pair of equal lines."""
-    places, lines = {}, {i: t.split("\n") for i, t in rows}
-    for i, own in lines.items():
-        for n, one in enumerate(own):
-            places.setdefault(one, []).append((i, n))
-    gone = set()
-    for held in places.values():
-        for a, (i, n) in enumerate(held):
-            for j, m in held[a + 1 :]:
-                size = 0
-                while n + size < len(lines[i]) and lines[i][n + size : n + size + 1] == lines[j][m + size : m + size + 1]:
-                    size += 1
-                words = sum(len(x.split()) for x in lines[i][n : n + size])
-                if words > lc.LONG_LINE or (size >= lc.MIN_LINES and words >= least):
-                    gone |= {(j, m + k) for k in range(size)}
-    return gone
-
-
 def test_planted_passages_go_whole(spark):
     """Short passages of several lines, each among other lines every time: all lines of later copies go."""
     rng = random.Random(11)
@@ -131,13 +126,13 @@ def test_planted_passages_go_whole(spark):
             at = rng.randint(0, len(own))
             texts.append("\n".join(own[:at] + passage + own[at:]))
     rows = list(enumerate(texts, 1))
-    gone = word_runs(rows)
-    assert len(gone) == 3 * sum(map(len, passages))
+    gone = brute.repeated_lines(rows)
+    assert sum(map(len, gone.values())) == 3 * sum(map(len, passages))
     found = {r.doc_id: r for r in lc.dedup(documents(spark, texts)).collect()}
     for i, text in rows:
-        kept = [x for n, x in enumerate(text.split("\n")) if (i, n) not in gone]
+        kept = [x for n, x in enumerate(text.split("\n")) if n not in gone[i]]
         assert found[i].text == "\n".join(kept)
-        assert found[i].removed_lines == sum(j == i for j, _ in gone)
+        assert found[i].removed_lines == len(gone[i])
 
 
 def test_chunks_stay_few_among_empty_lines():
