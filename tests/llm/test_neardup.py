@@ -53,11 +53,11 @@ def corpus(seed):
     return texts
 
 
-@pytest.mark.parametrize("nodes, size", [(1, 10**6), (4, 10**6), (1024, 5_000), (1024, 10**7)])
-def test_classes_equal_all_pairs(spark, nodes, size):
+@pytest.mark.parametrize("nodes, size, bucket", [(1, 10**6, 2), (4, 10**6, 4096), (1024, 5_000, 5), (1024, 10**7, 4096)])
+def test_classes_equal_all_pairs(spark, nodes, size, bucket):
     texts = corpus(nodes)
     docs = clashing(documents(spark, texts))
-    found = neardup.classes(docs, block_nodes=nodes, block_bytes=size).collect()
+    found = neardup.classes(docs, bucket_nodes=bucket, block_nodes=nodes, block_bytes=size).collect()
     assert {r.doc_id: r.class_id for r in found} == {
         i + 1: c + 1 for i, c in enumerate(brute.classes(texts))
     }
@@ -82,6 +82,37 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     assert neardup.classes(docs.limit(0)).count() == neardup.keep_one(docs.limit(0)).count() == 0
 
 
+def test_shared_boilerplate_makes_no_families(spark):
+    """Pages with 130 of 330 words in common are far from near copies and are hardly ever compared."""
+    rng = random.Random(8)
+    shared = [f"menu{i}" for i in range(130)]
+    texts = [" ".join(shared + [f"w{rng.randint(0, 10**6)}" for _ in range(200)]) for _ in range(800)]
+    docs = neardup.with_node(documents(spark, texts + texts[:1]))
+    signed = neardup.signatures(docs)
+    rows = neardup.buckets(signed)
+    assert rows.select("node").distinct().count() > 400
+    links = neardup.bucket_links(rows, signed)
+    nodes = links.selectExpr("explode(array(a, b)) node").distinct()
+    sizes = [r["count"] for r in components.components(nodes, links).groupBy("comp").count().collect()]
+    assert sum(n * (n - 1) // 2 for n in sizes) < 0.01 * 800 * 799 / 2
+
+
+def test_similar_nodes_are_linked_and_others_apart():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 256, (5, 128))
+    marks = np.concatenate([np.where(rng.random((40, 128)) < 0.2, rng.integers(0, 256, (40, 128)), b) for b in base])
+    nodes = [bytes([n]) for n in range(len(marks))]
+    joined = {n: {n} for n in nodes}
+    for a, b in neardup.similar(nodes, marks.astype(np.uint8)):
+        both = joined[a] | joined[b]
+        for n in both:
+            joined[n] = both
+    agree = (marks[:, None] == marks[None]).mean(axis=2)
+    for i, j in zip(*np.nonzero(agree >= neardup.AGREEMENT), strict=True):
+        assert nodes[j] in joined[nodes[i]]
+    assert sorted(len(s) for s in {frozenset(s) for s in joined.values()}) == [40] * 5
+
+
 def test_components(spark):
     rng = random.Random(2)
     names = [rng.randbytes(16) for _ in range(300)]

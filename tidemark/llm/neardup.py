@@ -12,12 +12,14 @@ similarity. Points are made up to the time by which every register is expected t
 it only if one is not; most terms of a long text have none, so cost per term is about one hash.
 
 Candidates: signatures are cut into 32 bands of four registers; a pair at 0.8 meets in a band except with
-probability 5e-8. Nodes that share a bucket, directly or through others, form a family, found from one
-edge per node and bucket. A family is dealt into blocks of bounded size, and each pair of blocks is one
-group of a task: an index over one block's terms gives the exact overlap with each text of the other in
-one pass, and only the links that join parts of the group are put out. So every pair of a family is
-compared on whole texts, no pair is a row, and a family of any size is spread over many groups; its cost
-grows with the square of its size, as exact comparison of texts near the bar must.
+probability 5e-8. Inside a bucket, nodes are linked whose 128 registers agree in ``AGREEMENT`` or more, seven
+standard deviations under 0.8, so texts that share boilerplate and a band by chance stay apart. Such links,
+directly or through others, form a family. A family is dealt into blocks of bounded size, and each pair of
+blocks is one group of a task: an index over one block's terms gives the exact overlap with each text of the
+other in one pass, and only the links that join parts of the group are put out. So every pair of a family
+is compared on whole texts, no pair is a row, and a family of any size is spread over many groups; its
+cost grows with the square of its size, as exact comparison of texts near the bar must. Buckets are dealt into
+blocks in the same way, with a byte for each register in place of the text.
 
 Equal texts are one node throughout. Texts without words are one class. NULL texts are empty. The class
 id is the least doc_id of the class (NULL only if all are); repeated rows stay, each with its class;
@@ -40,6 +42,10 @@ from tidemark.llm.text import bag, mix, shingles, word_blocks
 REGISTERS = 128
 BAND = 4
 SIMILARITY = 0.8
+#: Share of equal registers from which nodes of a bucket are surely linked; nodes within ``RADIUS`` of one that
+#: was compared with all are not compared again: what is near them was linked to it at ``AGREEMENT - RADIUS``.
+AGREEMENT, RADIUS = 0.55, 0.1
+BUCKET_NODES = 4096
 #: Nodes and bytes of text that one block of a family holds.
 BLOCK_NODES = 1024
 BLOCK_BYTES = 4 << 20
@@ -129,22 +135,86 @@ def with_node(docs: DataFrame) -> DataFrame:
     return docs.select(doc_id, whole("text").alias("text"), with_node_column().alias("node"))
 
 
-def buckets(docs: DataFrame) -> DataFrame:
-    """(key, node) of the nodes that share a band with another node."""
+def signatures(docs: DataFrame) -> DataFrame:
+    """node, keys (one per band) and marks (a byte per register) of every row with words, written once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = []
+            keys, marks = [], []
             for terms, counts in bags(batch.column("text")):
-                keys.append(bands(sketch(terms, counts)).view(np.int64) if len(terms) else [])
+                made = sketch(terms, counts) if len(terms) else np.empty(0, np.uint64)
+                keys.append(bands(made).view(np.int64) if len(terms) else [])
+                marks.append((made >> _U(56)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(keys, pa.list_(pa.int64()))], names=["node", "keys"]
+                [batch.column("node"), pa.array(keys, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
+                names=["node", "keys", "marks"],
             )
 
-    made = docs.select("node", "text").mapInArrow(run, "node binary, keys array<long>")
-    rows = stored(made.select(F.explode("keys").alias("key"), "node").distinct(), "bands")
+    made = docs.select("node", "text").mapInArrow(run, "node binary, keys array<long>, marks binary")
+    return stored(made, "signatures")
+
+
+def buckets(signed: DataFrame) -> DataFrame:
+    """(key, node, nodes) of the nodes that share a band with another node, and how many share it."""
+    rows = stored(signed.select(F.explode("keys").alias("key"), "node").distinct(), "bands")
     shared = rows.groupBy("key").agg(F.count("*").alias("nodes")).where("nodes > 1")
-    return rows.join(shared.select("key"), "key")
+    return rows.join(shared, "key")
+
+
+def similar(nodes: list[bytes], marks: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+    """Links that join what all links of ``AGREEMENT`` join, and none under ``AGREEMENT - RADIUS``."""
+    open_ = np.ones(len(nodes), bool)
+    joined = np.arange(len(nodes))
+    for n in range(len(nodes)):
+        if not open_[n]:
+            continue
+        agree = (marks == marks[n]).mean(axis=1)
+        open_[agree >= 1 - RADIUS] = False
+        hits = np.flatnonzero(agree >= AGREEMENT - RADIUS)
+        names, first = np.unique(joined[hits], return_index=True)
+        for name, hit in zip(names, hits[first], strict=True):
+            if name != joined[n]:
+                yield nodes[n], nodes[hit]
+                joined[joined == name] = joined[n]
+
+
+def bucket_links(rows: DataFrame, signed: DataFrame, bucket_nodes: int = BUCKET_NODES) -> DataFrame:
+    """(a, b): links of similar nodes inside each bucket; ``rows`` is a result of ``buckets``."""
+    marks = signed.select("node", "marks").dropDuplicates(["node"])
+    blocks = F.ceil(F.col("nodes") / bucket_nodes)
+    dealt = (
+        rows.withColumn("blocks", blocks)
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        .join(marks, "node")
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", "marks")
+    )
+    group = ["key", "low", "high"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: tuple | None = None
+        nodes: list[bytes] = []
+        held: list[bytes] = []
+
+        def links() -> list[tuple[bytes, bytes]]:
+            marks = np.frombuffer(b"".join(held), np.uint8).reshape(-1, REGISTERS)
+            return list(similar(nodes, marks))
+
+        for batch in batches:
+            found: list[tuple[bytes, bytes]] = []
+            keys = zip(*(batch.column(c).to_pylist() for c in group), strict=True)
+            for key, node, mark in zip(keys, batch.column("node").to_pylist(), batch.column("marks").to_pylist(), strict=True):
+                if key != now:
+                    found += links()
+                    now, nodes, held = key, [], []
+                nodes.append(node)
+                held.append(mark)
+            yield _edges(found)
+        if nodes:
+            yield _edges(links())
+
+    ordered = dealt.repartition(*group).sortWithinPartitions(*group, "node")
+    return ordered.mapInArrow(run, "a binary, b binary")
 
 
 class Blocks:
@@ -250,15 +320,17 @@ def _edges(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(sides, names=["a", "b"])
 
 
-def grouped(docs: DataFrame, similarity: float = SIMILARITY, **blocks: int) -> DataFrame:
+def grouped(
+    docs: DataFrame, similarity: float = SIMILARITY, bucket_nodes: int = BUCKET_NODES, **blocks: int
+) -> DataFrame:
     """doc_id, node and comp of every row: rows of one class share comp."""
     bound_batches(docs.sparkSession)
     docs = with_node(docs)
     members = stored(docs.select("doc_id", "node"), "members")
-    rows = stored(buckets(docs), "buckets")
-    nodes = stored(rows.select("node").distinct(), "nodes")
-    least = rows.groupBy("key").agg(F.min("node").alias("a"))
-    families = components(nodes, rows.join(least, "key").select("a", F.col("node").alias("b")))
+    signed = signatures(docs)
+    near = stored(bucket_links(buckets(signed), signed, bucket_nodes).distinct(), "near")
+    nodes = stored(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+    families = components(nodes, near)
     # one row per node: that of its least id
     first = members.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("first"))
     texts = stored(
