@@ -2,15 +2,17 @@
 
 Each page is parsed once for its main text's blocks and the subtrees of its container elements (tag, class and
 everything inside, hashed). Spark counts per host on how many distinct pages each subtree occurs. A subtree is
-template, and deleted, if it recurs beside at least ``MIN_PAGES`` different main texts and on ``MIN_SHARE``
-of the distinct pages of its host, or beside ``ENOUGH`` different main texts on a host of any size. Copies and near copies of an article are no evidence: a
-main text is told by what is beside the subtree and all subtrees that recur as often, by its longest blocks that make
+template, and deleted, if it recurs beside at least ``MIN_PAGES`` different main texts, on a host of any size.
+Copies and near copies of an article are no evidence: a main text is told by what is beside the subtree and all subtrees that recur as often, by its longest blocks that make
 up ``MOSTLY`` of it, and a page counts only where that is ``MIN_BESIDE`` of its text. Plain text
 blocks (paragraphs, headings, list items, cells) are never template by themselves, so an article may
 quote what another one says. A second parse leaves out template subtrees and elements whose tag, role,
 class or id says that they are no part of the article: menus, page headers and footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments. A class or id never drops an element around
-the article, the main element or most of the text in paragraphs (but for comments).
+notices, adverts, forms, scripts, styles and reader comments. No class, id, form or hiding style drops an
+element around the article or the main element, and no class, id or form one around most of the text in paragraphs
+(but for comments). A word that also names what an article is made of (``WEAK_WORDS``), and inside an article
+any listed word beside words that say something else, is no proof: such an element goes only if it is a template, or
+if half of its text is links or form fields.
 
 The text is that of the page's articles, or of ``main`` or the body where there are none. Character
 references are decoded, white space inside a block becomes one blank, blocks are trimmed and joined by
@@ -39,8 +41,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.spark import bound_batches, stored
 
 MIN_PAGES = 5
-MIN_SHARE = 0.1
-ENOUGH = 50
 MOSTLY = 0.8
 MIN_BESIDE = 0.2
 
@@ -53,10 +53,10 @@ BLOCKS = CONTAINERS | _words(
     " blockquote pre figcaption hr address summary form menu dialog legend option optgroup hgroup"
 )
 DROPPED_TAGS = RAW | _words(
-    "head nav footer aside form menu dialog button select datalist template svg canvas object audio video map"
+    "head nav footer aside menu dialog button select datalist template svg canvas object audio video map"
 )
 DROPPED_ROLES = _words(
-    "navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar"
+    "navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar"
 )
 #: Words in a class or id that mark an element as no part of the article.
 DROPPED_WORDS = _words(
@@ -68,6 +68,14 @@ DROPPED_WORDS = _words(
 )
 #: Of these, words of reader comments, which may be longer than the article.
 COMMENT_WORDS = _words("comment comments disqus respond reply replies discussion commentlist commentform")
+#: Listed words that name parts of articles as well: they drop only what is mostly links or fields.
+WEAK_WORDS = _words("widget discussion")
+#: Words that say nothing about what an element holds.
+NEUTRAL_WORDS = _words(
+    "box wrapper wrap container slot unit block inline inner outer top bottom left right site page post posts article"
+    " articles story stories list form section area bar link links button buttons icon icons text label title item"
+    " items wide small large mobile desktop in the content row col holder panel group"
+)
 #: Words in a class or id after which its other words say what an element goes with, or is without.
 BESIDE_WORDS = _words("has with no")
 ARTICLE_WORDS = _words("article post entry story content")
@@ -84,13 +92,18 @@ ENDS = {
 PARAGRAPH_BOUNDS = _words("table td th button object caption html")
 ENDS_PARAGRAPH = BLOCKS - _words("td th tr thead tbody tfoot caption legend option optgroup html head body")
 KEPT_ROOTS = _words("html body main article")
-#: Why an element is dropped: for its tag, role or style, for a word of its class or id, for one of comments.
-KEPT, GONE, NAMED, COMMENTS = range(4)
-
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*)(?:>|\Z)""")
+#: Elements that hold form fields or links.
+FIELDS = _words("a label option legend")
+#: Why an element is dropped: for its tag or role, for a word of its class or id, for one of comments, for a word
+#: that is no proof, as a form, for being hidden.
+KEPT, GONE, NAMED, COMMENTS, WEAK, FORM, HIDDEN = range(7)
+
+# a quote opens a value only after an equals sign
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:=\s*"[^"]*"|=\s*'[^']*'|=(?!\s*["'])|[^>=])*)(?:>|\Z)""")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)")
 _OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"""(?:^|[\s"'])(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'][^\s=/]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s]+))?|["']""")
+_TOLD = _words("class id role hidden aria-hidden style")
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _CLOSE = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for tag in RAW}
 
@@ -105,6 +118,7 @@ class Page:
         self.roots: dict[str, list[tuple[int, int]]] = {"article": [], "main": []}
         self._named: list[tuple[int, int, int]] = []
         self._paragraphs: list[tuple[int, int]] = []
+        self._fields: list[tuple[int, int]] = []
         # open elements: tag, class, first piece, why dropped, digest parts, inside an article or main
         self._open: list[tuple[str, str, int, int, list[str], bool]] = []
         self._parse(source)
@@ -162,49 +176,83 @@ class Page:
             return
         inside = bool(self._open) and (self._open[-1][5] or self._open[-1][0] in ("article", "main"))
         named, drop = "", GONE if tag in DROPPED_TAGS or (tag == "header" and not inside) else KEPT
-        if attributes and not drop:
-            named, drop = self._told(tag, attributes, inside)
+        if tag == "form":
+            drop = FORM
+        if attributes and drop in (KEPT, FORM):
+            named, why = self._told(tag, attributes, inside)
+            drop = why or drop
         self._open.append((tag, named, len(self.pieces), drop, [], inside))
 
     @staticmethod
     def _told(tag: str, attributes: str, inside: bool) -> tuple[str, int]:
         named, drop = "", KEPT
         for key, value in _ATTRIBUTE.findall(attributes):
-            key, value = key.lower(), value.strip("\"'")
+            key = key.lower()
+            if key not in _TOLD:
+                continue
+            value = value.strip("\"'")
             if key in ("class", "id"):
                 named += f" {value}" if key == "class" else ""
-                words = set()
-                for name in value.split():
-                    parts = [w.lower() for w in _NAME_WORD.findall(name)]
-                    words.update(takewhile(lambda w: w not in BESIDE_WORDS, parts))
-                header = "header" in words and not inside and words.isdisjoint(ARTICLE_WORDS)
-                if drop != GONE and not COMMENT_WORDS.isdisjoint(words):
-                    drop = COMMENTS
-                elif not drop and (header or not DROPPED_WORDS.isdisjoint(words)):
-                    drop = NAMED
+                why = Page._by_words(value, inside)
+                # a word that proves something counts before one that does not
+                if drop in (KEPT, WEAK) or (why == COMMENTS and drop == NAMED):
+                    drop = why or drop
+            elif key == "role" and value.lower() == "form":
+                drop = drop if drop in (GONE, HIDDEN) else FORM
+            elif key == "role" and value.lower() in DROPPED_ROLES:
+                drop = GONE
             elif (
-                (key == "role" and value.lower() in DROPPED_ROLES)
-                or key == "hidden"
+                key == "hidden"
                 or (key == "aria-hidden" and value.lower() == "true")
                 or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
             ):
-                drop = GONE
+                drop = drop if drop == GONE else HIDDEN
         if tag in KEPT_ROOTS and not (tag == "article" and inside):
             drop = KEPT
         return named, drop
 
+    @staticmethod
+    def _by_words(value: str, inside: bool) -> int:
+        """Why the names of a class or id drop an element."""
+        found, all_words = KEPT, set()
+        for name in value.split():
+            parts = [w.lower() for w in _NAME_WORD.findall(name)]
+            words = frozenset(takewhile(lambda w: w not in BESIDE_WORDS, parts))
+            all_words |= words
+            listed = words & DROPPED_WORDS
+            if not listed:
+                continue
+            strange = words - DROPPED_WORDS - NEUTRAL_WORDS
+            if listed <= WEAK_WORDS or (inside and strange):
+                found = found or WEAK
+            elif not COMMENT_WORDS.isdisjoint(listed - WEAK_WORDS):
+                found = COMMENTS
+            elif found != COMMENTS:
+                found = NAMED
+        header = "header" in all_words and not inside and all_words.isdisjoint(ARTICLE_WORDS)
+        return NAMED if header and found in (KEPT, WEAK) else found
+
     def _spare(self) -> None:
-        """Drop what a class or id marks, unless it holds the article, the main element or most of the paragraphs.
+        """Drop what a class, id, form or hiding style marks, unless it holds the article, the main element or most of the paragraphs.
 
         Of several articles those in the fewest marked elements count, and beside a main element that is in
         none only those in marked elements that hold half of the paragraphs. Comments count as marked
-        however long they are.
+        however long they are, and what is hidden however much of the paragraphs it holds.
         """
         gone, sizes = self._gone(self.dropped), [0] * len(self.pieces)
         for first, last in self._paragraphs:
             for n in range(first, last):
                 sizes[n] = 0 if gone[n] else len((self.pieces[n] or "").strip())
         upto = [0, *accumulate(sizes)]
+        told = [0, *accumulate(0 if gone[n] else len((p or "").strip()) for n, p in enumerate(self.pieces))]
+        fields = self._gone(self._fields)
+        linked = [0, *accumulate(told[n + 1] - told[n] if fields[n] else 0 for n in range(len(self.pieces)))]
+        weak = [
+            (first, last, why)
+            for first, last, why in self._named
+            if why == WEAK and 2 * (linked[last] - linked[first]) < told[last] - told[first]
+        ]
+        self._named = [one for one in self._named if one not in weak]
         depths = [0] * (len(self.pieces) + 1)
         for first, last, _ in self._named:
             depths[first] += 1
@@ -221,7 +269,7 @@ class Page:
             inner = upto[last] - upto[first]
             holds = lambda found: bisect_left(found, first) < bisect_left(found, last)  # noqa: B023, E731
             spared = holds(mains) or (holds(articles) and (not whole or 2 * inner >= upto[-1]))
-            if not spared and not (why == NAMED and 2 * inner > upto[-1]):
+            if not spared and not (why not in (COMMENTS, HIDDEN) and 2 * inner > upto[-1]):
                 self.dropped.append((first, last))
         # an article or main that is gone is no root
         gone = self._gone(self.dropped)
@@ -253,9 +301,11 @@ class Page:
             self.dropped.append((first, last))
         elif drop:
             self._named.append((first, last, drop))
-        elif tag == "p":
+        if tag in FIELDS:
+            self._fields.append((first, last))
+        if tag == "p" and not drop:
             self._paragraphs.append((first, last))
-        elif tag in self.roots:
+        elif tag in self.roots and not drop:
             if not inside or not self.roots[tag]:
                 self.roots[tag].append((first, last))
         digest = xxhash.xxh64_intdigest("\x1f".join((tag, named, *parts)))
@@ -397,21 +447,16 @@ def evidence(found: DataFrame, often: DataFrame) -> DataFrame:
     return chosen.mapInArrow(run, "host string, hash long, beside long").distinct()
 
 
-def templates(found: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def templates(found: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """host, hash of the subtrees that recur across the host."""
-    totals = found.groupBy("host").agg(F.count("*").alias("total"))
     each = found.select("host", F.explode(F.array_distinct("trees.hash")).alias("hash"))
     counted = each.groupBy("host", "hash").agg(F.count("*").alias("pages"))
-    often = stored(counted.where(F.col("pages") >= min_pages).join(totals, "host"), "often")
+    often = stored(counted.where(F.col("pages") >= min_pages), "often")
     texts = evidence(found, often).groupBy("host", "hash").agg(F.count("*").alias("texts"))
-    recurring = often.join(texts.where(F.col("texts") >= min_pages), ["host", "hash"])
-    share = F.col("pages") >= min_share * F.col("total")
-    return recurring.where(share | (F.col("texts") >= ENOUGH)).select("host", "hash")
+    return texts.where(F.col("texts") >= min_pages).select("host", "hash")
 
 
-def extract(
-    pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE
-) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, text: the main text of every page.
 
     What is to be deleted is written first, so the join with the pages knows its size: it is broadcast
@@ -420,7 +465,7 @@ def extract(
     bound_batches(pages.sparkSession)
     pages = with_host(pages)
     found = stored(subtrees(pages), "subtrees")
-    recurring = templates(found, min_pages, min_share)
+    recurring = templates(found, min_pages)
     cut = stored(
         found.select("host", "key", F.explode("trees.hash").alias("hash"))
         .join(recurring, ["host", "hash"], "left_semi")
