@@ -12,16 +12,20 @@ from tidemark.llm import queries, toxicity
 def test_scores_are_the_formula():
     rng = np.random.default_rng(3)
     words = [f"w{i}" for i in range(40)]
-    features = sorted({int(b) for w in words for _, _, _, bs in toxicity.buckets(pa.array([w])) for b in bs})
-    machine = toxicity.Machine(
-        np.array(features), -0.3, rng.normal(0, 1, len(features)), rng.normal(0, 1, (len(features), 4))
-    )
+    of = lambda text: {int(b) for _, _, _, bs in toxicity.buckets(pa.array([text])) for b in bs}
+    known = np.array(sorted(of(" ".join(words))))
+    inputs, weights = np.zeros(toxicity.BUCKETS), np.zeros(toxicity.BUCKETS)
+    factors = np.zeros((toxicity.BUCKETS, 4))
+    inputs[known], weights[known] = rng.random(len(known)), rng.normal(0, 1, len(known))
+    factors[known] = rng.normal(0, 1, (len(known), 4))
+    machine = toxicity.Machine(-0.3, inputs, weights, factors)
     texts = [" ".join(rng.choice(words, rng.integers(0, 15))) for _ in range(30)] + ["", "W1, w1! unknown"]
     for text, score in zip(texts, machine.scores(pa.array(texts)), strict=True):
-        own = {int(b) for _, _, _, bs in toxicity.buckets(pa.array([text])) for b in bs}
-        on = [features.index(b) for b in own if b in features]
-        total = machine.bias + sum(machine.weights[i] for i in on)
-        total += sum(machine.factors[i] @ machine.factors[j] for n, i in enumerate(on) for j in on[:n])
+        on = [b for b in of(text) if inputs[b]]
+        length = sum(inputs[b] ** 2 for b in on) ** 0.5
+        x = {b: toxicity.LENGTH * inputs[b] / length for b in on}
+        total = machine.bias + sum(weights[b] * x[b] for b in on)
+        total += sum(factors[a] @ factors[b] * x[a] * x[b] for n, a in enumerate(on) for b in on[:n])
         assert abs(score - 1 / (1 + np.exp(-total))) < 1e-9
 
 
@@ -50,6 +54,39 @@ def test_pairs_are_learnt(spark):
     assert (predicted == np.array(truth)).mean() > 0.97
 
 
+def test_words_that_tell_only_in_pairs_are_learnt_among_many(spark):
+    """Toxic where exactly one of two words is there: alone, each of them says nothing; 100,000 others are noise."""
+    rng = np.random.default_rng(5)
+
+    def made(n):
+        one, two = rng.integers(0, 2, n), rng.integers(0, 2, n)
+        texts = [
+            " ".join([*(f"n{w}" for w in rng.integers(0, 100_000, 12)), *["alpha"] * a, *["omega"] * b])
+            for a, b in zip(one, two, strict=True)
+        ]
+        return texts, (one ^ two).tolist()
+
+    texts, labels = made(6000)
+    marks = spark.createDataFrame(list(enumerate(labels, 1)), "doc_id long, toxic int")
+    machine = toxicity.train(documents(spark, texts), marks)
+    fresh, truth = made(500)
+    assert ((machine.scores(pa.array(fresh)) >= 0.5) == np.array(truth)).mean() > 0.9
+
+
+def test_repeated_rows_do_not_weigh_or_pass_the_bound(spark, monkeypatch):
+    docs = documents(spark, [f"word{i} text {i % 7}" for i in range(40)])
+    marks = spark.createDataFrame([(i, i % 2) for i in range(1, 41)], "doc_id long, toxic int")
+    many = docs.unionByName(docs.where("doc_id = 3").crossJoin(spark.range(500)).drop("id"))
+    one, other = toxicity.train(docs, marks), toxicity.train(many, marks)
+    assert one.bias == other.bias and (one.weights == other.weights).all()
+    texts = spark.range(300).selectExpr("1L doc_id", "concat('text ', id) text")
+    sizes = []
+    monkeypatch.setattr(toxicity, "MAX_ROWS", 50)
+    monkeypatch.setattr(toxicity, "fit", lambda rows, labels: sizes.append(len(rows)))
+    toxicity.train(texts, marks)
+    assert sizes == [50]
+
+
 def test_awkward_rows_and_no_labels(spark):
     docs = clashing(documents(spark, AWKWARD)).unionByName(clashing(documents(spark, AWKWARD)))
     none = spark.createDataFrame([(None, 1), (1, None), (999, 1)], "doc_id long, toxic int")

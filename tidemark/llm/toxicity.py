@@ -4,10 +4,12 @@ Terms of a text are its lower-cased words and the first 5 to 8 bytes of longer w
 ``BUCKETS``; a text has a term or not. The machine adds to the linear weights a product of factor vectors
 for each pair of terms, so an insult next to a group's name may weigh more than both alone.
 
-Training reads labelled rows only: at most ``MAX_ROWS`` of them, those with the smallest hash of doc_id.
-Spark counts each bucket's rows by label; the ``FEATURES`` buckets that tell most about the label (by
-likelihood ratio) are kept, and the rows, reduced to kept buckets, go to the driver, where the machine is
-fitted by mini-batches. Both numbers bound what the driver holds, whatever the size of the tables.
+Training reads labelled rows only: at most ``MAX_ROWS`` distinct ones (doc_id and text), those with the
+smallest hash. Reduced to their buckets they go to the driver, where the machine is fitted by mini-batches that
+touch only the buckets of their rows. Every bucket of a row counts: its input is between ``LEAST`` and one, more the
+more the fitted rows with it differ from the others in label (likelihood ratio), so a bucket that tells something
+only beside another one is still learnt from. A row's inputs have the length ``LENGTH``. Rows and buckets bound
+what the driver holds, whatever the size of the tables.
 
 A row's label is the largest of its labels; NULL labels and ids are left out. A NULL text is empty; an
 empty text gets the score of the bias alone. Without any labelled row all scores are one half. Texts are
@@ -31,13 +33,15 @@ from tidemark.llm.text import prefix_hashes, word_blocks
 BUCKETS = 1 << 20
 PREFIXES = (5, 6, 7, 8)
 MAX_ROWS = 20_000
-FEATURES = 4_096
-MIN_ROWS = 3
 FACTORS = 4
-EPOCHS = 30
+EPOCHS = 6
 BATCH = 128
-RATE = 0.05
-DECAY = 1e-4
+RATE = 0.1
+DECAY = 1e-3
+#: Least input of a bucket, the likelihood ratio of a medium one, and the length of a row's inputs.
+LEAST = 0.05
+MEDIUM = 20.0
+LENGTH = 5.0
 THRESHOLD = 0.3
 
 
@@ -62,67 +66,88 @@ def buckets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
 
 @dataclass(frozen=True)
 class Machine:
-    """A fitted machine: the bucket of each feature, bias, linear weights and factors."""
+    """A fitted machine: bias, and by bucket the input, the linear weight and the factors."""
 
-    features: np.ndarray
     bias: float
+    inputs: np.ndarray
     weights: np.ndarray
     factors: np.ndarray
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         """Probability of label 1 for each text."""
-        number = np.full(BUCKETS, -1, np.int32)
-        number[self.features] = np.arange(len(self.features))
         out = np.full(len(texts), self.bias)
-        width = max(1, len(self.features))
         for first, count, owner, bucket in buckets(texts):
-            feature = number[bucket]
-            known = feature >= 0
-            pairs = np.unique(owner[known] * width + feature[known])
-            text, feature = pairs // width, pairs % width
-            total = np.bincount(text, self.weights[feature], count).astype(np.float64)
+            known = self.inputs[bucket] > 0
+            pairs = np.unique(owner[known] * BUCKETS + bucket[known])
+            text, bucket = pairs // BUCKETS, pairs % BUCKETS
+            x = scaled(self.inputs[bucket], text, count)
+            total = np.bincount(text, self.weights[bucket] * x, count).astype(np.float64)
             for f in range(self.factors.shape[1]):
-                part = self.factors[feature, f]
+                part = self.factors[bucket, f] * x
                 total += 0.5 * np.bincount(text, part, count) ** 2
                 total -= 0.5 * np.bincount(text, part * part, count)
             out[first : first + count] += total
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
 
-def fit(rows: list[list[int]], labels: list[int], features: np.ndarray, seed: int = 3) -> Machine:
-    """Fit by mini-batches with adaptive steps (Adam) on the logistic loss.
+def scaled(inputs: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
+    """Inputs of rows brought to one length; ``owner`` is the row of each."""
+    length = np.sqrt(np.bincount(owner, inputs.astype(np.float64) ** 2, count))
+    return inputs * (LENGTH / np.maximum(length, 1e-9))[owner]
 
-    ``rows`` hold positions in ``features``.
-    """
+
+def bucket_inputs(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """The input of every bucket, from the likelihood ratio of label and bucket; 0 where no row has it."""
+    count = lambda which: np.bincount(np.concatenate(which), minlength=BUCKETS) if which else np.zeros(BUCKETS)
+    every, ones = count(rows), count([r for r, label in zip(rows, y, strict=True) if label])
+    n1, n = y.sum(), len(y)
+
+    def cell(seen: np.ndarray, want: np.ndarray) -> np.ndarray:
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(want, 1e-12)), 0.0)
+
+    share = n1 / max(n, 1)
+    ratio = cell(ones, every * share) + cell(every - ones, every * (1 - share))
+    ratio += cell(n1 - ones, (n - every) * share) + cell(n - n1 - every + ones, (n - every) * (1 - share))
+    above = np.maximum(2 * ratio - 1, 0) ** 2
+    return np.where(every > 0, LEAST + (1 - LEAST) * above / (above + MEDIUM**2), 0.0).astype(np.float32)
+
+
+def fit(rows: list[np.ndarray], labels: list[int], seed: int = 3) -> Machine:
+    """Fit by mini-batches with adaptive steps on the logistic loss; ``rows`` hold distinct buckets."""
     y = np.asarray(labels, np.float64)
     prior = (y.sum() + 1) / (len(y) + 2)
-    width, rng = len(features), np.random.default_rng(seed)
-    bias = np.array([np.log(prior / (1 - prior))])
-    weights, factors = np.zeros(width), rng.normal(0, 0.01, (width, FACTORS))
-    state = [(np.zeros_like(p), np.zeros_like(p)) for p in (bias, weights, factors)]
-    step = 0
-    for _ in range(EPOCHS if width and len(y) else 0):
-        order = rng.permutation(len(y))
-        for at in range(0, len(order), BATCH):
-            part = order[at : at + BATCH]
-            x = np.zeros((len(part), width))
-            for line, n in zip(x, part, strict=True):
-                line[rows[n]] = 1
-            inner = x @ factors
-            pairs = 0.5 * ((inner**2).sum(1) - x @ (factors**2).sum(1))
-            margin = np.clip(bias[0] + x @ weights + pairs, -30, 30)
-            error = (1 / (1 + np.exp(-margin)) - y[part]) / len(part)
-            slopes = (
-                np.array([error.sum()]),
-                x.T @ error + DECAY * weights,
-                x.T @ (error[:, None] * inner) - (x.T @ error)[:, None] * factors + DECAY * factors,
-            )
-            step += 1
-            for value, slope, (mean, square) in zip((bias, weights, factors), slopes, state, strict=True):
-                mean += 0.1 * (slope - mean)
-                square += 0.001 * (slope**2 - square)
-                value -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
-    return Machine(features, float(bias[0]), weights, factors)
+    rng = np.random.default_rng(seed)
+    bias, bias_seen = np.log(prior / (1 - prior)), 1.0
+    inputs = bucket_inputs(rows, y)
+    # per bucket the linear weight, then the factors
+    value = np.concatenate([np.zeros((BUCKETS, 1)), rng.normal(0, 0.01, (BUCKETS, FACTORS))], axis=1, dtype=np.float32)
+    seen = np.ones_like(value)
+    order, batches = rng.permutation(len(y)), []
+    for at in range(0, len(order), BATCH):
+        part = order[at : at + BATCH]
+        owner = np.repeat(np.arange(len(part), dtype=np.int32), [len(rows[n]) for n in part])
+        flat = np.concatenate([rows[n] for n in part])
+        touched, entry = np.unique(flat, return_inverse=True)
+        x = scaled(inputs[flat], owner, len(part)).astype(np.float32)
+        batches.append((y[part], owner, touched, entry.astype(np.int32), x))
+    for _ in range(EPOCHS):
+        for n in rng.permutation(len(batches)):
+            truth, owner, touched, entry, x = batches[n]
+            own = value[touched][entry] * x[:, None]
+            sums = np.stack([np.bincount(owner, own[:, f], len(truth)) for f in range(FACTORS + 1)], axis=1)
+            squares = np.bincount(owner, (own[:, 1:] ** 2).sum(axis=1), len(truth))
+            margin = bias + sums[:, 0] + 0.5 * ((sums[:, 1:] ** 2).sum(axis=1) - squares)
+            error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - truth
+            slope = sums[owner] - own
+            slope[:, 0] = 1
+            slope *= (error[owner] * x)[:, None]
+            total = np.stack([np.bincount(entry, slope[:, f], len(touched)) for f in range(FACTORS + 1)], axis=1)
+            total += DECAY * value[touched]
+            seen[touched] += total**2
+            value[touched] -= RATE * total / np.sqrt(seen[touched])
+            bias_seen += error.sum() ** 2
+            bias -= RATE * error.sum() / bias_seen**0.5
+    return Machine(float(bias), inputs, value[:, 0].copy(), value[:, 1:].copy())
 
 
 def train(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Machine:
@@ -144,37 +169,19 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Machine:
                 cuts = np.searchsorted(pairs, np.arange(1, count) * BUCKETS)
                 made += [(p % BUCKETS).astype(np.int32) for p in np.split(pairs, cuts)]
             terms = pa.array(made, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("label"), terms], names=["label", "terms"])
-
-    # one row for each distinct document text of a label; at most MAX_ROWS ids are broadcast
-    labelled = docs.select("doc_id", whole("text").alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = stored(labelled.select("label", "text").mapInArrow(run, "label int, terms array<int>"), "terms")
-    totals = dict(rows.groupBy("label").count().collect())
-    n0, n1 = totals.get(0, 0), totals.get(1, 0)
-    counted = (
-        rows.select("label", F.explode("terms").alias("term"))
-        .groupBy("term")
-        .agg(F.sum("label").alias("ones"), F.count("*").alias("all"))
-        .where(F.col("all") >= MIN_ROWS)
-    )
-    cell = lambda seen, want: F.when(seen > 0, seen * F.log(seen / want)).otherwise(0.0)
-    share = lambda total: F.col("all") * total / (n0 + n1)
-    rest = F.lit(n0 + n1) - F.col("all")
-    ratio = (
-        cell(F.col("ones"), share(n1))
-        + cell(F.col("all") - F.col("ones"), share(n0))
-        + cell(n1 - F.col("ones"), rest * n1 / (n0 + n1))
-        + cell(n0 - F.col("all") + F.col("ones"), rest * n0 / (n0 + n1))
-    )
-    features = np.array([], np.int64)
-    if n0 and n1:
-        best = counted.orderBy(F.desc(ratio), "term").limit(FEATURES).select("term").collect()
-        features = np.array(sorted(r["term"] for r in best), np.int64)
-    kept = F.array(*map(F.lit, features.tolist())) if len(features) else F.array().cast("array<int>")
-    held = rows.select("label", F.array_sort(F.array_intersect("terms", kept)).alias("terms"))
-    found = sorted((r["label"], list(r["terms"])) for r in held.collect())
-    position = {term: n for n, term in enumerate(features.tolist())}
-    return fit([[position[t] for t in terms] for _, terms in found], [y for y, _ in found], features)
+            columns = [batch.column("name"), batch.column("label"), terms]
+            yield pa.RecordBatch.from_arrays(columns, names=["name", "label", "terms"])
+
+    # an id may have several texts and rows, so the rows are bounded again
+    named = docs.select("doc_id", whole("text").alias("text")).join(F.broadcast(chosen), "doc_id")
+    named = named.select(F.xxhash64("doc_id", "text").alias("name"), "label", "text")
+    made = named.mapInArrow(run, "name long, label int, terms array<int>").dropDuplicates(["name"])
+    rows = stored(made, "terms").orderBy("name").limit(MAX_ROWS).select("label", "terms").toArrow()
+    terms = rows.column("terms").combine_chunks()
+    if not len(rows):
+        return fit([], [])
+    flat, cuts = terms.flatten().to_numpy(), np.diff(terms.offsets.to_numpy()).cumsum()[:-1]
+    return fit(np.split(flat, cuts), rows.column("label").to_pylist())
 
 
 def score(docs: DataFrame, machine: Machine, column: str = "text") -> DataFrame:
