@@ -94,6 +94,22 @@ def test_read_back_is_exact(spark):
         assert r.formatted.count("<|im_start|>") == r.formatted.count("<|im_end|>") == len(messages)
 
 
+def test_logs_hold_drafts_that_do_not_last(spark):
+    rows = [(c, t, "assistant" if t % 2 else "user", f"text {c} {t}") for c in range(3) for t in range(8)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    events = chat.log_of(df).collect()
+    kinds = [e.kind for e in events]
+    assert kinds.count("edit") == 12 and kinds.count("regenerate") == 6 and kinds.count("open") == 30
+    # the fold event by event agrees, and so does Spark's
+    for conv in range(3):
+        own = [tuple(e) for e in events if e.conv_id == conv]
+        own = [(conv, seq, turn, kind, role, text) for conv, seq, turn, kind, role, text in own]
+        assert fold(own) == [(role, text) for c, _, role, text in rows if c == conv]
+    assert logged(spark, [tuple(e) for e in events]) == {
+        conv: [(role, text) for c, _, role, text in rows if c == conv] for conv in range(3)
+    }
+
+
 def test_empty_table(spark):
     rows = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.render(chat.fold(chat.log_of(rows)))).count() == 0

@@ -144,28 +144,39 @@ def read_back(rendered: DataFrame) -> DataFrame:
     )
 
 
+#: After the events of all turns of a conversation.
+LATE = 1 << 40
+
+
 def log_of(rows: DataFrame) -> DataFrame:
-    """A table of messages as a log: each is opened and streamed in two deltas.
+    """A table of messages as the log of a conversation that came to them by drafts, edits and regenerations.
 
-    Rows of one turn number are messages of their own, in order of role and text. NULL turns come
-    first.
+    By turn number, a message is streamed in two deltas; or a draft is edited to its first half and goes on; or
+    a draft and what followed it are discarded by a regeneration; or a draft stands until an edit after
+    all turns. Rows of one turn number are messages of their own, in order of role and text. NULL turns
+    come first.
     """
     text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
     own = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), role, text)
     half = F.floor(F.char_length("text") / 2).cast("int")
-
-    def event(step: int, kind: str, role: Column, text: Column) -> Column:
-        fields = {"step": F.lit(step), "kind": F.lit(kind), "role": role, "text": text}
+    empty, whole = F.lit(""), F.col("text")
+    head, tail = whole.substr(F.lit(1), half), whole.substr(half + 1, F.char_length("text"))
+    draft = F.concat(F.reverse("text"), F.lit(" draft"))
+    turn = F.col("turn")
+
+    def event(step: int, kind: str, text: Column, role: Column = empty, ahead: int = 0) -> Column:
+        seq = turn * 10 + step if step < LATE else turn + step
+        fields = {"seq": seq, "turn": turn + ahead, "kind": F.lit(kind), "role": role, "text": text}
         return F.struct(*(value.alias(name) for name, value in fields.items()))
 
-    empty = F.lit("")
-    events = F.array(
-        event(0, "open", F.col("role"), empty),
-        event(1, "delta", empty, F.col("text").substr(F.lit(1), half)),
-        event(2, "delta", empty, F.col("text").substr(half + 1, F.char_length("text"))),
-    )
-    return (
-        rows.select("conv_id", F.row_number().over(own).alias("turn"), role.alias("role"), text.alias("text"))
-        .select("conv_id", "turn", F.inline(events))
-        .select("conv_id", (F.col("turn") * 3 + F.col("step")).alias("seq"), "turn", "kind", "role", "text")
-    )
+    opened = event(0, "open", empty, F.col("role"))
+    streamed = [event(7, "delta", head), event(8, "delta", tail)]
+    edited = [event(1, "delta", draft), event(2, "edit", head), event(3, "delta", tail)]
+    followed = [event(2, "open", empty, F.lit("discarded"), 1), event(3, "delta", draft, ahead=1)]
+    regenerated = [event(1, "delta", draft), *followed, event(4, "regenerate", empty), *streamed]
+    late = [event(1, "delta", draft), event(LATE, "edit", whole)]
+    kinds = [F.array(opened, *events) for events in (streamed, edited, regenerated, late)]
+    log = F.when(turn % 4 == 1, kinds[1]).when(turn % 4 == 2, kinds[2]).when(turn % 4 == 3, kinds[3])
+    return rows.select(
+        "conv_id", F.row_number().over(own).cast("long").alias("turn"), role.alias("role"), text.alias("text")
+    ).select("conv_id", F.inline(log.otherwise(kinds[0])))
