@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import quality
 from tidemark.plans.stored import StoredBank
+from tidemark.sources import sinks
 
 
-def main() -> None:
+def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--tables", required=True)
     parser.add_argument("--extracts", required=True)
     parser.add_argument("--format", choices=("csv", "parquet"), default="csv")
-    options = parser.parse_args()
+    options = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("tidemark").getOrCreate()
     load = StoredBank.from_csv if options.format == "csv" else StoredBank.from_parquet
     bank = load(spark, options.tables)

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.scan import into_ranges, prefix_sums
 from tidemark.operators.skew import first_per_key, mark_first, ranked
 from tidemark.schemas import MAX_BALANCE_MINOR, MAX_OPENING_MINOR, MAX_TRANSFER_MINOR
 from tidemark.session import stored
@@ -437,18 +438,36 @@ def admission_timeline(
     sessions: DataFrame,
     window: str = "1 minute",
     slide: str = "10 seconds",
+    alive_limit: int = SESSIONS_ALIVE,
     recent_limit: int = SESSIONS_PER_MINUTE,
 ) -> DataFrame:
-    """New sessions per sliding window; windows are grouped, never scanned in one task."""
-    return (
-        sessions.groupBy(F.window("created_at", window, slide).alias("w"))
-        .agg(F.count("*").alias("new_sessions"))
-        .select(
-            F.col("w.start").alias("window_start"),
-            F.col("w.end").alias("window_end"),
-            "new_sessions",
-            (F.col("new_sessions") >= recent_limit).alias("busy"),
+    """New sessions per sliding window, and the sessions alive at its end.
+
+    Windows are grouped. The sessions alive are a prefix scan over +1 and -1 points in time, with a point
+    per window that only reads: no task holds more than a range of points.
+    """
+    windows = sessions.groupBy(F.window("created_at", window, slide).alias("w")).agg(
+        F.count("*").alias("new_sessions")
+    )
+    end = F.col("w.end").alias("at")
+    none = F.lit(None).cast("bigint").alias("new_sessions")
+    # of one instant: sessions that end or begin count before windows read
+    reads = windows.select(F.lit(1).alias("kind"), end, F.lit(0).alias("step"), F.col("w.start").alias("start"), "new_sessions")
+    steps = [
+        sessions.select(
+            F.lit(0).alias("kind"), F.col(at).alias("at"), F.lit(step).alias("step"), F.col(at).alias("start"), none
         )
+        for at, step in (("created_at", 1), ("expires_at", -1))
+    ]
+    points = reads.unionByName(steps[0]).unionByName(steps[1]).withColumn("_all", F.lit(0))
+    ranged = into_ranges(points, ["_all"], ["at", "kind"])
+    alive = prefix_sums(ranged, ["_all"], ["at", "kind"], {"alive": F.col("step").cast("bigint")}, inclusive=True)
+    return alive.where(F.col("kind") == 1).select(
+        F.col("start").alias("window_start"),
+        F.col("at").alias("window_end"),
+        "new_sessions",
+        "alive",
+        ((F.col("alive") >= alive_limit) | (F.col("new_sessions") >= recent_limit)).alias("busy"),
     )
 
 

@@ -2,47 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ledger import EXACT, over_limit
+from tidemark.operators.scan import into_ranges, prefix_sums
 
 ORDER = ("created_at", "transfer_id")
-SLICE = "hour"
 
 
-def running_balances(accounts: DataFrame, posted: DataFrame, slice: str = SLICE) -> DataFrame:
+def running_balances(accounts: DataFrame, posted: DataFrame) -> DataFrame:
     """Opening balance plus all postings up to and including each one, in (time, id) order.
 
-    A two-level prefix sum for accounts of every size: postings are summed within slices of an
-    account's time, and each slice starts from the total of the account's earlier slices. So a
-    task holds one account's slice, and only one row per slice meets in a window over accounts.
+    A prefix scan over ranges of sorted postings: no account and no instant has to fit into a task.
     """
-    amount = F.col("signed_minor").cast(EXACT)
-    sliced = posted.withColumn("_slice", F.date_trunc(slice, "created_at"))
-    within = Window.partitionBy("account_id", "_slice").orderBy(*ORDER).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    earlier = Window.partitionBy("account_id").orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = (
-        sliced.groupBy("account_id", "_slice")
-        .agg(F.sum(amount).alias("_total"))
-        .join(accounts.select("account_id", "opening_balance_minor"), "account_id")
-        .withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
-        .select(
-            "account_id",
-            "_slice",
-            (F.col("opening_balance_minor") + F.col("_before")).alias("_start"),
-        )
-    )
-    balance = (F.col("_start") + F.col("_moved")).cast(EXACT)
+    moved = {"_moved": F.col("signed_minor").cast(EXACT)}
+    scanned = prefix_sums(into_ranges(posted, ["account_id"], ORDER), ["account_id"], ORDER, moved, inclusive=True)
+    opening = accounts.select("account_id", F.col("opening_balance_minor").alias("_opening"))
+    balance = (F.col("_opening") + F.col("_moved")).cast(EXACT)
     return _flagged(
-        sliced.withColumn("_moved", F.sum(amount).over(within))
-        .join(starts, ["account_id", "_slice"])
+        scanned.join(opening, "account_id")
         .withColumn("balance_after_minor", balance)
-        .drop("_slice", "_start", "_moved")
+        .drop("_range", "_opening", "_moved")
     )
 
 

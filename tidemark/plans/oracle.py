@@ -931,9 +931,11 @@ TENANT_QUERIES = {
     ),
     "sink_views": "SELECT * FROM transaction_economics",
     "sink_publish": "SELECT * FROM accounts",
-    "dq_defaults": f"SELECT {_ID}, 0.0::DOUBLE AS fee_revenue_gbp, "
-    "0.0::DOUBLE AS interchange_revenue_gbp, 0.0::DOUBLE AS incentive_cost_gbp "
-    "FROM transactions WHERE status = 'failed'",
+    "dq_defaults": f"SELECT {_ID}, fee_revenue_gbp::DOUBLE AS fee_revenue_gbp, "
+    "interchange_revenue_gbp::DOUBLE AS interchange_revenue_gbp, "
+    "fx_spread_revenue_gbp::DOUBLE AS fx_spread_revenue_gbp, "
+    "processing_cost_gbp::DOUBLE AS processing_cost_gbp, 0.0::DOUBLE AS incentive_cost_gbp "
+    "FROM transactions",
 }
 
 LEDGER_QUERIES = {
@@ -1053,11 +1055,13 @@ LEDGER_QUERIES = {
         WHERE created_at <= TIMESTAMP '2024-01-01 07:00:00'
           AND expires_at > TIMESTAMP '2024-01-01 07:00:00')""",
     "ledger_admission_timeline": """
-      SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, COUNT(*) AS new_sessions,
-             COUNT(*) >= 5 AS busy
-      FROM (SELECT unnest([time_bucket(INTERVAL 10 MINUTES, created_at)
-                           - i * INTERVAL 10 MINUTES for i in range(6)]) AS w
-            FROM user_sessions) GROUP BY 1""",
+      SELECT window_start, window_end, new_sessions, alive, alive >= 20 OR new_sessions >= 5 AS busy
+      FROM (SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, COUNT(*) AS new_sessions
+            FROM (SELECT unnest([time_bucket(INTERVAL 10 MINUTES, created_at)
+                                 - i * INTERVAL 10 MINUTES for i in range(6)]) AS w
+                  FROM user_sessions) GROUP BY 1),
+        LATERAL (SELECT COUNT(*) AS alive FROM user_sessions
+                 WHERE created_at <= window_end AND expires_at > window_end)""",
     "ledger_visibility": """
       SELECT account_id, request_id, session_id,
              CAST(CASE WHEN a_id IS NOT NULL AND session_id IS NOT DISTINCT FROM owner

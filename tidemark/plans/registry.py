@@ -281,12 +281,11 @@ def _named_view(b: Bank) -> DataFrame:
 
 
 def _defaults(b: Bank) -> DataFrame:
-    """Failed transactions whose fees were never filled in, with the declared defaults."""
-    bare = b.transactions.where("status = 'failed'").drop("interchange_revenue_gbp")
-    unknown = bare.withColumn("fee_revenue_gbp", F.lit(None).cast("decimal(12,2)"))
-    return quality.fill_defaults(unknown, "transactions").select(
-        "transaction_id", "fee_revenue_gbp", "interchange_revenue_gbp", "incentive_cost_gbp"
-    )
+    """All transactions as a feed leaves them, with amounts only where one is due, and the declared defaults."""
+    amounts = ["fee_revenue_gbp", "interchange_revenue_gbp", "fx_spread_revenue_gbp", "processing_cost_gbp"]
+    due = {c: F.nullif(F.col(c), F.lit(0).cast("decimal(12,2)")) for c in amounts}
+    feed = b.transactions.withColumns(due).drop("incentive_cost_gbp")
+    return quality.fill_defaults(feed, "transactions").select("transaction_id", *amounts, "incentive_cost_gbp")
 
 
 def _publish_roundtrip(b: Bank) -> DataFrame:
@@ -355,7 +354,7 @@ def _ledger_queries() -> dict[str, Callable[[Ledger], DataFrame]]:
         "ledger_session_expiry": sweep,
         "ledger_admission": lambda g: ledger.admission(g.user_sessions, SWEEP_AT, 25, 3),
         "ledger_admission_timeline": lambda g: ledger.admission_timeline(
-            g.user_sessions, "1 hour", "10 minutes", 5
+            g.user_sessions, "1 hour", "10 minutes", 20, 5
         ),
         "ledger_visibility": lambda g: ledger.visible_reads(g.reads, g.user_accounts),
         "bench_transfers": ring_page,
