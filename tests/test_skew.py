@@ -133,6 +133,28 @@ def test_limiter_resumes_where_it_stopped():
     assert np.concatenate(parts).tolist() == whole.tolist()
 
 
+@pytest.mark.parametrize("seed, width, limit", [(1, 37, 4), (2, 5, 1), (3, 4000, 7)])
+def test_large_sessions_by_doubling_equal_the_walk(spark, coalesced, seed, width, limit):
+    """Sessions past the bound, with ties, requests before the opening, and one session of a single window."""
+    rng = np.random.default_rng(seed)
+    sent = [("big", int(t)) for t in rng.integers(-20, 900, 260)] + [("other", int(t)) for t in rng.integers(0, 90, 60)]
+    sent += [("small", int(t)) for t in rng.integers(0, 400, 20)]
+    requests = spark.createDataFrame(
+        [(i, s, START + timedelta(seconds=t)) for i, (s, t) in enumerate(sent)],
+        "request_id bigint, session_id string, ts timestamp_ntz",
+    )
+    sessions = spark.createDataFrame(
+        [(s, START, START + timedelta(seconds=800)) for s in ("big", "other", "small")],
+        "session_id string, window_start timestamp_ntz, expires_at timestamp_ntz",
+    )
+    found = ratelimit.rate_limited(requests, sessions, limit, width, hot_rows=50)
+    assert rows(found) == rows(ratelimit.rate_limited(requests, sessions, limit, width))
+    for session in ("big", "other"):
+        times = sorted((t, i) for i, (s, t) in enumerate(sent) if s == session and t < 800)
+        verdicts = dict(zip([i for _, i in times], reference_limiter([t for t, _ in times], 0, width, limit)))
+        assert {r.request_id: r.passed for r in found.collect() if r.session_id == session and r.passed is not None} == verdicts
+
+
 def test_hot_keys_are_counted_exactly(spark):
     df = spark.range(30).select(F.when(F.col("id") < 10, "x").otherwise("y").alias("k"))
     assert rows(skew.hot_keys(df, "k", 11)) == [("y", 20)]

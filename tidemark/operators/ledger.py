@@ -50,8 +50,8 @@ def _parsed(requests: DataFrame, fields: list[str]) -> DataFrame:
     known = reduce(lambda n, f: n + _given(f).cast("int"), fields, F.lit(0))
     return (
         requests.withColumn("_doc", F.try_parse_json("body"))
-        .withColumn("_shape", F.schema_of_variant(doc))
-        .withColumn("_is_object", F.coalesce(F.col("_shape").startswith("OBJECT"), F.lit(False)))
+        .withColumn("_fields", F.nullif(F.size(F.try_variant_get(doc, "$", "map<string,variant>")), F.lit(-1)))
+        .withColumn("_is_object", F.col("_fields").isNotNull())
         .withColumns({f"_{f}_kind": F.schema_of_variant(part[f]) for f in fields})
         .withColumns(
             {
@@ -64,7 +64,7 @@ def _parsed(requests: DataFrame, fields: list[str]) -> DataFrame:
         )
         .withColumn(
             "_has_unknown",
-            F.col("_is_object") & (F.size(F.array_distinct(F.json_object_keys("body"))) > known),
+            F.coalesce(F.col("_fields") > known, F.lit(False)),
         )
     )
 
