@@ -1,5 +1,8 @@
 """Readers and writers: typing, NULLs, failures, and replacing a table set at once."""
 
+from datetime import timedelta
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -9,7 +12,7 @@ from tidemark.operators import events
 from tidemark.operators.ledger import account_history, postings
 from tidemark.schemas import TABLES
 from tidemark.session import run_dir, shared_dir
-from tidemark.sources import sinks, tables
+from tidemark.sources import history, sinks, tables
 
 
 def write(folder, name, text):
@@ -101,16 +104,45 @@ def test_transfer_series_page(spark):
     assert [r.direction for r in page] == ["outgoing", "incoming"] * 5
 
 
-def test_clustered_history_equals_scanned_history(spark, tmp_path):
+@pytest.mark.parametrize("held", [10_000, 0])
+def test_pages_of_stored_history_equal_scanned_history(spark, tmp_path, monkeypatch, held):
+    monkeypatch.setattr(history, "HELD_FILES", held)
     series = tables.transfer_series(spark.range(1, 5001))
+    # one account of many files: every transfer also pays a fee to it
+    hub = series.withColumns({"destination_account_id": F.lit("m-hub"), "transfer_id": F.concat("transfer_id", F.lit("h"))})
+    every = series.unionByName(hub).withColumn("created_at", F.date_trunc("minute", "created_at").cast("timestamp_ntz"))
+    path = str(tmp_path / "history")
+    history.write(postings(every), path, files=7)
+    pages = history.History(spark, path)
+    for account in (*map(tables.series_account, (0, 42, 999)), "m-hub"):
+        whole = account_history(every, account, 100).collect()
+        before, found = None, []
+        while len(found) < len(whole):
+            page = pages.page(account, 7, before).collect()
+            found += page
+            before = (page[-1].created_at, page[-1].transfer_id)
+        assert [r.transfer_id for r in found[: len(whole)]] == [r.transfer_id for r in whole]
+    assert pages.page("nobody").count() == 0 and pages.files("nobody", 20) == []
+
+
+def test_a_page_opens_few_files_and_row_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(history, "ROW_GROUP_BYTES", 64 << 10)
     path = str(tmp_path / "history")
-    sinks.write_history(postings(series), path, files=4)
-    for account in (tables.series_account(n) for n in (0, 42, 999)):
-        page = sinks.history_page(spark, path, account, 7, 2)
-        scanned = account_history(series, account, 7, 2)
-        assert [r.transfer_id for r in page.collect()] == [
-            r.transfer_id for r in scanned.collect()
-        ]
+    history.write(postings(tables.transfer_series(spark.range(1, 200_001))), path, files=8)
+    pages = history.History(spark, path)
+    account = tables.series_account(42)
+    (file,) = pages.files(account, 20)
+    groups = pq.ParquetFile(file.removeprefix("file://")).metadata
+    column = next(i for i in range(groups.num_columns) if groups.schema.column(i).name == "account_id")
+    spans = [groups.row_group(n).column(column).statistics for n in range(groups.num_row_groups)]
+    opened = sum(s.min <= account <= s.max for s in spans)
+    assert len(spans) > 10 and opened <= 2
+    # a deep page of an account of many files begins where it must
+    hub = tables.transfer_series(spark.range(1, 5001)).withColumn("source_account_id", F.lit("hub"))
+    history.write(postings(hub).where("account_id = 'hub'"), str(tmp_path / "hub"), files=8)
+    pages = history.History(spark, str(tmp_path / "hub"))
+    oldest = pages.manifest.agg(F.min("oldest")).first()[0]
+    assert len(pages.files("hub", 20)) <= 2 and len(pages.files("hub", 20, oldest + timedelta(seconds=60))) <= 2
 
 
 def test_event_refresh_is_rerun_safe(make, tx):

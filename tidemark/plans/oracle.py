@@ -1073,6 +1073,15 @@ LEDGER_QUERIES = {
             FROM evt e)
       LEFT JOIN (SELECT account_id, account_id AS a_id, session_id AS owner FROM user_accounts)
         USING (account_id)""",
+    "ledger_history_keyset": """
+      SELECT transfer_id, created_at, account_id, signed_minor, direction
+      FROM (SELECT CAST(CAST(md5(CAST(event_id AS VARCHAR)) AS UUID) AS VARCHAR) AS transfer_id,
+                   TIMESTAMP '2026-01-01' + event_id * INTERVAL 1 SECOND AS created_at,
+                   CAST(CAST(md5('42') AS UUID) AS VARCHAR) AS account_id,
+                   CAST(CASE event_id % 1000 WHEN 42 THEN -100 ELSE 100 END AS BIGINT) AS signed_minor,
+                   CASE event_id % 1000 WHEN 42 THEN 'outgoing' ELSE 'incoming' END AS direction
+            FROM events WHERE event_id % 1000 IN (41, 42))
+      ORDER BY created_at DESC, transfer_id DESC LIMIT 5 OFFSET 5""",
     "bench_transfers": """
       SELECT *, CASE WHEN source_account_id = CAST(CAST(md5('42') AS UUID) AS VARCHAR)
                      THEN 'outgoing' ELSE 'incoming' END AS direction

@@ -28,7 +28,7 @@ from tidemark.operators import (
 from tidemark.plans.binding import Bank, Ledger
 from tidemark.schemas import TABLES
 from tidemark.session import run_dir
-from tidemark.sources import sinks, tables
+from tidemark.sources import history, sinks, tables
 from tidemark.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -318,7 +318,17 @@ def _ledger_queries() -> dict[str, Callable[[Ledger], DataFrame]]:
     def ring_page(g: Ledger) -> DataFrame:
         return ledger.account_history(g.series, tables.series_account(42))
 
+    def second_page(g: Ledger) -> DataFrame:
+        """The page after the first five rows of an account, from stored history."""
+        path = run_dir(g.spark, "history")
+        history.write(ledger.postings(g.series), path)
+        pages, account = history.History(g.spark, path), tables.series_account(42)
+        first = pages.page(account, 5).collect()
+        before = (first[-1].created_at, first[-1].transfer_id) if first else None
+        return pages.page(account, 5, before)
+
     return {
+        "ledger_history_keyset": second_page,
         "ledger_validate": lambda g: ledger.validated_transfers(g.raw_requests).drop("body"),
         "ledger_validate_accounts": lambda g: ledger.validated_accounts(
             g.raw_account_requests

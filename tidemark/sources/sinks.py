@@ -86,28 +86,3 @@ def write_extracts(views: Mapping[str, DataFrame], folder: str) -> None:
     """
     for name, df in views.items():
         write_csv(df.coalesce(1), f"{folder}/{name}.csv")
-
-
-def write_history(posted: DataFrame, path: str, files: int | None = None) -> None:
-    """Store postings ordered by account and newest first.
-
-    Files and row groups then cover narrow account ranges, so a page of one account reads only
-    those whose minimum and maximum include it. The range is over (account, time), which also
-    splits an account that would fill a file on its own.
-    """
-    order = ["account_id", F.desc("created_at"), F.desc("transfer_id")]
-    ranges = [files, *order] if files else order
-    posted.repartitionByRange(*ranges).sortWithinPartitions(*order).write.parquet(path)
-
-
-def history_page(
-    spark: SparkSession, path: str, account_id, limit: int = 20, offset: int = 0
-) -> DataFrame:
-    """One newest-first page of one account from :func:`write_history` output."""
-    return (
-        spark.read.parquet(path)
-        .where(F.col("account_id") == F.lit(account_id))
-        .orderBy(F.desc("created_at"), F.desc("transfer_id"))
-        .offset(offset)
-        .limit(limit)
-    )
