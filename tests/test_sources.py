@@ -12,7 +12,7 @@ from tidemark.operators import events
 from tidemark.operators.ledger import account_history, postings
 from tidemark.schemas import TABLES
 from tidemark.session import run_dir, shared_dir
-from tidemark.sources import history, sinks, tables
+from tidemark.sources import history, sinks, snapshots, tables
 
 
 def write(folder, name, text):
@@ -145,6 +145,28 @@ def test_a_page_opens_few_files_and_row_groups(spark, tmp_path, monkeypatch):
     assert len(pages.files("hub", 20)) <= 2 and len(pages.files("hub", 20, oldest + timedelta(seconds=60))) <= 2
 
 
+def test_a_refresh_rewrites_only_what_differs(spark, tmp_path):
+    keys = {"kind": F.col("k"), "day": F.col("d")}
+    store = snapshots.Snapshots(spark, str(tmp_path), keys)
+    schema = "k string, d string, n long"
+    first = [("a", "1", 1), ("a", "2", 2), ("b", "1", 3), (None, "1", 4), ("b", None, 5), ("b", "1", 3)]
+    assert store.refresh(spark.createDataFrame(first, schema)) == 5
+    assert rows(store.read()) == sorted(first, key=str)
+    old = store.read()
+    # one partition of a changes, one goes, one is new; b is out of scope
+    fresh = [("a", "1", 1), ("a", "3", 9), ("b", "1", 100)]
+    assert store.refresh(spark.createDataFrame(fresh, schema), F.col("kind") == "a") == 1
+    now = [("a", "1", 1), ("a", "3", 9), *first[2:]]
+    assert rows(store.read()) == sorted(now, key=str)
+    assert rows(store.read(1)) == rows(old) == sorted(first, key=str)
+    assert store.refresh(spark.createDataFrame(fresh, schema), F.col("kind") == "a") == 0
+    assert rows(store.read()) == sorted(now, key=str)
+    assert store.refresh(spark.createDataFrame(fresh, schema)) == 1
+    assert store.vacuum() == [3] and rows(store.read()) == sorted(fresh, key=str)
+    with pytest.raises(AnalysisException):
+        store.read(1)
+
+
 def test_event_refresh_is_rerun_safe(make, tx):
     holders = make("accounts", dict(account_id=11, customer_id=1))
     moves = tx(

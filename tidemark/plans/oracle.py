@@ -931,6 +931,7 @@ TENANT_QUERIES = {
     ),
     "sink_views": "SELECT * FROM transaction_economics",
     "sink_publish": "SELECT * FROM accounts",
+    "sink_refresh": f"SELECT {_EVENT} FROM product_events",
     "dq_defaults": f"SELECT {_ID}, fee_revenue_gbp::DOUBLE AS fee_revenue_gbp, "
     "interchange_revenue_gbp::DOUBLE AS interchange_revenue_gbp, "
     "fx_spread_revenue_gbp::DOUBLE AS fx_spread_revenue_gbp, "

@@ -28,7 +28,7 @@ from tidemark.operators import (
 from tidemark.plans.binding import Bank, Ledger
 from tidemark.schemas import TABLES
 from tidemark.session import run_dir
-from tidemark.sources import history, sinks, tables
+from tidemark.sources import history, sinks, snapshots, tables
 from tidemark.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -248,6 +248,7 @@ def _storage_queries() -> dict[str, Callable[[Bank], DataFrame]]:
         "sink_extracts": lambda b: quality.row_counts(_extracts(b)),
         "sink_views": _named_view,
         "sink_publish": _publish_roundtrip,
+        "sink_refresh": _partition_refresh,
         "dq_defaults": _defaults,
     }
 
@@ -296,6 +297,18 @@ def _publish_roundtrip(b: Bank) -> DataFrame:
     return sinks.published(b.spark, folder)["accounts"]
 
 
+def _partition_refresh(b: Bank) -> DataFrame:
+    """Events stored by kind and year; the kinds that follow from transactions are refreshed in place."""
+    keys = {"kind": F.col("event_name"), "year": F.date_format("event_ts", "yyyy")}
+    store = snapshots.Snapshots(b.spark, run_dir(b.spark, "snapshots"), keys)
+    log = b.product_events
+    stale = (F.col("event_name") == "first_transaction") & (F.col("customer_id") % 2 == 0)
+    store.refresh(log.where(~stale))
+    fresh = events.transaction_events(b.accounts, b.transactions).select(*log.columns)
+    store.refresh(fresh, F.col("kind").isin(*events.TRANSACTION_EVENTS))
+    return store.read()
+
+
 def _ledger_queries() -> dict[str, Callable[[Ledger], DataFrame]]:
     def sweep(g: Ledger) -> DataFrame:
         parts = {

@@ -43,10 +43,26 @@ def publish(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -
     run = uuid.uuid4().hex
     for name, df in tables.items():
         df.write.mode("errorifexists").parquet(f"{folder}/runs/{run}/{name}")
-    manifest = json.dumps({"run": run, "tables": sorted(tables)})
-    fs, staged = _hadoop_path(spark, f"{folder}/manifest-{run}.json")
+    replace_file(spark, f"{folder}/manifest.json", json.dumps({"run": run, "tables": sorted(tables)}))
+    return run
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _hadoop_path(spark, path)
+    return fs.exists(target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file if it is there."""
+    fs, target = _hadoop_path(spark, path)
+    fs.delete(target, True)
+
+
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file and rename it into place, so readers see the old or the new one, whole."""
+    fs, staged = _hadoop_path(spark, f"{path}-{uuid.uuid4().hex}")
     out = fs.create(staged, True)
-    out.write(bytearray(manifest, "utf-8"))
+    out.write(bytearray(text, "utf-8"))
     out.close()
     context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
         staged.toUri(), spark._jsc.hadoopConfiguration()
@@ -56,9 +72,8 @@ def publish(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -
         spark._jvm.org.apache.hadoop.fs.Options.Rename, 1
     )
     options[0] = overwrite
-    _, current = _hadoop_path(spark, f"{folder}/manifest.json")
+    _, current = _hadoop_path(spark, path)
     context.rename(staged, current, options)
-    return run
 
 
 def published(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
