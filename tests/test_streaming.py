@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL, at, rows
 from tidemark.plans import registry
-from tidemark.streaming import jobs
+from tidemark.streaming import jobs, partials
 
 STREAMS = sorted(name for name in registry.named_queries() if name.startswith("stream_"))
 STREAMED = ("events", "lineitem")
@@ -92,6 +92,23 @@ def test_a_stream_without_files_is_empty(spark, tmp_path, tx):
     assert rows(jobs.first_fundings(jobs.file_stream(spark, path))) == []
 
 
+def test_partials_stay_few_and_survive_repeats(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    merge = lambda df: df.groupBy("k").agg(F.sum("n").alias("n"))
+    part = lambda number: spark.createDataFrame([(number % 3, 1), (9, number)], "k int, n long")
+    for number in range(40):
+        # a new driver at any batch goes on from the manifest, and repeats its last batch
+        parts = partials.Partials(spark, folder, merge, width=3)
+        if number:
+            parts.put(part(number - 1), number - 1)
+        parts.put(part(number), number)
+    assert parts.levels == partials.Partials(spark, folder, merge, 3).levels
+    assert [len(level) for level in parts.levels] == [1, 1, 1, 1]
+    held = [name for name in os.listdir(folder) if not name.endswith((".json", ".crc"))]
+    assert len(held) == 4
+    assert rows(parts.read(part(0))) == [(0, 14), (1, 13), (2, 13), (9, sum(range(40)))]
+
+
 # ---- keyed state --------------------------------------------------------------------------------
 
 REQUESTS = "request_id long, session_id string, idempotency_key string, ts timestamp_ntz"

@@ -6,8 +6,8 @@ queries are mergeable partial results and take new files in any number and order
 minimum, a count, the rows a rule needs) and written under its batch number, so a repeated batch
 replaces itself. Partials of one key merge the same way in any order, which happens on reading. No
 row is ever late: ``delay`` only says how far event time must have passed a window or a session for
-it to be closed in the result. Nothing of them is kept in state stores; old partials can be merged
-and rewritten at any time, because merging merged partials is the same merge.
+it to be closed in the result. Nothing of them is kept in state stores; partials are merged level by
+level (``partials``), because merging merged partials is the same merge.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from tidemark.operators.economics import first_fundings as earliest_fundings
 from tidemark.operators.ledger import scoped_key
 from tidemark.operators.skew import first_per_key
 from tidemark.session import run_dir
-from tidemark.streaming import stateful
+from tidemark.streaming import partials, stateful
 
 DELAY = "30 minutes"
 
@@ -50,18 +50,17 @@ def collected(
     stream: DataFrame,
     purpose: str,
     partial: Callable[[DataFrame], DataFrame],
+    merge: Callable[[DataFrame], DataFrame],
     watch: Callable[[dict], None] = _ignored,
 ) -> DataFrame:
-    """Process everything available and return the partial results of all micro-batches."""
+    """Process everything available and return the merged partial results of all micro-batches."""
     spark = stream.sparkSession
     folder = run_dir(spark, purpose)
+    parts = partials.Partials(spark, f"{folder}/out", merge)
 
     def put(rows: DataFrame, number: int) -> None:
-        partial(rows).write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
+        parts.put(partial(rows), number)
 
-    # a first part without rows, so that a stream without files has a result too
-    empty = spark.createDataFrame([], stream.schema)
-    put(empty, -1)
     with stateful.state_on_disk(spark):
         query = (
             stream.writeStream.foreachBatch(put)
@@ -72,7 +71,7 @@ def collected(
         query.awaitTermination()
     for progress in query.recentProgress:
         watch(progress)
-    return spark.read.schema(partial(empty).schema).parquet(f"{folder}/out").drop("batch")
+    return parts.read(partial(spark.createDataFrame([], stream.schema)))
 
 
 def _closed(partials: DataFrame, delay: str):
@@ -149,11 +148,15 @@ def request_counts(requests: DataFrame, width: str = "1 minute", delay: str = DE
             F.max("ts").alias("latest"),
         )
 
-    found = collected(requests.select("ts", "opens_session"), "counts", counted)
-    merged = found.groupBy("w").agg(
-        F.sum("requests").alias("requests"), F.sum("new_sessions").alias("new_sessions")
-    )
-    return merged.where(F.col("w.end") <= _closed(found, delay)).select(
+    def merged(found: DataFrame) -> DataFrame:
+        return found.groupBy("w").agg(
+            F.sum("requests").alias("requests"),
+            F.sum("new_sessions").alias("new_sessions"),
+            F.max("latest").alias("latest"),
+        )
+
+    found = collected(requests.select("ts", "opens_session"), "counts", counted, merged)
+    return found.where(F.col("w.end") <= _closed(found, delay)).select(
         F.col("w.start").alias("window_start"), "requests", "new_sessions"
     )
 
@@ -175,30 +178,34 @@ def daily_economics(
     def priced(rows: DataFrame) -> DataFrame:
         return rows.groupBy(F.window("transaction_ts", width).alias("w"), "transaction_type").agg(
             F.count_if(completed()).alias("completed_transactions"),
-            *[F.sum(F.when(completed(), v)).alias(name) for name, v in totals.items()],
+            *[F.sum(F.when(completed(), v)).cast("decimal(38,2)").alias(name) for name, v in totals.items()],
             F.max("transaction_ts").alias("latest"),
         )
 
-    found = collected(transactions, "daily", priced)
-    merged = found.groupBy("w", "transaction_type").agg(
-        F.sum("completed_transactions").alias("completed_transactions"),
-        *[F.sum(name).alias(name) for name in totals],
-    )
+    def merged(found: DataFrame) -> DataFrame:
+        return found.groupBy("w", "transaction_type").agg(
+            F.sum("completed_transactions").alias("completed_transactions"),
+            *[F.sum(name).alias(name) for name in totals],
+            F.max("latest").alias("latest"),
+        )
+
+    found = collected(transactions, "daily", priced, merged)
     average = mean_of("contribution_margin_gbp", "completed_transactions", 4)
     return (
-        merged.where(F.col("w.end") <= _closed(found, delay))
+        found.where(F.col("w.end") <= _closed(found, delay))
         .withColumn("avg_margin_per_transaction_gbp", average)
         .select(F.col("w.start").alias("day"), "*")
-        .drop("w")
+        .drop("w", "latest")
     )
 
 
 def first_fundings(transactions: DataFrame) -> DataFrame:
     """The first completed cash-in of each account."""
-    found = collected(transactions, "fundings", earliest_fundings)
-    return first_per_key(
-        found, ["account_id"], ["transaction_ts", "transaction_id"], "transaction_id"
-    )
+
+    def earliest(found: DataFrame) -> DataFrame:
+        return first_per_key(found, ["account_id"], ["transaction_ts", "transaction_id"], "transaction_id")
+
+    return collected(transactions, "fundings", earliest_fundings, earliest)
 
 
 def activity_after_funding(
@@ -232,5 +239,8 @@ def activity_after_funding(
         return rows.groupBy("account_id").agg(F.count("*").alias("events"))
 
     met = active.join(funded, inside).select("account_id")
-    found = collected(met, "activity", counted, watch)
-    return found.groupBy("account_id").agg(F.sum("events").alias("events"))
+
+    def merged(found: DataFrame) -> DataFrame:
+        return found.groupBy("account_id").agg(F.sum("events").alias("events"))
+
+    return collected(met, "activity", counted, merged, watch)
