@@ -773,6 +773,13 @@ TENANT_QUERIES = {
     "ev_first_transaction": f"SELECT {_EVENT} FROM product_events "
     "WHERE event_name = 'first_transaction'",
     "ev_refresh": f"SELECT {_EVENT} FROM product_events",
+    "tx_amount_median": """
+      SELECT transaction_type, day, CAST(SUM(pence) AS DOUBLE) / (100 * COUNT(*)) AS median_amount_gbp
+      FROM (SELECT *, row_number() OVER (PARTITION BY transaction_type, day ORDER BY pence) AS n,
+                   COUNT(*) OVER (PARTITION BY transaction_type, day) AS total
+            FROM (SELECT transaction_type, CAST(transaction_ts AS DATE) AS day,
+                         CAST(amount_gbp * 100 AS BIGINT) AS pence FROM transactions))
+      WHERE n IN ((total + 1) // 2, total // 2 + 1) GROUP BY 1, 2""",
     "tx_economics": f"SELECT {_ID}, transaction_type, status, "
     + ", ".join(
         f"CAST({c} AS DOUBLE) AS {c}"

@@ -19,6 +19,7 @@ from tidemark.operators import (
     funnel,
     ledger,
     quality,
+    quantiles,
     ratelimit,
     retention,
     running,
@@ -177,6 +178,12 @@ def bank_queries() -> dict[str, Callable[[Bank], DataFrame]]:
         "tx_economics": lambda b: b.transactions.select(
             "transaction_id", "transaction_type", "status", "amount_gbp", *fee_columns()
         ),
+        "tx_amount_median": lambda b: quantiles.grouped_median(
+            b.transactions.withColumn("day", F.to_date("transaction_ts")),
+            ["transaction_type", "day"],
+            F.col("amount_gbp"),
+            "median_amount_gbp",
+        ),
         "tx_incentive": lambda b: b.transactions_with_incentive.where(
             "incentive_cost_gbp > 0"
         ).select("transaction_id", "account_id", "transaction_ts", "incentive_cost_gbp"),
