@@ -123,3 +123,16 @@ def test_query(spark):
     pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html").collect()
     told = sorted((p, b, d, k, r) for p, _, k, r, b, d in expected([tuple(p) for p in pages]))
     assert sorted(tuple(r) for r in queries.warc_query(spark, folder).collect()) == told
+
+
+def test_headers_of_foreign_archives():
+    record = (
+        b"WARC/1.0\r\nwarc-type: response\r\nWARC-Filename:\r\nWARC-RECORD-ID:<urn:1>\r\n"
+        b"WARC-Target-URI: http://a/\r\n b\r\ncontent-length: 3\r\n\r\nabc\r\n\r\n"
+    )
+    (first, second) = warc.parse(record * 2)
+    assert first == second and first["block"] == b"abc"
+    assert first["headers"] == {
+        "WARC-Type": "response", "WARC-Filename": "", "WARC-Record-ID": "<urn:1>",
+        "WARC-Target-URI": "http://a/ b", "Content-Length": "3",
+    }

@@ -193,8 +193,7 @@ def parse(data: bytes) -> Iterator[dict]:
                     raise ValueError("an archive ends inside a record")
                 return
             buffer, at = buffer[at:] + more, 0
-        lines = buffer[at:end].decode().lstrip("\r\n").split("\r\n")
-        headers = dict(line.split(": ", 1) for line in lines[1:])
+        headers = _headers(buffer[at:end].decode(errors="replace").lstrip("\r\n"))
         begin, size = end + 4, int(headers["Content-Length"])
         while len(buffer) < begin + size + 4:
             more = next(source, None)
@@ -205,6 +204,30 @@ def parse(data: bytes) -> Iterator[dict]:
         at = begin + size + 4
 
 
+#: The names that are read, by their lower-case form: names of headers have no case.
+NAMES = {
+    name.lower(): name
+    for name in (
+        "Content-Length WARC-Record-ID WARC-Type WARC-Target-URI WARC-Refers-To WARC-Payload-Digest X-Page-ID"
+        " WARC-Segment-Number WARC-Segment-Origin-ID WARC-Segment-Total-Length"
+    ).split()
+}
+
+
+def _headers(head: str) -> dict[str, str]:
+    """Headers of a record; values may be empty, and go on in lines that begin with white space."""
+    out: dict[str, str] = {}
+    last = ""
+    for line in head.split("\r\n")[1:]:
+        if line[:1] in (" ", "\t") and last:
+            out[last] = f"{out[last]} {line.strip()}".strip()
+            continue
+        name, _, value = line.partition(":")
+        last = NAMES.get(name.strip().lower(), name.strip())
+        out[last] = value.strip(" \t")
+    return out
+
+
 def _unpacked(data: bytes, step: int = 1 << 20) -> Iterator[bytes]:
     if data[:2] != b"\x1f\x8b":
         yield from (data[at : at + step] for at in range(0, len(data), step))
