@@ -42,6 +42,9 @@ DECAY = 1e-3
 LEAST = 0.05
 MEDIUM = 20.0
 LENGTH = 5.0
+#: Buckets whose inputs are made at a time, and parts in which the fitted rows come to the driver.
+STRETCH = 1 << 17
+SLICES = 16
 THRESHOLD = 0.3
 
 
@@ -98,22 +101,35 @@ def scaled(inputs: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
 
 def bucket_inputs(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """The input of every bucket, from the likelihood ratio of label and bucket; 0 where no row has it."""
-    count = lambda which: np.bincount(np.concatenate(which), minlength=BUCKETS) if which else np.zeros(BUCKETS)
-    every, ones = count(rows), count([r for r, label in zip(rows, y, strict=True) if label])
+    counts = np.zeros((2, BUCKETS), np.int32)
+    for at in range(0, len(rows), BATCH):
+        part, truth = rows[at : at + BATCH], y[at : at + BATCH] > 0
+        for label in (0, 1):
+            held = [r for r, own in zip(part, truth, strict=True) if own == label]
+            if held:
+                counts[label] += np.bincount(np.concatenate(held), minlength=BUCKETS).astype(np.int32)
     n1, n = y.sum(), len(y)
+    share = n1 / max(n, 1)
 
     def cell(seen: np.ndarray, want: np.ndarray) -> np.ndarray:
         return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(want, 1e-12)), 0.0)
 
-    share = n1 / max(n, 1)
-    ratio = cell(ones, every * share) + cell(every - ones, every * (1 - share))
-    ratio += cell(n1 - ones, (n - every) * share) + cell(n - n1 - every + ones, (n - every) * (1 - share))
-    above = np.maximum(2 * ratio - 1, 0) ** 2
-    return np.where(every > 0, LEAST + (1 - LEAST) * above / (above + MEDIUM**2), 0.0).astype(np.float32)
+    out = np.zeros(BUCKETS, np.float32)
+    for at in range(0, BUCKETS, STRETCH):
+        ones = counts[1, at : at + STRETCH].astype(np.float64)
+        every = ones + counts[0, at : at + STRETCH]
+        ratio = cell(ones, every * share) + cell(every - ones, every * (1 - share))
+        ratio += cell(n1 - ones, (n - every) * share) + cell(n - n1 - every + ones, (n - every) * (1 - share))
+        above = np.maximum(2 * ratio - 1, 0) ** 2
+        out[at : at + STRETCH] = np.where(every > 0, LEAST + (1 - LEAST) * above / (above + MEDIUM**2), 0.0)
+    return out
 
 
 def fit(rows: list[np.ndarray], labels: list[int], seed: int = 3) -> Machine:
-    """Fit by mini-batches with adaptive steps on the logistic loss; ``rows`` hold distinct buckets."""
+    """Fit by mini-batches with adaptive steps on the logistic loss; ``rows`` hold distinct buckets.
+
+    The rows are taken over: the list is empty afterwards.
+    """
     y = np.asarray(labels, np.float64)
     prior = (y.sum() + 1) / (len(y) + 2)
     rng = np.random.default_rng(seed)
@@ -125,14 +141,16 @@ def fit(rows: list[np.ndarray], labels: list[int], seed: int = 3) -> Machine:
     order, batches = rng.permutation(len(y)), []
     for at in range(0, len(order), BATCH):
         part = order[at : at + BATCH]
-        owner = np.repeat(np.arange(len(part), dtype=np.int32), [len(rows[n]) for n in part])
-        flat = np.concatenate([rows[n] for n in part])
-        touched, entry = np.unique(flat, return_inverse=True)
-        x = scaled(inputs[flat], owner, len(part)).astype(np.float32)
-        batches.append((y[part], owner, touched, entry.astype(np.int32), x))
+        touched, entry = np.unique(np.concatenate([rows[n] for n in part]), return_inverse=True)
+        # what is kept of a batch is small: a number per term, of two bytes where they suffice
+        entry = entry.astype(np.uint16 if len(touched) <= 1 << 16 else np.int32)
+        batches.append((y[part], [len(rows[n]) for n in part], touched, entry))
+    rows.clear()
     for _ in range(EPOCHS):
         for n in rng.permutation(len(batches)):
-            truth, owner, touched, entry, x = batches[n]
+            truth, sizes, touched, entry = batches[n]
+            owner = np.repeat(np.arange(len(truth)), sizes)
+            x = scaled(inputs[touched][entry], owner, len(truth)).astype(np.float32)
             own = value[touched][entry] * x[:, None]
             sums = np.stack([np.bincount(owner, own[:, f], len(truth)) for f in range(FACTORS + 1)], axis=1)
             squares = np.bincount(owner, (own[:, 1:] ** 2).sum(axis=1), len(truth))
@@ -176,12 +194,19 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Machine:
     named = docs.select("doc_id", whole("text").alias("text")).join(F.broadcast(chosen), "doc_id")
     named = named.select(F.xxhash64("doc_id", "text").alias("name"), "label", "text")
     made = named.mapInArrow(run, "name long, label int, terms array<int>").dropDuplicates(["name"])
-    rows = stored(made, "terms").orderBy("name").limit(MAX_ROWS).select("label", "terms").toArrow()
-    terms = rows.column("terms").combine_chunks()
-    if not len(rows):
-        return fit([], [])
-    flat, cuts = terms.flatten().to_numpy(), np.diff(terms.offsets.to_numpy()).cumsum()[:-1]
-    return fit(np.split(flat, cuts), rows.column("label").to_pylist())
+    rows = stored(made, "terms")
+    last = rows.select("name").orderBy("name").limit(MAX_ROWS).agg(F.max("name")).first()[0]
+    found: list[tuple[int, int, np.ndarray]] = []
+    for n in range(SLICES if last is not None else 0):
+        part = rows.where((F.col("name") <= last) & (F.pmod("name", F.lit(SLICES)) == n)).toArrow()
+        terms = part.column("terms").combine_chunks()
+        flat, cuts = terms.flatten().to_numpy().copy(), np.diff(terms.offsets.to_numpy()).cumsum()[:-1]
+        columns = (part.column(c).to_pylist() for c in ("name", "label"))
+        found += zip(*columns, np.split(flat, cuts) if len(part) else [], strict=True)
+    found.sort(key=lambda row: row[0])
+    held, labels = [terms for *_, terms in found], [label for _, label, _ in found]
+    found.clear()
+    return fit(held, labels)
 
 
 def score(docs: DataFrame, machine: Machine, column: str = "text") -> DataFrame:
