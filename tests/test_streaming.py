@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL, at, rows
 from tidemark.plans import registry
-from tidemark.streaming import jobs, partials
+from tidemark.streaming import jobs, partials, stateful
 
 STREAMS = sorted(name for name in registry.named_queries() if name.startswith("stream_"))
 STREAMED = ("events", "lineitem")
@@ -182,3 +182,29 @@ def test_interval_join_forgets_what_has_passed(spark, tmp_path, tx):
     whole = jobs.activity_after_funding(*sides, 30, 60, "2000 days")
     assert rows(found) == rows(whole) and found.count() == 11
     assert max(s["numRowsTotal"] for r in reports for s in r["stateOperators"]) < 25
+
+
+def many(spark, keys, times):
+    """Requests of many sessions at the same seconds, as (id, session, time)."""
+    ids = spark.range(keys * len(times))
+    second = F.element_at(F.array(*[F.lit(t) for t in times]), (F.col("id") % len(times) + 1).cast("int"))
+    return ids.select(
+        F.col("id").alias("request_id"),
+        F.concat(F.lit("s"), F.floor(F.col("id") / len(times))).alias("session_id"),
+        F.lit("k").alias("idempotency_key"),
+        F.concat(F.lit("2026-03-01 "), second).cast("timestamp_ntz").alias("ts"),
+    )
+
+
+def test_keys_share_buckets_but_not_windows(spark, tmp_path):
+    """State rows follow the number of buckets, not that of keys; every key has windows of its own."""
+    times, reports = ["10:00:30", "10:00:00", "10:01:00", "10:02:30"], []
+    keys = 20 * stateful.BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stream = moves(spark, str(tmp_path / "sent"), many(spark, keys, times))
+    found = jobs.unique_requests(stream, 60, "1 hour", reports.append)
+    passed = found.groupBy((F.col("request_id") % 4).alias("n")).agg(
+        F.count("*").alias("rows"), F.count_distinct("scoped_key").alias("keys")
+    )
+    assert rows(passed) == [(n, keys, keys) for n in (1, 2, 3)]
+    assert max(s["numRowsTotal"] for r in reports for s in r["stateOperators"]) < keys
+    assert reports[-1]["stateOperators"][0]["numRowsTotal"] == 0

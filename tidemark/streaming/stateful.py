@@ -1,10 +1,14 @@
 """Sessions, rate limits and retry windows as keyed state with event-time timers.
 
-A row waits in its key's state until the watermark has passed it and is then decided in event-time order, so
+A row waits in state until the watermark has passed it and is then decided in event-time order, so
 files may come in any order that ``delay`` covers. State of a key ends with its session or window: a timer
 clears it, and what is left is bounded by the rows of the last ``delay`` and by the sessions alive. A row that
 comes after the watermark passed it is never dropped in silence: it leaves with the outcome ``late``.
 
+State is kept by buckets of keys (``BUCKETS`` per shuffle partition, by hash), because a call of the processor and
+of its state costs about a millisecond, whatever it carries: a bucket's rows come, wait and are decided together, each
+key by itself. The number of buckets is as fixed for a checkpoint as that of the shuffle partitions.
+
 The watermark is taken from a column of its own that the state operator does not see, because rows behind
 the watermark of a visible column are removed before the operator gets them.
 """
@@ -14,6 +18,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from itertools import groupby
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -31,10 +36,11 @@ DECISION = "key string, id long, at long, outcome string"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 END = 4_000_000_000_000_000  # microseconds: after every event
+BUCKETS = 64
 
 
 class Gate(StatefulProcessor):
-    """Decide a key's rows: ``passed``, ``limited``, ``refused`` (no live session), ``late``; and ``expired``.
+    """Decide a bucket's rows, key by key: ``passed``, ``limited``, ``refused`` (no live session), ``late``; and ``expired``.
 
     A session opens with a row that ``opens`` it, and ends at ``ends``; requests outside of one are refused. With
     ``sessions`` false, a request outside of a window opens one that ends after ``width``. Inside, at most
@@ -46,50 +52,71 @@ class Gate(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "at long, opens boolean, id long, ends long")
-        self.open = handle.getValueState("open", "start long, used long, ends long")
+        # an element holds rows side by side, an array per column
+        self.waiting = handle.getListState(
+            "waiting", "key array<string>, at array<long>, opens array<boolean>, id array<long>, ends array<long>"
+        )
+        self.open = handle.getValueState("open", "key array<string>, start array<long>, used array<long>, ends array<long>")
+        self.next = handle.getValueState("next", "at long")
 
     def close(self) -> None:
         pass
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
+        first = None
         for pdf in rows:
             pdf = pdf[pdf["at"].notna()]
             late = pdf["at"] < passed
-            yield _decisions(key[0], [(i, at, "late") for i, at in pdf.loc[late, ["id", "at"]].itertuples(index=False)])
+            if late.any():
+                yield _decisions([(k, i, at, "late") for k, i, at in _columns(pdf[late], "key", "id", "at")])
             kept = [
-                (int(at), bool(opens), None if pd.isna(i) else int(i), END if pd.isna(ends) else int(ends))
-                for at, opens, i, ends in pdf.loc[~late, ["at", "opens", "id", "ends"]].itertuples(index=False)
+                (k, int(at), bool(opens), None if pd.isna(i) else int(i), END if pd.isna(ends) else int(ends))
+                for k, at, opens, i, ends in _columns(pdf[~late], "key", "at", "opens", "id", "ends")
             ]
             if kept:
-                self.waiting.appendList(kept)
-                self._wake(min(row[0] for row in kept))
+                self.waiting.appendValue(_packed(kept))
+                least = min(row[1] for row in kept)
+                first = least if first is None else min(first, least)
+        if first is not None and not (self.next.exists() and self.next.get()[0] <= first):
+            self._wake(first)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = [tuple(row) for row in self.waiting.get()] if self.waiting.exists() else []
-        due = sorted((r for r in rows if r[0] < passed), key=lambda r: (r[0], not r[1], r[2] or 0))
-        rest = [r for r in rows if r[0] >= passed]
+        if not self.next.exists() or self.next.get()[0] > passed:
+            return  # another timer of this bucket has done the work
+        rows = [row for held in self.waiting.get() for row in zip(*held, strict=True)] if self.waiting.exists() else []
+        due = sorted((r for r in rows if r[1] < passed), key=lambda r: (r[0], r[1], not r[2], r[3] or 0))
+        rest = [r for r in rows if r[1] >= passed]
         if due and rest:
-            self.waiting.put(rest)
-            self._wake(min(r[0] for r in rest))
+            self.waiting.put([_packed(rest)])
         elif due:
             self.waiting.clear()
-        was = tuple(self.open.get()) if self.open.exists() else None
-        now, out = self._decide(was, due)
-        if now and now[2] <= passed:
-            out.append((None, now[2], "expired"))
-            now = None
-        if now and now != was:
-            self.open.update(now)
-            self._wake(now[2])
-        elif was and not now:
+        was = {k: tuple(now) for k, *now in zip(*self.open.get(), strict=True)} if self.open.exists() else {}
+        open_now, out = dict(was), []
+        for k, own in groupby(due, key=lambda r: r[0]):
+            open_now[k], found = self._decide(open_now.get(k), [r[1:] for r in own])
+            out += [(k, *f) for f in found]
+        for k, now in open_now.items():
+            if now and now[2] <= passed:
+                out.append((k, None, now[2], "expired"))
+                open_now[k] = None
+        left = [(k, *now) for k, now in open_now.items() if now]
+        if left:
+            self.open.update(_packed(left))
+        elif was:
             self.open.clear()
-        yield _decisions(key[0], out)
+        later = [r[1] for r in rest] + [ends for *_, ends in left]
+        if later:
+            self._wake(min(later))
+        else:
+            self.next.clear()
+        if out:
+            yield _decisions(out)
 
     def _wake(self, at: int) -> None:
         """Wake once the watermark has passed an instant."""
+        self.next.update((at,))
         self.handle.registerTimer(at // 1000 + 1)
 
     def _decide(self, now: tuple | None, due: list[tuple]) -> tuple[tuple | None, list[tuple]]:
@@ -114,12 +141,20 @@ class Gate(StatefulProcessor):
         return now, out
 
 
-def _decisions(key: str, rows: list[tuple]) -> pd.DataFrame:
-    ids, ats, outcomes = zip(*rows, strict=True) if rows else ((), (), ())
+def _columns(pdf: pd.DataFrame, *names: str) -> Iterator[tuple]:
+    return zip(*(pdf[name].tolist() for name in names), strict=True)
+
+
+def _packed(rows: list[tuple]) -> tuple:
+    return tuple(list(column) for column in zip(*rows, strict=True))
+
+
+def _decisions(rows: list[tuple]) -> pd.DataFrame:
+    keys, ids, ats, outcomes = zip(*rows, strict=True)
     return pd.DataFrame(
         {
-            "key": pd.Series([key] * len(rows), dtype=object),
-            "id": pd.array(ids, dtype="Int64"),
+            "key": pd.Series(keys, dtype=object),
+            "id": pd.array([None if pd.isna(i) else int(i) for i in ids], dtype="Int64"),
             "at": pd.Series(ats, dtype="int64"),
             "outcome": pd.Series(outcomes, dtype=object),
         }
@@ -170,11 +205,13 @@ def gated(
     marks = f"{folder}/marks"
     spark.createDataFrame([], rows.schema).write.parquet(marks)
     stream = rows.unionByName(spark.readStream.schema(rows.schema).parquet(marks))
+    buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     decided = (
         stream.withWatermark("clock", delay)
         .drop("clock")
         .withColumn("key", F.coalesce("key", F.lit("")))
-        .groupBy("key")
+        .withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+        .groupBy("bucket")
         .transformWithStateInPandas(
             statefulProcessor=Gate(limit, width_seconds * 1_000_000, sessions),
             outputStructType=DECISION,
