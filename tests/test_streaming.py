@@ -208,3 +208,23 @@ def test_keys_share_buckets_but_not_windows(spark, tmp_path):
     assert rows(passed) == [(n, keys, keys) for n in (1, 2, 3)]
     assert max(s["numRowsTotal"] for r in reports for s in r["stateOperators"]) < keys
     assert reports[-1]["stateOperators"][0]["numRowsTotal"] == 0
+
+
+def test_sessions_share_buckets(spark, tmp_path):
+    """Sessions of one bucket open, expire and turn requests away each at its own time."""
+    keys = 4 * stateful.BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sent_at = many(spark, keys, ["10:05:00", "10:10:00"])
+    minute = F.floor(F.col("id") % 10).cast("string")
+    opened = spark.range(keys).select(
+        F.concat(F.lit("s"), F.col("id")).alias("session_id"),
+        F.lit("2026-03-01 10:00:00").cast("timestamp_ntz").alias("created_at"),
+        F.concat(F.lit("2026-03-01 10:0"), minute, F.lit(":30")).cast("timestamp_ntz").alias("expires_at"),
+    )
+    requests, sessions = moves(spark, str(tmp_path / "sent"), sent_at), moves(spark, str(tmp_path / "sessions"), opened)
+    reports = []
+    ended = jobs.expired_sessions(requests, sessions, "1 hour", reports.append)
+    counts = ended.groupBy("outcome", F.minute("at").alias("m")).agg(F.count_distinct("session_id").alias("n"))
+    of = [sum(1 for k in range(keys) if k % 10 == m) for m in range(10)]
+    want = [("expired", m, n) for m, n in enumerate(of)] + [("refused", 5, sum(of[:5])), ("refused", 10, keys)]
+    assert rows(counts) == sorted(want, key=str)
+    assert max(s["numRowsTotal"] for r in reports for s in r["stateOperators"]) < keys
