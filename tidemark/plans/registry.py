@@ -278,7 +278,7 @@ def _column_subset(b: Bank) -> DataFrame:
 def _extracts(b: Bank) -> dict[str, DataFrame]:
     """Every published view written as an extract and read back."""
     folder = run_dir(b.spark, "extracts")
-    sinks.write_extracts({name: view() for name, view in views(b).items()}, folder)
+    sinks.write_extracts({name: view() for name, view in views(b.stored()).items()}, folder)
     return tables.read_extracts(b.spark, folder)
 
 
