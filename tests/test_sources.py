@@ -145,3 +145,71 @@ def test_a_page_opens_few_files_and_row_groups(spark, tmp_path, monkeypatch):
     pages = history.History(spark, str(tmp_path / "hub"))
     oldest = pages.manifest.agg(F.min("oldest")).first()[0]
     assert len(pages.files("hub", 20)) <= 2 and len(pages.files("hub", 20, oldest + timedelta(seconds=60))) <= 2
+
+
+def test_a_refresh_rewrites_only_what_differs(spark, tmp_path):
+    keys = {"kind": F.col("k"), "day": F.col("d")}
+    store = snapshots.Snapshots(spark, str(tmp_path), keys)
+    schema = "k string, d string, n long"
+    first = [("a", "1", 1), ("a", "2", 2), ("b", "1", 3), (None, "1", 4), ("b", None, 5), ("b", "1", 3)]
+    assert store.refresh(spark.createDataFrame(first, schema)) == 5
+    assert rows(store.read()) == sorted(first, key=str)
+    old = store.read()
+    # one partition of a changes, one goes, one is new; b is out of scope
+    fresh = [("a", "1", 1), ("a", "3", 9), ("b", "1", 100)]
+    assert store.refresh(spark.createDataFrame(fresh, schema), F.col("kind") == "a") == 1
+    now = [("a", "1", 1), ("a", "3", 9), *first[2:]]
+    assert rows(store.read()) == sorted(now, key=str)
+    assert rows(store.read(1)) == rows(old) == sorted(first, key=str)
+    assert store.refresh(spark.createDataFrame(fresh, schema), F.col("kind") == "a") == 0
+    assert rows(store.read()) == sorted(now, key=str)
+    assert store.refresh(spark.createDataFrame(fresh, schema)) == 1
+    assert store.vacuum() == [3] and rows(store.read()) == sorted(fresh, key=str)
+    with pytest.raises(AnalysisException):
+        store.read(1)
+
+
+def test_event_refresh_is_rerun_safe(make, tx):
+    holders = make("accounts", dict(account_id=11, customer_id=1))
+    moves = tx(
+        (11, "2026-01-03", "cash_in", "completed", 10),
+        (11, "2026-01-02", "cash_in", "completed", 20),
+        (11, "2026-01-04", "card_payment", "failed", 1),
+        (11, "2026-01-05", "card_payment", "completed", 1),
+    )
+    log = make(
+        "product_events",
+        dict(event_id=1, customer_id=1, event_ts=at("2026-01-01"), event_name="signup_completed"),
+        dict(event_id=2, customer_id=1, event_ts=at("2025-01-01"), event_name="first_funding"),
+    )
+    once = events.refreshed_events(log, holders, moves)
+    assert [(n, t, v and str(v)) for n, t, v in rows(once, "event_name", "event_ts", "event_value")] == [
+        ("first_funding", at("2026-01-02"), "20.00"),
+        ("first_transaction", at("2026-01-05"), None),
+        ("signup_completed", at("2026-01-01"), None),
+    ]
+    assert rows(events.refreshed_events(once, holders, moves)) == rows(once)
+
+
+def read_by(df):
+    """Names of the source tables that a plan reads again."""
+    return {f.split("/")[-1] for f in df.inputFiles() if SMALL in f}
+
+
+def test_extracts_join_lineitem_once(spark, monkeypatch):
+    written, write = {}, sinks.write_extracts
+    monkeypatch.setattr(sinks, "write_extracts", lambda views, folder: (written.update(views), write(views, folder)))
+    for name in ("sink_extracts", "src_extracts"):
+        written.clear()
+        assert registry.named_queries()[name](spark, SMALL).count()
+        assert len(written) == 7
+        assert not any("lineitem.parquet" in read_by(df) for df in written.values())
+
+
+def test_a_refresh_joins_lineitem_once(spark, monkeypatch):
+    given, refresh = [], snapshots.Snapshots.refresh
+    monkeypatch.setattr(
+        snapshots.Snapshots, "refresh", lambda self, df, *scope: (given.append(df), refresh(self, df, *scope))[1]
+    )
+    assert registry.named_queries()["sink_refresh"](spark, SMALL).count()
+    assert [read_by(df) for df in given] == [set(), set()]

@@ -28,7 +28,7 @@ from tidemark.operators import (
 )
 from tidemark.plans.binding import Bank, Ledger
 from tidemark.schemas import TABLES
-from tidemark.session import run_dir
+from tidemark.session import run_dir, stored
 from tidemark.sources import history, sinks, snapshots, tables
 from tidemark.streaming import jobs
 
@@ -308,10 +308,11 @@ def _partition_refresh(b: Bank) -> DataFrame:
     """Events stored by kind and year; the kinds that follow from transactions are refreshed in place."""
     keys = {"kind": F.col("event_name"), "year": F.date_format("event_ts", "yyyy")}
     store = snapshots.Snapshots(b.spark, run_dir(b.spark, "snapshots"), keys)
-    log = b.product_events
+    b = b.stored()
+    log = stored(b.product_events, "log")
     stale = (F.col("event_name") == "first_transaction") & (F.col("customer_id") % 2 == 0)
     store.refresh(log.where(~stale))
-    fresh = events.transaction_events(b.accounts, b.transactions).select(*log.columns)
+    fresh = stored(events.transaction_events(b.accounts, b.transactions).select(*log.columns), "fresh")
     store.refresh(fresh, F.col("kind").isin(*events.TRANSACTION_EVENTS))
     return store.read()
 
