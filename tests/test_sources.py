@@ -213,3 +213,10 @@ def test_a_refresh_joins_lineitem_once(spark, monkeypatch):
     )
     assert registry.named_queries()["sink_refresh"](spark, SMALL).count()
     assert [read_by(df) for df in given] == [set(), set()]
+
+
+def test_lifecycle_events_join_customers_once(spark):
+    bank = Bank(spark, SMALL)
+    found = bank.lifecycle_events
+    assert read_by(found) == set()
+    assert rows(found) == rows(events.lifecycle_events(bank.customers, bank.kyc_cases, bank.accounts))

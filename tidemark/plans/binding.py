@@ -17,7 +17,7 @@ from tidemark.functions.money import MONEY
 from tidemark.functions.text import zero_padded
 from tidemark.operators import economics, events, experiment, ledger
 from tidemark.operators.retention import RetentionRule, Window
-from tidemark.session import run_dir
+from tidemark.session import run_dir, stored
 from tidemark.sources.tables import transfer_series
 
 ACCOUNT_OFFSET = 1_000_000  # account_id is never a customer_id, so a join on the wrong key shows
@@ -288,7 +288,15 @@ class Bank:
 
     @cached_property
     def lifecycle_events(self) -> DataFrame:
-        return events.lifecycle_events(self.customers, self.kyc_cases, self.accounts)
+        """Four kinds of events; the customers they all start from are joined once and written.
+
+        Spark puts the parts of a union that are partitioned alike into the same tasks, which would then hold the
+        sorts and hash maps of four joins at a time.
+        """
+        columns = ["c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal", "signup_ts"]
+        met = Bank(self.spark, self.folder)
+        met._people = stored(self._people.select(*columns), "people")
+        return events.lifecycle_events(met.customers, met.kyc_cases, met.accounts)
 
     @cached_property
     def product_events(self) -> DataFrame:
