@@ -146,3 +146,29 @@ def test_windows_cover_long_values():
     held = secretscan.windows(text, 30, 230)
     assert b"".join(w[secretscan.AROUND : secretscan.AROUND + secretscan.BODY] for w in held).rstrip(b"\0") == text[30:230]
     assert all(len(w) == secretscan.WINDOW for w in held)
+
+
+def test_every_window_is_learnt_from(spark, monkeypatch):
+    """Many more findings than any part holds: all are fitted on or held out, and parts agree with one part."""
+    rng = random.Random(8)
+    texts = [f"{prose(rng, 3)} {hexes(rng)} {prose(rng, 3)}" for _ in range(3000)]
+    texts += [f"{prose(rng, 3)} {prose(rng, 1)}_{'-'.join('abcdefghij' for _ in range(2))}{i:05} end" for i in range(7000)]
+    seen = {}
+
+    def fitted(parts, found, plain, count):
+        rows = parts.selectExpr("size(found) f", "size(others) o").collect()
+        seen["parts"], seen["rows"], seen["told"] = len(rows), sum(r.f + r.o for r in rows), found
+        return fit(parts, found, plain, count)
+
+    fit = secretscan._fitted
+    monkeypatch.setattr(secretscan, "_fitted", fitted)
+    monkeypatch.setattr(secretscan, "PART", 2_000)
+    held = secretscan.candidates(documents(spark, texts))
+    scanner = secretscan.train(held)
+    windows = held.selectExpr("explode(found) f").selectExpr("f.kind", "explode(f.windows) w").distinct().collect()
+    assert len(windows) > 9_000 and seen["parts"] >= 3
+    assert 0.7 * len(windows) < seen["rows"] < 0.8 * len(windows) and seen["told"] > 2_100
+    scores = scanner.scores([bytes(r.w) for r in windows])
+    hits = [s >= scanner.threshold for s, r in zip(scores, windows, strict=True) if r.kind != secretscan.NET]
+    misses = [s >= scanner.threshold for s, r in zip(scores, windows, strict=True) if r.kind == secretscan.NET]
+    assert np.mean(hits) >= 0.97 and np.mean(misses) <= 0.02
