@@ -123,3 +123,15 @@ def test_held_out_accuracy(spark):
     n1, n0 = toxic.sum(), (~toxic).sum()
     assert (ranks[toxic].sum() - n1 * (n1 + 1) / 2) / (n1 * n0) > 0.95
     assert known.predicted[toxic].mean() > 0.75 and known.predicted[~toxic].mean() < 0.03
+
+
+def test_a_packed_machine_scores_the_same():
+    """Workers get the buckets of the fitted rows alone, not all there could be."""
+    texts = [f"word{n % 7} other{n % 5} {n}" for n in range(200)]
+    rows = [np.unique(bucket[owner == n]).astype(np.int32) for _, c, owner, bucket in toxicity.buckets(pa.array(texts)) for n in range(c)]
+    held = len(np.unique(np.concatenate(rows)))
+    machine = toxicity.fit(rows, [n % 7 == 0 for n in range(200)])
+    packed = machine.packed()
+    assert len(packed.inputs) == len(packed.weights) == len(packed.factors) == held + 1
+    shown = pa.array([*texts, "", "unknown strange word3"])
+    assert (machine.scores(shown) == packed.scores(shown)).all()

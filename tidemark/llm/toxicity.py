@@ -69,20 +69,34 @@ def buckets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
 
 @dataclass(frozen=True)
 class Machine:
-    """A fitted machine: bias, and by bucket the input, the linear weight and the factors."""
+    """A fitted machine: bias, and by bucket the input, the linear weight and the factors.
+
+    With ``place``, these are kept by place, and that of a bucket is looked up there.
+    """
 
     bias: float
     inputs: np.ndarray
     weights: np.ndarray
     factors: np.ndarray
+    place: np.ndarray | None = None
+
+    def packed(self) -> Machine:
+        """The same machine without the buckets that no fitted row has; smaller to send and to hold."""
+        held = np.flatnonzero(self.inputs > 0)
+        place = np.zeros(BUCKETS, np.int32)
+        place[held] = np.arange(1, len(held) + 1)
+        # place 0 is that of all other buckets, with the input 0
+        parts = (np.concatenate([np.zeros_like(a[:1]), a[held]]) for a in (self.inputs, self.weights, self.factors))
+        return Machine(self.bias, *parts, place)
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         """Probability of label 1 for each text."""
         out = np.full(len(texts), self.bias)
         for first, count, owner, bucket in buckets(texts):
-            known = self.inputs[bucket] > 0
+            known = self.inputs[bucket if self.place is None else self.place[bucket]] > 0
             pairs = np.unique(owner[known] * BUCKETS + bucket[known])
             text, bucket = pairs // BUCKETS, pairs % BUCKETS
+            bucket = bucket if self.place is None else self.place[bucket]
             x = scaled(self.inputs[bucket], text, count)
             total = np.bincount(text, self.weights[bucket] * x, count).astype(np.float64)
             for f in range(self.factors.shape[1]):
@@ -214,6 +228,7 @@ def score(docs: DataFrame, machine: Machine, column: str = "text") -> DataFrame:
     added = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
     names = [f.name for f in added]
     kept = [f for f in docs.schema if f.name not in names]
+    machine = machine.packed()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
