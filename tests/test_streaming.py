@@ -228,3 +228,27 @@ def test_sessions_share_buckets(spark, tmp_path):
     want = [("expired", m, n) for m, n in enumerate(of)] + [("refused", 5, sum(of[:5])), ("refused", 10, keys)]
     assert rows(counts) == sorted(want, key=str)
     assert max(s["numRowsTotal"] for r in reports for s in r["stateOperators"]) < keys
+
+
+def test_small_files_and_many_partitions_cost_few_stores(spark, tmp_path):
+    """Tasks of keyed state follow neither the number of files nor, beyond the cores, that of shuffle partitions."""
+    keys, setting = 100, "spark.sql.shuffle.partitions"
+    sent_at = many(spark, keys, ["10:05:00", "10:10:00"])
+    sent_at.repartition(2 * stateful.BUCKETS + 2).write.parquet(str(tmp_path / "sent"))
+    opened = spark.range(keys).select(
+        F.concat(F.lit("s"), F.col("id")).alias("session_id"),
+        F.lit("2026-03-01 10:00:00").cast("timestamp_ntz").alias("created_at"),
+        F.lit("2026-03-01 10:07:00").cast("timestamp_ntz").alias("expires_at"),
+    )
+    sessions, before, reports = moves(spark, str(tmp_path / "sessions"), opened), spark.conf.get(setting), []
+    spark.conf.set(setting, "40")
+    try:
+        requests = jobs.file_stream(spark, str(tmp_path / "sent"))
+        ended = jobs.expired_sessions(requests, sessions, "1 hour", reports.append)
+        assert spark.conf.get(setting) == "40"
+    finally:
+        spark.conf.set(setting, before)
+    assert rows(ended.groupBy("outcome").count()) == [("expired", keys), ("refused", keys)]
+    assert len([r for r in reports if r["numInputRows"] > 1]) == 1
+    stores = {s["numShufflePartitions"] for r in reports for s in r["stateOperators"]}
+    assert stores == {stateful.STORES_PER_CORE * spark.sparkContext.defaultParallelism}

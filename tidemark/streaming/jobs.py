@@ -26,13 +26,27 @@ from tidemark.session import run_dir
 from tidemark.streaming import partials, stateful
 
 DELAY = "30 minutes"
+LEAST_FILES, BATCH_BYTES = 64, 16 << 20  # of a micro-batch; bytes per shuffle partition
 
 
 def _ignored(progress: dict) -> None:
     """Nobody watches the progress reports."""
 
 
-def file_stream(spark: SparkSession, path: str, max_files: int = 64) -> DataFrame:
+def _files_per_batch(spark: SparkSession, path: str) -> int:
+    """So many files that a micro-batch is worth a task per shuffle partition.
+
+    A micro-batch has fixed costs per partition; small files in batches of a fixed number would make these
+    grow with the number of files times that of partitions.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held = place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place)
+    wanted = BATCH_BYTES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files, size = held.getFileCount(), max(held.getLength(), 1)
+    return max(LEAST_FILES, min(files, -(-wanted * files // size)))
+
+
+def file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """New parquet files under a path as a stream, a number per micro-batch that steers only speed.
 
     The file source wants a folder or a pattern; a pattern equal to the path serves both a
@@ -41,7 +55,7 @@ def file_stream(spark: SparkSession, path: str, max_files: int = 64) -> DataFram
     pattern = f"{path[:-1]}[{path[-1]}]"
     return (
         spark.readStream.schema(spark.read.parquet(path).schema)
-        .option("maxFilesPerTrigger", max_files)
+        .option("maxFilesPerTrigger", max_files or _files_per_batch(spark, path))
         .parquet(pattern)
     )
 

@@ -7,7 +7,8 @@ comes after the watermark passed it is never dropped in silence: it leaves with
 
 State is kept by buckets of keys (``BUCKETS`` per shuffle partition, by hash), because a call of the processor and
 of its state costs about a millisecond, whatever it carries: a bucket's rows come, wait and are decided together, each
-key by itself. The number of buckets is as fixed for a checkpoint as that of the shuffle partitions.
+key by itself. Buckets are spread over a few state partitions per core, because every micro-batch opens, commits and
+uploads the store of each partition. Both numbers are fixed for a checkpoint.
 
 The watermark is taken from a column of its own that the state operator does not see, because rows behind
 the watermark of a visible column are removed before the operator gets them.
@@ -35,8 +36,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 DECISION = "key string, id long, at long, outcome string"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PARTITIONS = "spark.sql.shuffle.partitions"
 END = 4_000_000_000_000_000  # microseconds: after every event
 BUCKETS = 64
+STORES_PER_CORE = 2
 
 
 class Gate(StatefulProcessor):
@@ -162,17 +165,22 @@ def _decisions(rows: list[tuple]) -> pd.DataFrame:
 
 
 @contextmanager
-def state_on_disk(spark: SparkSession):
-    """State stores of the queries started inside keep their state in RocksDB, not on the heap."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+def _setting(spark: SparkSession, key: str, value: str):
+    """Queries started inside keep a setting of the session that is put back afterwards."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(PROVIDER)
+            spark.conf.unset(key)
         else:
-            spark.conf.set(PROVIDER, before)
+            spark.conf.set(key, before)
+
+
+def state_on_disk(spark: SparkSession):
+    """State stores of the queries started inside keep their state in RocksDB, not on the heap."""
+    return _setting(spark, PROVIDER, ROCKSDB)
 
 
 def timed(rows: DataFrame, key: str, at: str, row_id: str | None, ends: str | None = None) -> DataFrame:
@@ -205,7 +213,9 @@ def gated(
     marks = f"{folder}/marks"
     spark.createDataFrame([], rows.schema).write.parquet(marks)
     stream = rows.unionByName(spark.readStream.schema(rows.schema).parquet(marks))
-    buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shuffled = int(spark.conf.get(PARTITIONS))
+    buckets = BUCKETS * shuffled
+    stores = min(shuffled, STORES_PER_CORE * spark.sparkContext.defaultParallelism)
     decided = (
         stream.withWatermark("clock", delay)
         .drop("clock")
@@ -221,7 +231,7 @@ def gated(
     )
 
     def run() -> None:
-        with state_on_disk(spark):
+        with state_on_disk(spark), _setting(spark, PARTITIONS, str(stores)):
             query = (
                 decided.writeStream.format("parquet")
                 .option("path", f"{folder}/out")
